@@ -138,24 +138,54 @@ def is_plain_name(tag: str | None) -> bool:
     return bool(tag) and re.fullmatch(r"[\w.\-]+", tag) is not None
 
 
-def slot_row(body: str | None, is_json: bool, plans, keep_document: bool) -> list:
-    """Slot values of one body, then whether it is a document, then its XML if asked for.
+def compile_slots(slots) -> tuple[list, list]:
+    """(grouped, single) plans for slots given as lists of (path, as_xml).
 
-    Each plan lists (finder, as_xml) in order of preference.
+    Plain one-path slots whose elements share a parent path are grouped, so
+    the parent is looked up once. The others are (index, [(finder, as_xml)])
+    in order of preference.
     """
+    parents: dict[str, list] = {}
+    single = []
+    for index, candidates in enumerate(slots):
+        plain = _CHILD_STEPS.fullmatch(candidates[0][0].strip()) if len(candidates) == 1 else None
+        if plain is None or "/" not in plain[2]:
+            single.append((index, [(compile_path(path), as_xml) for path, as_xml in candidates]))
+            continue
+        parent, leaf = plain[2].rsplit("/", 1)
+        path, as_xml = candidates[0]
+        key = ("//" if plain[1] in ("//", ".//") else "/") + parent
+        parents.setdefault(key, []).append((index, leaf, compile_path(path), as_xml))
+    return [(compile_path(path), leaves) for path, leaves in parents.items()], single
+
+
+def slot_row(body: str | None, is_json: bool, plans: tuple[list, list], size: int, keep_document: bool) -> list:
+    """Slot values of one body, then whether it is a document, then its XML if asked for."""
     document = parse_document(body, is_json)
     if document is not None:
         try:
-            row = [_slot_value(document, plan) for plan in plans] + [True]
+            row = _slot_values(document, plans, size)
+            row.append(True)
             return row + [xml_of(document[0])] if keep_document else row
         except RecursionError:
             pass
-    return [None] * len(plans) + [False] + [None] * keep_document
-
-
-def _slot_value(document: ET.Element, plan) -> str | None:
-    for finder, as_xml in plan:
-        hit = first_match(document, finder)
-        if hit is not None:
-            return xml_of(hit) if as_xml else text_of(hit)
-    return None
+    return [None] * size + [False] + [None] * keep_document
+
+
+def _slot_values(document: ET.Element, plans: tuple[list, list], size: int) -> list:
+    values = [None] * size
+    grouped, single = plans
+    for parents_of, leaves in grouped:
+        parents = parents_of(document)
+        only = parents[0] if len(parents) == 1 else None
+        for index, leaf, finder, as_xml in leaves if parents else ():
+            hit = first_match(document, finder) if only is None else only.find(leaf)
+            if hit is not None:
+                values[index] = xml_of(hit) if as_xml else text_of(hit)
+    for index, candidates in single:
+        for finder, as_xml in candidates:
+            hit = first_match(document, finder)
+            if hit is not None:
+                values[index] = xml_of(hit) if as_xml else text_of(hit)
+                break
+    return values

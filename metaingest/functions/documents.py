@@ -37,7 +37,7 @@ def extract_slots(body: ColumnLike, slots: Sequence[Slot], content_type: str, ke
     body that is no document; ``document`` is its canonical XML if asked for.
     """
     is_json = content_type == "JSON"
-    plans = [[(path, body_flag) for path, body_flag in reversed(slot.candidates)] for slot in slots]
+    candidates = [list(reversed(slot.candidates)) for slot in slots]
     names = [f"s{i}" for i in range(len(slots))]
     fields = [T.StructField(name, T.StringType()) for name in names]
     fields.append(T.StructField(WELL_FORMED, T.BooleanType()))
@@ -45,10 +45,10 @@ def extract_slots(body: ColumnLike, slots: Sequence[Slot], content_type: str, ke
         fields.append(T.StructField(DOCUMENT, T.StringType()))
 
     def extract(bodies: pa.Array) -> pa.Array:
-        finders = [[(trees.compile_path(path), flag) for path, flag in plan] for plan in plans]
+        plans = trees.compile_slots(candidates)
         columns: list[list] = [[] for _ in fields]
         for text in bodies.to_pylist():
-            row = trees.slot_row(text, is_json, finders, keep_document)
+            row = trees.slot_row(text, is_json, plans, len(names), keep_document)
             for values, value in zip(columns, row):
                 values.append(value)
         types = [pa.string()] * len(names) + [pa.bool_()] + [pa.string()] * keep_document

@@ -44,8 +44,11 @@ def explode_records(
         page_records(body, change_api.record_tag, change_api.key_tag, change_api.content_type, tree_paths),
     ).drop(body)
     keep = [c for c in parsed.columns if c != "_records"]
+    # The page flag is taken before the explode: the explode then drops the
+    # array instead of copying it into each of its rows.
+    parsed = parsed.withColumn("_bad_page", F.col("_records").isNull())
     rows = parsed.select(
-        *keep, F.col("_records").isNull().alias("_bad_page"), F.posexplode_outer("_records").alias("record_no", "_r")
+        *keep, "_bad_page", F.posexplode_outer("_records").alias("record_no", "_r")
     ).where(F.col("_bad_page") | F.col("_r").isNotNull())
     rows = rows.where(F.col("_bad_page") | response_filter("_r.body", change_api.response_filter))
     return rows.select(

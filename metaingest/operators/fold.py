@@ -42,14 +42,17 @@ def incoming_rows(parsed: DataFrame, target: TargetSpec, order: str = "id", abse
     empty value still overwrites and an absent one does not.
     """
     feeds = {b.name: bucket_present(b) for b in target.buckets}
+    applies = any_of(list(feeds.values()))
     keys = [to_column_type(field(ATTRS, c.name), c.spark_type, c.length).alias(c.name) for c in target.keys]
-    values = [
-        F.when(
-            any_of([feeds[b.name] for b in target.buckets if c.name in b.values]), field(ATTRS, c.name)
-        ).alias(c.name)
-        for c in target.values
-    ]
-    rows = parsed.where(F.col("reason").isNull() & any_of(list(feeds.values()))).select(*keys, *values, F.col(order).alias("_order"))
+
+    def value(name: str) -> Column:
+        sources = [feeds[b.name] for b in target.buckets if name in b.values]
+        text = field(ATTRS, name)
+        return text if len(sources) == len(feeds) else F.when(any_of(sources), text)
+
+    values = [value(c.name).alias(c.name) for c in target.values]
+    usable = parsed.where(F.col("reason").isNull() & applies)
+    rows = usable.select(*keys, *values, F.col(order).alias("_order"))
     folded = last_writer_wins(rows, target.key_names, target.value_names, "_order", absent)
     supplied = [
         (F.lit(True) if absent == "null" else named(c.name).isNotNull()).alias(c.name) for c in target.values

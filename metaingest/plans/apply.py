@@ -13,7 +13,7 @@ from ..functions._cols import field as sub
 from ..operators.extract import check_values, parse_payloads
 from ..operators.fold import incoming_rows
 from ..operators.upsert import ACTION, INSERTED, UNCHANGED, UNTOUCHED, UPDATED, upsert_rows
-from ..session import spread, stage
+from ..session import spread, stage_counted
 from ..sources.tables import TableStore
 from ..specs import ProcessSpec, TargetSpec
 from .workspace import Workspace
@@ -106,14 +106,23 @@ def parse_run(archive: DataFrame, spec: ProcessSpec) -> DataFrame:
     return check_values(parse_payloads(source, spec.data_api), spec.data_api)
 
 
-def apply_records(
-    parsed: DataFrame, workspace: Workspace, spec: ProcessSpec, now: datetime, applier: Applier | None = None
+def apply_payloads(
+    archive: DataFrame, workspace: Workspace, spec: ProcessSpec, now: datetime, applier: Applier | None = None
 ) -> ApplyResult:
-    """Upsert staged flat records into every table the process writes."""
+    """Parse archived payloads once, set bad ones aside, upsert the rest.
+
+    The parsed values are staged as columns: each target table then reads only
+    its own, and the bodies are read a single time.
+    """
     stamp = F.lit(now).cast("timestamp_ntz")
     applier = applier or StoreApplier(workspace.tables)
-    total, failed = parsed.agg(F.count("*"), F.count("reason")).first()
+    parsed, seen = stage_counted(parse_run(archive, spec), "parsed", failed=F.count("reason"))
+    total, failed = seen["rows"], seen["failed"]
+    if failed:
+        set_aside(parsed, workspace, now)
     result = ApplyResult(total, failed, problems=spec.data_api.problems())
+    if total == failed:
+        return result
     for target in spec.data_api.targets():
         incoming = incoming_rows(parsed, target)
         counts = applier.apply(incoming, target, stamp, total - failed)
@@ -126,20 +135,13 @@ def apply_records(
 def set_aside(parsed: DataFrame, workspace: Workspace, now: datetime) -> None:
     """Send unusable records to quarantine; they keep their archive row."""
     bad = parsed.where(F.col("reason").isNotNull())
-    if not bad.isEmpty():
-        rows = bad.select("change_id", "id", F.col("ean").cast("string").alias("key"), "reason", "detail")
-        workspace.quarantine.append(rows, APPLY_STAGE, F.lit(now).cast("timestamp_ntz"))
+    rows = bad.select("change_id", "id", F.col("ean").cast("string").alias("key"), "reason", "detail")
+    workspace.quarantine.append(rows, APPLY_STAGE, F.lit(now).cast("timestamp_ntz"))
 
 
 def apply_snapshot(
     workspace: Workspace, spec: ProcessSpec, change_id: int, now: datetime, applier: Applier | None = None
 ) -> ApplyResult:
-    """Parse one run's archive once, set bad records aside, upsert the rest.
-
-    The parsed values are staged as columns: each target table then reads only
-    its own, and the bodies are read a single time.
-    """
+    """Apply what one run archived."""
     archive = workspace.archive.read(change_id)
-    parsed = stage(parse_run(spread(archive, "id"), spec), "parsed")
-    set_aside(parsed, workspace, now)
-    return apply_records(parsed, workspace, spec, now, applier)
+    return apply_payloads(spread(archive, "id"), workspace, spec, now, applier)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import xml_text
+from ..session import spread
 from ..specs import ApiSpec, BucketSpec, ColumnSpec, ProcessSpec
 
 BASE_URL = "http://catalog.example/products"
@@ -173,7 +174,7 @@ def line_archive(lines: DataFrame) -> DataFrame:
         element("shipped", F.col("l_shipdate")),
         F.lit("</line>"),
     )
-    return lines.select(
+    return spread(lines).select(
         (F.round(F.col("l_extendedprice") * 100).cast("bigint") * 10_000_000 + F.col("l_partkey")).alias("id"),
         F.lit(None).cast("bigint").alias("ean"),
         data.alias("data"),

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -33,10 +34,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once and read it back: later readers prune columns,
     repeat no work, and lost executors cost nothing."""
+    return stage_counted(df, label)[0]
+
+
+def stage_counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``stage``, with aggregates of the frame taken while it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    metrics = {"rows": F.count(F.lit(1)), **metrics}
+    df.observe(seen, *[metric.alias(name) for name, metric in metrics.items()]).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:

@@ -14,10 +14,13 @@ def schema_of(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-def ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Make sure the folder can be read; an existing one is left as it is."""
-    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a folder; none if nothing was written to it yet."""
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._files import LONG, TEXT, TIME, ensure_folder, read_folder, schema_of
+from ._files import LONG, TEXT, TIME, read_folder, schema_of
 
 ARCHIVE_SCHEMA = schema_of(
     id=LONG, ean=LONG, notification=TEXT, data=TEXT, add_dtime=TIME, upd_dtime=TIME, change_id=LONG
@@ -33,7 +33,6 @@ class Archive:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/archive"
-        ensure_folder(spark, self.path, ARCHIVE_SCHEMA)
 
     def append(self, rows: DataFrame) -> None:
         rows.select(*ARCHIVE_SCHEMA.names).write.mode("append").partitionBy("change_id").parquet(self.path)
@@ -49,7 +48,6 @@ class Quarantine:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/quarantine"
-        ensure_folder(spark, self.path, QUARANTINE_SCHEMA)
 
     def append(self, rows: DataFrame, stage: str, now: Column) -> None:
         """Add rows of one stage; rows already set aside are not added again."""

@@ -12,7 +12,7 @@ from ..functions import _trees as trees
 from ..functions import urls
 from ..functions.documents import page_links
 from ..functions.minilang import is_true_text
-from ..session import stage
+from ..session import stage, stage_counted
 from ..specs import ApiSpec
 
 Transport = Callable[[str, dict[str, str]], str]
@@ -53,28 +53,34 @@ def chain_positions(links: DataFrame, starts: DataFrame) -> DataFrame:
     repeated = links.groupBy(*PAGE_KEYS).count().where("count > 1").first()
     if repeated is not None:
         raise ValueError(f"page landed twice for process {repeated['process_id']}: {repeated['url']}")
-    reached = stage(starts.select(*PAGE_KEYS, F.lit(0).cast("bigint").alias("page_no")).distinct(), "page-chain")
+    reached = starts.select(*PAGE_KEYS, F.lit(0).cast("bigint").alias("page_no")).distinct()
     jumps = links.where(F.col("next_url").isNotNull())
-    known, stride = reached.count(), 1
+    known, stride = 0, 1
     while True:
-        ahead = (
-            reached.join(jumps, list(PAGE_KEYS))
-            .select("process_id", F.col("next_url").alias("url"), (F.col("page_no") + stride).alias("page_no"))
+        ahead = reached.join(jumps, list(PAGE_KEYS)).select(
+            "process_id", F.col("next_url").alias("url"), (F.col("page_no") + stride).alias("page_no")
         )
-        reached = stage(
-            reached.unionByName(ahead).groupBy(*PAGE_KEYS).agg(F.min("page_no").alias("page_no")), "page-chain"
-        )
-        total = reached.count()
-        if total == known:
-            return reached
-        known, stride = total, stride * 2
         onward = jumps.select("process_id", F.col("url").alias("next_url"), F.col("next_url").alias("onward"))
-        jumps = stage(
-            jumps.join(onward, ["process_id", "next_url"]).select(
-                "process_id", "url", F.col("onward").alias("next_url")
+        # One staged table per round holds both: pages with a number, and jumps.
+        round_rows, seen = stage_counted(
+            reached.unionByName(ahead)
+            .groupBy(*PAGE_KEYS)
+            .agg(F.min("page_no").alias("page_no"))
+            .withColumn("next_url", F.lit(None).cast("string"))
+            .unionByName(
+                jumps.join(onward, ["process_id", "next_url"]).select(
+                    *PAGE_KEYS, F.lit(None).cast("bigint").alias("page_no"), F.col("onward").alias("next_url")
+                )
             ),
-            "page-jumps",
+            "page-chain",
+            pages=F.count("page_no"),
         )
+        reached = round_rows.where(F.col("page_no").isNotNull()).drop("next_url")
+        jumps = round_rows.where(F.col("next_url").isNotNull()).drop("page_no")
+        no_jumps_left = seen["pages"] == seen["rows"]
+        if no_jumps_left or seen["pages"] == known:
+            return reached
+        known, stride = seen["pages"], stride * 2
 
 
 def chained_pages(pages: DataFrame, api: ApiSpec, starts: DataFrame) -> DataFrame:

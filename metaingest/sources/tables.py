@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions._cols import named, quoted
 from ..session import settings
-from ._files import INT, LONG, TEXT, ensure_folder, read_folder, schema_of
+from ._files import INT, LONG, TEXT, read_folder, schema_of
 
 LOG_SCHEMA = schema_of(
     table_nm=TEXT,
@@ -53,7 +53,6 @@ class TableStore:
         self.root = f"{root.rstrip('/')}/tables"
         self.rows_per_bucket = rows_per_bucket
         self.log_path = f"{self.root}/_versions"
-        ensure_folder(spark, self.log_path, LOG_SCHEMA)
 
     def current(self, table: str) -> Version | None:
         log = read_folder(self.spark, self.log_path, LOG_SCHEMA)

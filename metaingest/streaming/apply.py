@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.apply import Applier, apply_records, parse_run, set_aside
+from ..plans.apply import Applier, apply_payloads
 from ..plans.workspace import Workspace
-from ..session import stage
 from ..sources.archive import ARCHIVE_SCHEMA
 from ..specs import ProcessSpec
 
@@ -38,9 +37,7 @@ def stream_apply(
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         runs = workspace.ledger.state().where(F.col("process_id") == spec.process_id).select("change_id")
         mine = batch.join(runs, "change_id", "left_semi")
-        parsed = stage(parse_run(mine, spec), "parsed-batch")
-        set_aside(parsed, workspace, now)
-        apply_records(parsed, workspace, spec, now, applier)
+        apply_payloads(mine, workspace, spec, now, applier)
 
     return (
         archived.writeStream.foreachBatch(apply_batch)
