@@ -11,6 +11,7 @@ from ..functions.paths import PathError, check_xpath
 from ..specs import ApiSpec, BucketSpec, ColumnSpec, ProcessSpec, SpecError
 
 CHANGE, DATA = "C", "D"
+_MAPS = ("anchor_args", "request_args", "header_args")
 
 
 def active_processes(cfg_process: DataFrame) -> DataFrame:
@@ -140,7 +141,16 @@ def load_specs(
     """
     specs, skipped = [], {}
     active = active_processes(cfg_process).select("process_id").collect()
-    rows = {row["process_id"]: row for row in process_settings(cfg_process, cfg_api, cfg_bucket).collect()}
+    settings = process_settings(cfg_process, cfg_api, cfg_bucket)
+    # Maps lose their order on the way to the driver, lists of pairs do not.
+    sides = [
+        F.when(
+            F.col(side).isNotNull(),
+            F.struct(f"{side}.*", *[F.map_entries(f"{side}.{m}").alias(f"{m}_list") for m in _MAPS]),
+        ).alias(side)
+        for side in ("change_api", "data_api")
+    ]
+    rows = {row["process_id"]: row for row in settings.select("process_id", "process_name", *sides).collect()}
     for process_id in (row["process_id"] for row in active):
         row = rows.get(process_id)
         if row is None:
@@ -168,9 +178,7 @@ def _api(row) -> ApiSpec | None:
         since_arg=row["since_url_arg_nm"],
         anchor_indicator=row["anchor_ind_tag_nm"],
         anchor_element=row["anchor_val_tag_nm"],
-        anchor_args=dict(row["anchor_args"]),
-        request_args=dict(row["request_args"]),
-        header_args=dict(row["header_args"]),
+        **{m: {pair["key"]: pair["value"] for pair in row[f"{m}_list"]} for m in _MAPS},
         response_filter=row["xpath_resp_filter"],
         record_tag=row["target_chld_tag"],
         key_tag=row["target_chld_key_tag"],
