@@ -14,6 +14,9 @@ from ..sources.pages import Transport, chained_pages, manifest_pages
 from ..sources.payloads import fetch_payloads
 from ..specs import ApiSpec, ProcessSpec
 
+# Keys are broadcast only when their measured size is below this.
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+
 
 @dataclass
 class LandedInputs:
@@ -41,8 +44,13 @@ class LandedInputs:
             mine = chained_pages(mine, spec.change_api, starts)
         yield mine, None
 
-    def add_payloads(self, manifest: DataFrame, api: ApiSpec) -> DataFrame:
-        return lookup_payloads(manifest, self.payloads, landed_order=self.landed_order).drop("args")
+    def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:
+        payloads = self.payloads
+        if key_bytes <= BROADCAST_KEY_BYTES:
+            # Few records against a large payload table: drop other payloads
+            # while scanning, so that only wanted bodies are shuffled.
+            payloads = payloads.join(F.broadcast(manifest.select("key").distinct()), "key", "left_semi")
+        return lookup_payloads(manifest, payloads, landed_order=self.landed_order).drop("args")
 
 
 @dataclass
@@ -68,5 +76,5 @@ class LiveInputs:
             url = last["next_url"] if last else None
             yield pages.drop("next_url"), url
 
-    def add_payloads(self, manifest: DataFrame, api: ApiSpec) -> DataFrame:
+    def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:
         return fetch_payloads(manifest, api, self.transport)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import minilang as ml
@@ -12,6 +12,7 @@ from ..functions import times, urls
 from ..functions.typed import numeric_key
 from ..operators.explode import PAGE_NOT_DOCUMENT, explode_records
 from ..operators.specs import key_frame
+from ..session import stage_counted
 from ..sources.archive import archive_id
 from ..sources.pages import plain_url
 from ..specs import ApiSpec, ProcessSpec, SpecError
@@ -19,6 +20,7 @@ from .workspace import Workspace
 
 PULL_STAGE = "pull"
 KEY_PAGES = 4096
+KEY_OVERHEAD = 64
 
 
 def manifest_for_keys(keys: DataFrame, change_api: ApiSpec, data_api: ApiSpec) -> DataFrame:
@@ -29,17 +31,13 @@ def manifest_for_keys(keys: DataFrame, change_api: ApiSpec, data_api: ApiSpec) -
     """
     record_tag, key_tag = change_api.record_tag or "record", change_api.key_tag or "key"
     key_api = ApiSpec(record_tag=record_tag, key_tag=key_tag)
-    page = keys.where(~ml.is_blank("key")).select(
-        F.pmod(F.xxhash64("key"), F.lit(KEY_PAGES)).alias("page_no"),
-        F.concat(F.lit("<root>"), urls.key_manifest(F.col("key"), record_tag, key_tag), F.lit("</root>")).alias("body"),
+    page_no = F.pmod(F.xxhash64("key"), F.lit(KEY_PAGES))
+    numbered = keys.where(~ml.is_blank("key")).select("key", page_no.alias("page_no")).withColumn(
+        "_place", F.row_number().over(Window.partitionBy("page_no").orderBy("key")) - 1
     )
-    records = explode_records(page, key_api, data_api).drop("record_no")
-    return number_in_pages(records)
-
-
-def number_in_pages(records: DataFrame) -> DataFrame:
-    order = Window.partitionBy("page_no").orderBy("key")
-    return records.withColumn("record_no", F.row_number().over(order) - 1)
+    body = F.concat(F.lit("<root>"), urls.key_manifest(F.col("key"), record_tag, key_tag), F.lit("</root>"))
+    records = explode_records(numbered.select("page_no", "_place", body.alias("body")), key_api, data_api)
+    return records.withColumn("record_no", F.col("_place")).drop("_place")
 
 
 def request_window(workspace: Workspace, spec: ProcessSpec, now: datetime) -> tuple[ApiSpec, str | None]:
@@ -65,15 +63,23 @@ def archive_records(
 ) -> None:
     """Archive one batch of manifest records with their payloads.
 
-    Unusable records go to quarantine; they cost a second pass over the
-    manifest only when the first one has seen any.
+    The records are staged first: pages are parsed once, the lookup knows how
+    large its keys are, and unusable records go to quarantine from there.
     """
     stamp = F.lit(now).cast("timestamp_ntz")
-    numbered = manifest.withColumn("id", archive_id(F.col("page_no") + F.lit(base), F.coalesce("record_no", F.lit(0))))
-    seen = Observation()
-    observed = numbered.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("bad"))
-    good = observed.where(F.col("reason").isNull()).select("id", "key", "notification", "args")
-    rows = inputs.add_payloads(good, spec.data_api).select(
+    numbered = manifest.select(
+        archive_id(F.col("page_no") + F.lit(base), F.coalesce("record_no", F.lit(0))).alias("id"),
+        "key",
+        "notification",
+        "args",
+        "reason",
+    )
+    staged, seen = stage_counted(
+        numbered, "manifest", bad=F.count("reason"), key_bytes=F.sum(F.octet_length("key"))
+    )
+    good = staged.where(F.col("reason").isNull()).drop("reason")
+    key_bytes = (seen["key_bytes"] or 0) + KEY_OVERHEAD * seen["rows"]
+    rows = inputs.add_payloads(good, spec.data_api, key_bytes).select(
         "id",
         numeric_key("key").alias("ean"),
         "notification",
@@ -83,8 +89,8 @@ def archive_records(
         F.lit(change_id).cast("bigint").alias("change_id"),
     )
     workspace.archive.append(rows)
-    if seen.get["bad"]:
-        bad = numbered.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
+    if seen["bad"]:
+        bad = staged.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
         workspace.quarantine.append(bad, PULL_STAGE, stamp)
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 import pytest
 from helpers import BASE, COUNTRY, page, record
 
+from pyspark.sql import functions as F
+
+from metaingest import LandedInputs
 from metaingest.functions.documents import register_functions
 from metaingest.operators.explode import explode_records
+from metaingest.plans.inputs import BROADCAST_KEY_BYTES
 from metaingest.sources.pages import chain_positions, manifest_pages, next_links
 from metaingest.sources.payloads import fetch_payloads
 from metaingest.operators.lookup import ERROR_ENVELOPE, lookup_payloads
@@ -153,3 +157,13 @@ def test_sql_functions(spark):
     assert sorted((r.position, r.key) for r in rows if r.key) == [(0, "1"), (1, "2")] and len(rows) == 3
     row = spark.sql("SELECT xml_text_at('<a><b>x</b></a>', '/a/b') t, xml_body_at('<a><b>x</b></a>', '/a/b') b").first()
     assert tuple(row) == ("x", "<b>x</b>")
+
+
+def test_small_and_large_manifests_find_the_same_payloads(spark):
+    manifest = spark.createDataFrame([("1", 1), ("1", 2), ("2", 3)], "key string, n int").withColumn("args", F.create_map())
+    payloads = spark.createDataFrame([("1", "one"), ("3", "three")], "key string, body string")
+    inputs = LandedInputs(payloads=payloads)
+    found = [
+        sorted((r.n, r.data) for r in inputs.add_payloads(manifest, API, size).collect()) for size in (1, BROADCAST_KEY_BYTES + 1)
+    ]
+    assert found[0] == found[1] == [(1, "one"), (2, "one"), (3, ERROR_ENVELOPE)]

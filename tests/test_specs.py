@@ -5,6 +5,7 @@ from __future__ import annotations
 from helpers import COUNTRY, MAIN_BUCKETS, change_row, config, data_row
 
 from metaingest.operators.specs import active_processes, api_settings, bucket_rows, key_frame, load_specs
+from metaingest.sources.config import CONFIG_TABLES, read_config
 from metaingest.specs import ApiSpec
 
 
@@ -76,3 +77,13 @@ def test_key_lists(spark):
     assert sorted(r.key for r in stored.collect()) == ["1", "3"]
     source.createOrReplaceTempView("tmp_ean_list")
     assert key_frame(spark, ApiSpec(key_list="tmp_ean_list", key_tag="ean")).count() == 2
+
+
+def test_configuration_sources(spark, tmp_path):
+    tables = config(spark, [(1, "", "one", "Y")], [change_row(1), data_row(1)], {1: MAIN_BUCKETS})
+    for frame, name in zip(tables, CONFIG_TABLES):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        frame.createOrReplaceTempView(name)
+    for source in (read_config(spark, str(tmp_path)), read_config(spark)):
+        (spec,), skipped = load_specs(spark, *source)
+        assert spec.process_id == 1 and not skipped
