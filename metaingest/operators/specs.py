@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import minilang as ml
 from ..functions._cols import named
 from ..functions.paths import PathError, check_xpath
+from ..session import local_rows
 from ..specs import ApiSpec, BucketSpec, ColumnSpec, ProcessSpec, SpecError
 
 CHANGE, DATA = "C", "D"
@@ -129,7 +130,7 @@ def key_frame(spark: SparkSession, api: ApiSpec, resolve=None) -> DataFrame:
     if "_" in text:
         return table_keys((resolve or spark.table)(text.strip()), api.key_tag)
     keys = list(dict.fromkeys(k for k in (part.strip() for part in text.split(",")) if k))
-    return spark.createDataFrame([(k,) for k in keys], "key string")
+    return local_rows(spark, "key string", [(k,) for k in keys])
 
 
 def load_specs(

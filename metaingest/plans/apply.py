@@ -48,7 +48,7 @@ class StoreApplier:
             seen = Observation()
             counted = rows.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
             self.tables.write(
-                target.table, counted.drop(ACTION), keys, buckets, lambda: sum(seen.get[a] for a in ACTIONS)
+                target.table, counted.drop(ACTION), keys, buckets, lambda: sum(seen.get[a] for a in ACTIONS), version
             )
         return {action: seen.get[action] for action in ACTIONS}
 

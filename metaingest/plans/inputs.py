@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup_payloads
-from ..session import stage
+from ..session import local_rows, stage
 from ..sources.pages import Transport, chained_pages, manifest_pages
 from ..sources.payloads import fetch_payloads
 from ..specs import ApiSpec, ProcessSpec
@@ -40,7 +40,7 @@ class LandedInputs:
             first = mine.where(F.col("url") == start_url).agg(F.min("page_no")).first()[0]
             mine = mine if first is None else mine.where(F.col("page_no") >= first)
         else:
-            starts = spark.createDataFrame([(spec.process_id, start_url)], "process_id bigint, url string")
+            starts = local_rows(spark, "process_id bigint, url string", [(spec.process_id, start_url)])
             mine = chained_pages(mine, spec.change_api, starts)
         yield mine, None
 

@@ -12,7 +12,7 @@ from ..functions import times, urls
 from ..functions.typed import numeric_key
 from ..operators.explode import PAGE_NOT_DOCUMENT, explode_records
 from ..operators.specs import key_frame
-from ..session import stage_counted
+from ..session import local_rows, stage_counted
 from ..sources.archive import archive_id
 from ..sources.pages import plain_url
 from ..specs import ApiSpec, ProcessSpec, SpecError
@@ -50,9 +50,8 @@ def request_window(workspace: Workspace, spec: ProcessSpec, now: datetime) -> tu
     if anchor:
         return api, anchor
     configured = api.request_args.get(api.since_arg)
-    question = workspace.spark.createDataFrame(
-        [(configured, start, now)],
-        "since string, start timestamp_ntz, now timestamp_ntz",
+    question = local_rows(
+        workspace.spark, "since string, start timestamp_ntz, now timestamp_ntz", [(configured, start, now)]
     )
     millis = question.select(times.since_millis("since", "start", F.col("now"))).first()[0]
     return (api if millis is None else api.with_request_arg(api.since_arg, str(millis))), None

@@ -6,8 +6,11 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -47,6 +50,15 @@ def stage_counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFra
     return spark.read.schema(df.schema).parquet(path), seen.get
 
 
+def local_rows(spark: SparkSession, schema: T.StructType | str, rows: list[tuple] = ()) -> DataFrame:
+    """A few rows made on the driver, without the job a list of rows costs."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(arrow)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, schema)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a plain file scan over all cores before costly per-row work.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import local_rows
+
 
 LONG, INT, TEXT, TIME = T.LongType(), T.IntegerType(), T.StringType(), T.TimestampNTZType()
 
@@ -19,8 +21,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def append_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
+    local_rows(spark, schema, [row]).coalesce(1).write.mode("append").parquet(path)
+
+
 def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows of a folder; none if nothing was written to it yet."""
     if not folder_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, schema)
     return spark.read.schema(schema).parquet(path)

@@ -12,12 +12,13 @@ from ..functions import _trees as trees
 from ..functions import urls
 from ..functions.documents import page_links
 from ..functions.minilang import is_true_text
-from ..session import stage, stage_counted
+from ..session import local_rows, stage, stage_counted
 from ..specs import ApiSpec
 
 Transport = Callable[[str, dict[str, str]], str]
 
 PAGE_KEYS = ("process_id", "url")
+DOUBLINGS_PER_ROUND = 2
 
 
 def string_map(values: dict[str, str]):
@@ -44,10 +45,10 @@ def chain_positions(links: DataFrame, starts: DataFrame) -> DataFrame:
     """(process_id, url, page_no) of the pages reachable from the start urls.
 
     Following one link at a time would take as many jobs as there are pages.
-    Here each round doubles the stride: links are joined to themselves to skip
-    twice as far, so n pages take about log2(n) rounds. A page that is reached
-    twice keeps its first position, which also ends cycles. Urls must be
-    unique per process.
+    Here each step doubles the stride: links are joined to themselves to skip
+    twice as far, so n pages take about log2(n) steps, two of them per written
+    round. A page that is reached twice keeps its first position, which also
+    ends cycles. Urls must be unique per process.
     """
     links = stage(links, "page-links")
     repeated = links.groupBy(*PAGE_KEYS).count().where("count > 1").first()
@@ -57,21 +58,22 @@ def chain_positions(links: DataFrame, starts: DataFrame) -> DataFrame:
     jumps = links.where(F.col("next_url").isNotNull())
     known, stride = 0, 1
     while True:
-        ahead = reached.join(jumps, list(PAGE_KEYS)).select(
-            "process_id", F.col("next_url").alias("url"), (F.col("page_no") + stride).alias("page_no")
-        )
-        onward = jumps.select("process_id", F.col("url").alias("next_url"), F.col("next_url").alias("onward"))
+        for _ in range(DOUBLINGS_PER_ROUND):
+            ahead = reached.join(jumps, list(PAGE_KEYS)).select(
+                "process_id", F.col("next_url").alias("url"), (F.col("page_no") + stride).alias("page_no")
+            )
+            onward = jumps.select("process_id", F.col("url").alias("next_url"), F.col("next_url").alias("onward"))
+            reached = reached.unionByName(ahead)
+            jumps = jumps.join(onward, ["process_id", "next_url"]).select(
+                *PAGE_KEYS, F.col("onward").alias("next_url")
+            )
+            stride *= 2
         # One staged table per round holds both: pages with a number, and jumps.
         round_rows, seen = stage_counted(
-            reached.unionByName(ahead)
-            .groupBy(*PAGE_KEYS)
+            reached.groupBy(*PAGE_KEYS)
             .agg(F.min("page_no").alias("page_no"))
             .withColumn("next_url", F.lit(None).cast("string"))
-            .unionByName(
-                jumps.join(onward, ["process_id", "next_url"]).select(
-                    *PAGE_KEYS, F.lit(None).cast("bigint").alias("page_no"), F.col("onward").alias("next_url")
-                )
-            ),
+            .unionByName(jumps.withColumn("page_no", F.lit(None).cast("bigint"))),
             "page-chain",
             pages=F.count("page_no"),
         )
@@ -80,7 +82,7 @@ def chain_positions(links: DataFrame, starts: DataFrame) -> DataFrame:
         no_jumps_left = seen["pages"] == seen["rows"]
         if no_jumps_left or seen["pages"] == known:
             return reached
-        known, stride = seen["pages"], stride * 2
+        known = seen["pages"]
 
 
 def chained_pages(pages: DataFrame, api: ApiSpec, starts: DataFrame) -> DataFrame:
@@ -137,7 +139,7 @@ def manifest_pages(
     pickle. ``max_pages`` ends a chain early; its last ``next_url`` continues.
     """
     if not chains:
-        return spark.createDataFrame([], PAGE_SCHEMA)
+        return local_rows(spark, PAGE_SCHEMA)
 
     class Reader(DataSourceReader):
         def partitions(self):

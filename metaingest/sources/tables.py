@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions._cols import named, quoted
 from ..session import settings
-from ._files import INT, LONG, TEXT, read_folder, schema_of
+from ._files import INT, LONG, TEXT, append_row, read_folder, schema_of
 
 LOG_SCHEMA = schema_of(
     table_nm=TEXT,
@@ -101,12 +101,13 @@ class TableStore:
         """Plan shuffles inside the block with the table's own bucket count."""
         return settings(self.spark, spark__sql__shuffle__partitions=buckets)
 
-    def write(self, table: str, rows: DataFrame, keys: Sequence[str], buckets: int, count) -> Version:
-        """Write a new version and make it current.
+    def write(
+        self, table: str, rows: DataFrame, keys: Sequence[str], buckets: int, count, previous: Version | None
+    ) -> Version:
+        """Write the version after ``previous`` and make it current.
 
         ``count()`` is asked for the number of rows after they are written.
         """
-        previous = self.current(table)
         number = previous.number + 1 if previous else 1
         path = f"{self.root}/{table}/v{number:08d}-{uuid.uuid4().hex}"
         (
@@ -117,8 +118,7 @@ class TableStore:
             .saveAsTable(self._catalog_name(path))
         )
         entry = (table, number, path, list(keys), buckets, count(), rows.schema.json())
-        log = self.spark.createDataFrame([entry], LOG_SCHEMA)
-        log.coalesce(1).write.mode("append").parquet(self.log_path)
+        append_row(self.spark, self.log_path, LOG_SCHEMA, entry)
         return Version(table, number, path, tuple(keys), buckets, entry[5], rows.schema)
 
     @staticmethod

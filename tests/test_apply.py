@@ -233,7 +233,7 @@ def test_half_written_version_is_never_read(spark, tmp_path):
     boom = F.raise_error(F.lit("lost"))
     broken = space.tables.read("product").withColumn("title", F.when(F.col("ean") == 1, boom))
     with pytest.raises(Exception, match="lost"):
-        space.tables.write("product", broken, ["ean"], 8, lambda: 0)
+        space.tables.write("product", broken, ["ean"], 8, lambda: 0, space.tables.current("product"))
     assert space.tables.current("product").number == 1
     assert [r[1] for r in target_rows(space)] == ["a"]
 

@@ -97,3 +97,10 @@ def test_hot_lookup_key_is_split(spark):
         rows = joined.collect()
         assert len(rows) == 60_000
         assert "skew=true" in plan_of(joined)
+
+
+def test_each_bucket_is_one_file(spark, space):
+    apply_snapshot(space, data.PART_SPEC, 2, datetime(2024, 1, 2))
+    version = space.tables.current("product")
+    files = spark.read.parquet(version.path).inputFiles()
+    assert version.number == 2 and len(files) <= version.buckets
