@@ -22,7 +22,10 @@ def active_processes(cfg_process: DataFrame) -> DataFrame:
 
 def api_settings(cfg_api: DataFrame) -> DataFrame:
     """API rows with their lists and maps parsed, ordered by process and type."""
+    return _parsed_apis(cfg_api).orderBy("process_id", "api_type")
 
+
+def _parsed_apis(cfg_api: DataFrame) -> DataFrame:
     def text(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("")).alias(name)
 
@@ -42,11 +45,15 @@ def api_settings(cfg_api: DataFrame) -> DataFrame:
         text("target_chld_key_tag"),
         "target_key_list",
         ml.content_type("content_type").alias("content_type"),
-    ).orderBy("process_id", "api_type")
+    )
 
 
 def bucket_rows(cfg_bucket: DataFrame) -> DataFrame:
     """Bucket columns with flags parsed: by bucket, keys first, then attribute."""
+    return _parsed_buckets(cfg_bucket).orderBy("process_id", "api_type", "bucket_nm", F.desc("is_key"), "attr_nm")
+
+
+def _parsed_buckets(cfg_bucket: DataFrame) -> DataFrame:
     return cfg_bucket.select(
         "process_id",
         "api_type",
@@ -58,7 +65,7 @@ def bucket_rows(cfg_bucket: DataFrame) -> DataFrame:
         ml.is_yes("attr_is_key").alias("is_key"),
         "attr_xpath",
         ml.is_yes("attr_is_xml_body").alias("is_body"),
-    ).orderBy("process_id", "api_type", "bucket_nm", F.desc("is_key"), "attr_nm")
+    )
 
 
 def bucket_columns(cfg_bucket: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def bucket_columns(cfg_bucket: DataFrame) -> DataFrame:
         "is_body",
     )
     grouped = (
-        bucket_rows(cfg_bucket)
+        _parsed_buckets(cfg_bucket)
         .groupBy("process_id", "api_type", "bucket_nm")
         .agg(
             F.min("target_table_nm").alias("table_nm"),
@@ -95,7 +102,7 @@ def process_settings(cfg_process: DataFrame, cfg_api: DataFrame, cfg_bucket: Dat
         .groupBy("process_id", "api_type")
         .agg(F.sort_array(F.collect_list(bucket)).alias("bucket_specs"))
     )
-    apis = api_settings(cfg_api)
+    apis = _parsed_apis(cfg_api)
     setting = F.struct(*[c for c in apis.columns if c not in ("process_id", "api_type")], "bucket_specs")
 
     def of_type(api_type: str) -> Column:

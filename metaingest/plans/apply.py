@@ -13,7 +13,7 @@ from ..functions._cols import field as sub
 from ..operators.extract import check_values, parse_payloads
 from ..operators.fold import incoming_rows
 from ..operators.upsert import ACTION, INSERTED, UNCHANGED, UNTOUCHED, UPDATED, upsert_rows
-from ..session import spread, stage_counted
+from ..session import spread, staged
 from ..sources.tables import TableStore
 from ..specs import ProcessSpec, TargetSpec
 from .workspace import Workspace
@@ -116,19 +116,16 @@ def apply_payloads(
     """
     stamp = F.lit(now).cast("timestamp_ntz")
     applier = applier or StoreApplier(workspace.tables)
-    parsed, seen = stage_counted(parse_run(archive, spec), "parsed", failed=F.count("reason"))
-    total, failed = seen["rows"], seen["failed"]
-    if failed:
-        set_aside(parsed, workspace, now)
-    result = ApplyResult(total, failed, problems=spec.data_api.problems())
-    if total == failed:
-        return result
-    for target in spec.data_api.targets():
-        incoming = incoming_rows(parsed, target)
-        counts = applier.apply(incoming, target, stamp, total - failed)
-        known = result.actions.setdefault(target.table, dict.fromkeys(ACTIONS, 0))
-        for action, count in counts.items():
-            known[action] += count
+    with staged(parse_run(archive, spec), "parsed", failed=F.count("reason")) as (parsed, seen):
+        total, failed = seen["rows"], seen["failed"]
+        result = ApplyResult(total, failed, problems=spec.data_api.problems())
+        if failed:
+            set_aside(parsed, workspace, now)
+        for target in spec.data_api.targets() if total > failed else ():
+            counts = applier.apply(incoming_rows(parsed, target), target, stamp, total - failed)
+            known = result.actions.setdefault(target.table, dict.fromkeys(ACTIONS, 0))
+            for action, count in counts.items():
+                known[action] += count
     return result
 
 

@@ -12,7 +12,7 @@ from ..functions import times, urls
 from ..functions.typed import numeric_key
 from ..operators.explode import PAGE_NOT_DOCUMENT, explode_records
 from ..operators.specs import key_frame
-from ..session import local_rows, stage_counted
+from ..session import local_rows, staged
 from ..sources.archive import archive_id
 from ..sources.pages import plain_url
 from ..specs import ApiSpec, ProcessSpec, SpecError
@@ -73,24 +73,23 @@ def archive_records(
         "args",
         "reason",
     )
-    staged, seen = stage_counted(
-        numbered, "manifest", bad=F.count("reason"), key_bytes=F.sum(F.octet_length("key"))
-    )
-    good = staged.where(F.col("reason").isNull()).drop("reason")
-    key_bytes = (seen["key_bytes"] or 0) + KEY_OVERHEAD * seen["rows"]
-    rows = inputs.add_payloads(good, spec.data_api, key_bytes).select(
-        "id",
-        numeric_key("key").alias("ean"),
-        "notification",
-        "data",
-        stamp.alias("add_dtime"),
-        stamp.alias("upd_dtime"),
-        F.lit(change_id).cast("bigint").alias("change_id"),
-    )
-    workspace.archive.append(rows)
-    if seen["bad"]:
-        bad = staged.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
-        workspace.quarantine.append(bad, PULL_STAGE, stamp)
+    metrics = {"bad": F.count("reason"), "key_bytes": F.sum(F.octet_length("key"))}
+    with staged(numbered, "manifest", **metrics) as (records, seen):
+        good = records.where(F.col("reason").isNull()).drop("reason")
+        key_bytes = (seen["key_bytes"] or 0) + KEY_OVERHEAD * seen["rows"]
+        rows = inputs.add_payloads(good, spec.data_api, key_bytes).select(
+            "id",
+            numeric_key("key").alias("ean"),
+            "notification",
+            "data",
+            stamp.alias("add_dtime"),
+            stamp.alias("upd_dtime"),
+            F.lit(change_id).cast("bigint").alias("change_id"),
+        )
+        workspace.archive.append(rows)
+        if seen["bad"]:
+            bad = records.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
+            workspace.quarantine.append(bad, PULL_STAGE, stamp)
 
 
 def total_records(workspace: Workspace, change_id: int) -> int:

@@ -23,7 +23,7 @@ from ..plans.inputs import LandedInputs
 from ..plans.pull import archive_records, manifest_for_keys
 from ..plans.run import run
 from ..plans.workspace import Workspace
-from ..session import scratch_path
+from ..session import local_rows, scratch_path
 from ..sources.archive import archive_id
 from ..sources.ledger import ledger_state
 from ..sources.pages import chain_positions, next_links, string_map
@@ -251,7 +251,7 @@ def filter_args(spark, sf_dir):
 def page_chain(spark, sf_dir):
     """Position of every page in its chain, found from the links alone."""
     pages = data.manifest_pages(table(spark, sf_dir, "part"), 20).select("process_id", "url", "body")
-    starts = pages.select("process_id", data.page_url(F.lit(0)).alias("url")).distinct()
+    starts = local_rows(spark, "process_id bigint, url string", [(1, f"{data.BASE_URL}?products=BK")])
     return chain_positions(next_links(pages, data.MANIFEST_API), starts).select("url", "page_no")
 
 

@@ -42,12 +42,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def stage_counted(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
     """``stage``, with aggregates of the frame taken while it is written."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _write_and_read(df, scratch_path(df.sparkSession, label), metrics)
+
+
+def _write_and_read(df: DataFrame, path: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict[str, object]]:
     seen = Observation()
     metrics = {"rows": F.count(F.lit(1)), **metrics}
     df.observe(seen, *[metric.alias(name) for name, metric in metrics.items()]).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, **metrics: Column):
+    """``stage_counted`` for the duration of a block; its files go afterwards."""
+    path = scratch_path(df.sparkSession, label)
+    try:
+        yield _write_and_read(df, path, metrics)
+    finally:
+        jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def local_rows(spark: SparkSession, schema: T.StructType | str, rows: list[tuple] = ()) -> DataFrame:

@@ -258,3 +258,12 @@ def test_merge_needs_a_catalog_that_supports_it(spark, tmp_path):
     space.archive.append(archive(spark, [doc(1, title="a")]))
     with pytest.raises(Exception, match="(?i)merge"):
         apply_snapshot(space, SPEC, 1, NOW, MergeApplier(lambda name: "merge_" + name))
+
+
+def test_nothing_to_apply(spark, tmp_path):
+    space = Workspace(spark, str(tmp_path))
+    result = apply_snapshot(space, SPEC, 1, NOW)
+    assert (result.total, result.failed) == (0, 0) and space.tables.read("product") is None
+    space.archive.append(archive(spark, ["<broken"]))
+    result = apply_snapshot(space, SPEC, 1, NOW)
+    assert (result.total, result.failed) == (1, 1) and space.tables.read("product") is None

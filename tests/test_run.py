@@ -13,6 +13,7 @@ from metaingest.operators.runs import incremental_start, last_run, resume_candid
 from metaingest.operators.specs import load_specs
 from metaingest.plans.apply import apply_snapshot
 from metaingest.plans.pull import pull
+from metaingest.session import local_rows
 from metaingest.sources.ledger import Ledger
 from metaingest.streaming.apply import stream_apply
 from metaingest.streaming.land import stream_archive
@@ -238,3 +239,13 @@ def test_stream_equals_batch(spark, tmp_path):
     # A stream that starts over from the beginning changes nothing.
     stream_apply(spark, stream, spec, LATER, str(tmp_path / "cp3")).awaitTermination()
     assert stream.tables.read("product_main_data").orderBy("EAN").collect() == left
+
+
+def test_nothing_landed(spark, tmp_path):
+    spec = spec_of(spark)
+    space = Workspace(spark, str(tmp_path))
+    pages = local_rows(spark, "process_id bigint, url string, body string")
+    inputs = LandedInputs(pages, local_rows(spark, "key string, body string"))
+    change_id = pull(spark, space, spec, inputs, NOW)
+    state = space.ledger.state().first()
+    assert (state.change_id, state.status, state.total_records) == (change_id, "C", 0)
