@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import packing, quality, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +29,55 @@ def op9_quality_ratio(spark, sf_dir):
     """Figures, base rules and verdict of every document."""
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return judged.drop("text")
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+#: Hosts with one of these are the listed keys.
+LISTED_WORDS = ["ads-", "bets", "casino", "pills"]
+
+
+@query
+def op7_url_cascade(spark, sf_dir):
+    """Rule and verdict of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = url_filter.listed_by_words(LISTED_WORDS)
+    return url_filter.judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op7_url_cascade"] = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), rules(action, rule_host, rule_path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fits AS (
+    SELECT DISTINCT host, path,
+           arg_max(rule_host || rule_path, length(rule_host || rule_path)) OVER (PARTITION BY host, path) AS rule,
+           arg_max(action, length(rule_host || rule_path)) OVER (PARTITION BY host, path) AS action
+    FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
+      ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches(host, 'ads-|bets|casino|pills') THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN fits USING (host, path)
+"""
+
+
+@query
+def op8_packed_windows(spark, sf_dir):
+    """Every piece of every document with its place in a sequence."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False).drop("ids")

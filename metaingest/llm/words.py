@@ -83,7 +83,9 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         low = high
 
 
-def find_words(texts: Texts, table: np.ndarray = SPACED) -> Words:
+def find_words(texts: Texts, table: np.ndarray = SPACED, kinds: np.ndarray | None = None) -> Words:
+    """Runs of the bytes in ``table``. With ``kinds``, a run is also cut where
+    a byte of kind 1 meets one of kind 2."""
     data, offsets = texts
     inside = table[data]
     size = len(inside)
@@ -92,6 +94,9 @@ def find_words(texts: Texts, table: np.ndarray = SPACED) -> Words:
     closes = inside.copy()
     closes[:-1] &= ~inside[1:]
     borders = offsets[(offsets > 0) & (offsets < size)]
+    if kinds is not None:
+        kind = kinds[data]
+        borders = np.concatenate((borders, np.flatnonzero(kind[1:] * kind[:-1] == 2) + 1))
     opens[borders] = inside[borders]
     closes[borders - 1] = inside[borders - 1]
     starts = np.flatnonzero(opens)
