@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, url_filter
+from . import packing, quality, secrets, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +81,14 @@ def op8_packed_windows(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False).drop("ids")
+
+
+@query
+def op10_secret_spans(spark, sf_dir):
+    """Counts, digest and list of every document's secrets."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
+    digest = F.sha2(secrets.span_text(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.span_text(spans).alias("spans"))
