@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, url_filter
+from . import near_dedup, packing, quality, secrets, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,3 +92,10 @@ def op10_secret_spans(spark, sf_dir):
     counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
     digest = F.sha2(secrets.span_text(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, secrets.span_text(spans).alias("spans"))
+
+
+@query
+def op2_circulant_minhash(spark, sf_dir):
+    """Component of every document by its 2-word shingles."""
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
