@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, quality, secrets, url_filter
+from . import near_dedup, packing, quality, secrets, sharding, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,11 @@ def op2_circulant_minhash(spark, sf_dir):
     """Component of every document by its 2-word shingles."""
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+@query
+def op1_kd_shards(spark, sf_dir):
+    """Shard and slot of every document."""
+    docs = table(spark, sf_dir, "documents")
+    placed = sharding.shard(docs, ["n_chars", "source", "lang"], shards=24)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
