@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, quality, secrets, sharding, url_filter
+from . import near_dedup, packing, phrase_index, quality, secret_scan, sharding, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,12 +86,12 @@ def op8_packed_windows(spark, sf_dir):
 @query
 def op10_secret_spans(spark, sf_dir):
     """Counts, digest and list of every document's secrets."""
-    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("spans")
-    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
-    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
-    digest = F.sha2(secrets.span_text(base), 256).alias("base_sha256")
-    return found.select("doc_id", *counts, digest, secrets.span_text(spans).alias("spans"))
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS]
+    digest = F.sha2(secret_scan.span_text(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.span_text(spans).alias("spans"))
 
 
 @query
@@ -107,3 +107,50 @@ def op1_kd_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     placed = sharding.shard(docs, ["n_chars", "source", "lang"], shards=24)
     return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query
+def op3_phrase_index(spark, sf_dir):
+    """Benchmark passages in every document."""
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLE["op3_phrase_index"] = r"""
+WITH RECURSIVE spread AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(words), 13) AS size, array_to_string(words[i : i + 12], ' ') AS phrase
+    FROM items, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS r(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT DISTINCT size FROM windows
+), found AS (
+    SELECT doc_id, i, size, item_id
+    FROM (SELECT doc_id, i, s.size AS size, array_to_string(words[i : i + s.size - 1], ' ') AS phrase
+          FROM spread, sizes AS s, unnest(range(1, len(words) - s.size + 2)) AS r(i)) AS runs
+    JOIN windows USING (size, phrase)
+), hits AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit FROM found, unnest(range(i, i + size)) AS r(place) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM spread LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from metaingest.llm import secrets
+from metaingest.llm import secret_scan as secrets
 from metaingest.llm import words as w
 from metaingest.llm.automaton import compile_rules
 
