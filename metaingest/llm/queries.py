@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, packing, phrase_index, quality, secret_scan, sharding, url_filter
+from ..session import scratch_path
+from . import near_dedup, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,3 +155,54 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM spread LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op4_chat_snapshots(spark, sf_dir):
+    """Every maximal conversation as chat text."""
+    return snapshots.render(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op4_chat_snapshots"] = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), whole AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS said FROM turns GROUP BY conv_id
+), kept AS (
+    SELECT min(conv_id) AS conv_id, said FROM whole
+    WHERE said::VARCHAR NOT IN (SELECT DISTINCT said[1:k]::VARCHAR FROM whole, unnest(range(1, len(said))) AS r(k))
+    GROUP BY said
+)
+SELECT conv_id, len(said)::BIGINT AS n_turns,
+       array_to_string(list_transform(said, lambda s: '<|im_start|>' || coalesce(s.role, '') || chr(10)
+           || replace(coalesce(s.text, ''), '<|im_', '<| im_') || '<|im_end|>' || chr(10)), '') AS text
+FROM kept
+"""
+
+
+@query
+def op6_warc_salvage(spark, sf_dir):
+    """Pages as archives, and what reading these gives."""
+    path = scratch_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archives(warc.plan_records(pages), path)
+    records, _ = warc.read_archives(spark, path)
+    kind = pages.schema["page_id"].dataType
+    ids = {name: F.expr(f"try_cast(nullif(page, '') as {kind.simpleString()})") for name in ("page_id",)}
+    figures = warc.payload_figures(records).withColumn("page", warc.page_of(F.col("record_id"))).withColumns(ids)
+    referred = F.expr(f"try_cast(nullif(other, '') as {kind.simpleString()})").alias("refers_to")
+    figures = figures.withColumn("other", warc.page_of(F.col("refers_to"))).drop("refers_to")
+    return figures.select("page_id", "payload_bytes", "payload_digest", "record_type", referred)
+
+
+ORACLE["op6_warc_salvage"] = r"""
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS response FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN response IS NOT NULL AND page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
