@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import near_dedup, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
+from . import near_dedup, ngram_trie, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,3 +206,10 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
 FROM payloads LEFT JOIN firsts USING (payload_digest)
 """
+
+
+@query
+def op5_trie_scores(spark, sf_dir):
+    """Scores of every document by the model of the training fold."""
+    docs = table(spark, sf_dir, "documents")
+    return ngram_trie.score(docs, ngram_trie.held_out(F.col("doc_id")))
