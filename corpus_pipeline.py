@@ -7,20 +7,54 @@ as the next one's documents. All stages but the last return the columns of
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from metaingest.llm import quality
+from metaingest.llm import near_dedup, packing, phrase_index, quality, secret_scan
 from metaingest.session import stage
 from metaingest.ship import ship_package
 
+VOCABULARY = "word_bpe_49k.json"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that reach the quality threshold (operator 9)."""
+    """Documents that the quality rules keep (operator 9)."""
     ship_package(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest
+    id (operator 2): five-word shingles, similarity 0.8."""
+    ship_package(spark)
+    return near_dedup.keep_one(docs, shingle=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover less than 5 % (operator 3)."""
+    ship_package(spark)
+    return phrase_index.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked (operator 10)."""
+    ship_package(spark)
+    return secret_scan.redact(docs)
+
+
+def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token sequences, packed (operator 8)."""
+    ship_package(spark)
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("packed_windows", packed_windows),
+]
 
 #: The stages hash n-grams and tokenize, which SQL can't express.
 ORACLE_SQL = None

@@ -332,6 +332,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW
     """The rows of ``docs`` that are not contaminated. A row is known by its id,
     which may be null, and its text."""
     bad = contamination(docs, items, window, percent).filter("contaminated")
-    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
-    same = (F.xxhash64("text") == F.col("bad_hash")) & F.col("doc_id").eqNullSafe(F.col("bad_id"))
+    bad = bad.select("doc_id", "text_hash").distinct().alias("bad")
+    docs = docs.alias("docs")
+    same = (F.xxhash64("docs.text") == F.col("bad.text_hash")) & F.col("docs.doc_id").eqNullSafe(F.col("bad.doc_id"))
     return docs.join(bad, same, "left_anti")

@@ -170,4 +170,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    return judge(docs, labels, threshold).filter("kept").select(*docs.columns)
+    figures = [*(x.split()[0] for x in _FEATURES.split(", ")), "base_failed", "kept"]
+    aside = {c: f"own_{i}_{c}" for i, c in enumerate(docs.columns) if c in figures}
+    judged = judge(docs.withColumnsRenamed(aside), labels, threshold).filter("kept").drop(*figures)
+    return judged.withColumnsRenamed({new: old for old, new in aside.items()}).select(*docs.columns)
