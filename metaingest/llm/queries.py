@@ -90,7 +90,7 @@ def op10_secret_spans(spark, sf_dir):
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
-    counts = [F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS]
+    counts = [secret_scan.count_kind(spans, kind).alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS]
     digest = F.sha2(secret_scan.span_text(base), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, secret_scan.span_text(spans).alias("spans"))
 

@@ -263,3 +263,7 @@ def _replaced(column: pa.Array, values: dict) -> pa.Array:
 def span_text(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
