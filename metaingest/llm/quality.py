@@ -77,8 +77,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     counts[:, found["bucket"].to_numpy()] = found["raw"].to_numpy(), found["target"].to_numpy()
     if not counts[1].any():
         return np.zeros(BUCKETS)
-    raw, target = np.log(counts + SMOOTHING) - np.log(counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)
-    return target - raw
+    raw, target = counts
+    # Raw counts scaled to the target's total, so that a rare n-gram the sample can't hold says little.
+    return np.log(target + SMOOTHING) - np.log(raw * (target.sum() / raw.sum()) + SMOOTHING)
 
 
 def _text_features(texts: w.Texts, ratios: np.ndarray) -> dict[str, np.ndarray]:
