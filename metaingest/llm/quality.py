@@ -25,9 +25,9 @@ from . import words as w
 
 LABEL_ROWS = 200_000
 BUCKETS = 1 << 16
-SMOOTHING = 1.0
+SMOOTHING = 4.0
 #: Mean log-likelihood ratio, in nats an n-gram, that a kept text reaches.
-THRESHOLD = -0.1
+THRESHOLD = -0.13
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
