@@ -6,6 +6,9 @@ import json
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterable
+from xml.sax.saxutils import escape
+
+from .paths import union_parts
 
 Finder = Callable[[ET.Element], list[ET.Element]]
 
@@ -86,12 +89,55 @@ def xml_of(element: ET.Element) -> str:
     tail, element.tail = element.tail, None
     try:
         return ET.tostring(element, encoding="unicode")
+    except RecursionError:
+        return _deep_xml(element)
     finally:
         element.tail = tail
 
 
+def _deep_xml(root: ET.Element) -> str:
+    """The same text for a document nested deeper than Python can recurse."""
+    prefixes: dict[str, str] = {}
+
+    def name(tag: str) -> str:
+        if not tag.startswith("{"):
+            return tag
+        uri, _, local = tag[1:].partition("}")
+        return f"{prefixes.setdefault(uri, f'ns{len(prefixes)}')}:{local}"
+
+    for element in root.iter():
+        for tag in (element.tag, *element.attrib):
+            name(tag)
+    spaces = "".join(f' xmlns:{prefix}="{_attribute(uri)}"' for uri, prefix in prefixes.items())
+    out: list[str] = []
+    todo: list[ET.Element | str] = [root]
+    while todo:
+        element = todo.pop()
+        if isinstance(element, str):
+            out.append(element)
+            continue
+        tag, attributes = name(element.tag), "".join(f' {name(k)}="{_attribute(v)}"' for k, v in element.attrib.items())
+        out.append(f"<{tag}{spaces if element is root else ''}{attributes}")
+        tail = "" if element is root else escape(element.tail or "")
+        if element.text or len(element):
+            out.append(f">{escape(element.text or '')}")
+            todo.append(f"</{tag}>{tail}")
+            todo.extend(reversed(element))
+        else:
+            out.append(f" />{tail}")
+    return "".join(out)
+
+
+def _attribute(value: str) -> str:
+    return escape(value, {'"': "&quot;", "\r": "&#13;", "\n": "&#10;", "\t": "&#09;"})
+
+
 def compile_path(path: str) -> Finder:
     """Matches of a ``tree`` path below a document, at least all first ones per start."""
+    parts = union_parts(path)
+    if len(parts) > 1:
+        finders = [compile_path(part) for part in parts]
+        return lambda document: list({id(e): e for finder in finders for e in finder(document)}.values())
     path = path.strip()
     plain = _CHILD_STEPS.fullmatch(path)
     if plain is None:
@@ -163,12 +209,9 @@ def slot_row(body: str | None, is_json: bool, plans: tuple[list, list], size: in
     """Slot values of one body, then whether it is a document, then its XML if asked for."""
     document = parse_document(body, is_json)
     if document is not None:
-        try:
-            row = _slot_values(document, plans, size)
-            row.append(True)
-            return row + [xml_of(document[0])] if keep_document else row
-        except RecursionError:
-            pass
+        row = _slot_values(document, plans, size)
+        row.append(True)
+        return row + [xml_of(document[0])] if keep_document else row
     return [None] * size + [False] + [None] * keep_document
 
 

@@ -30,7 +30,12 @@ def path_kind(path: str) -> str:
         raise PathError("path is blank")
     if _NOT_ELEMENTS.search(text):
         raise PathError(f"path selects no elements: {text}")
-    return "tree" if _TREE_PATH.fullmatch(text) else "xpath"
+    return "tree" if all(_TREE_PATH.fullmatch(part.strip()) for part in union_parts(text)) else "xpath"
+
+
+def union_parts(path: str) -> list[str]:
+    """The alternatives of a path; a bar inside quotes or brackets stays."""
+    return re.split(r"\|(?=(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\"|\[(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\")*\])*$)", path)
 
 
 def check_xpath(spark: SparkSession, path: str) -> None:

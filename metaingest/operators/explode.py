@@ -66,6 +66,14 @@ def key_problem(key) -> Column:
     return F.when(is_blank(key), BLANK_KEY).when(numeric_key(key).isNull(), KEY_NOT_NUMERIC)
 
 
+def _xpath_values(body: Column, path: str) -> Column:
+    """Texts of the matches of a path that only XPath can evaluate. One match
+    gives its whole text; of several each direct text is a value."""
+    alone = F.xpath_int(body, F.lit(f"count({path})")) == 1
+    several = F.xpath(body, F.lit(f"({path})/text()"))
+    return F.when(alone, F.array(F.xpath_string(body, F.lit(path)))).otherwise(several)
+
+
 def _request_args(templates: dict[str, str], tree_paths: list[str]) -> Column:
     """Literals first, then the values found by paths; paths without a value are dropped."""
     no_args = F.create_map().cast("map<string,string>")
@@ -77,7 +85,7 @@ def _request_args(templates: dict[str, str], tree_paths: list[str]) -> Column:
         if path in tree_paths:
             values = F.get(F.col("_r.values"), F.lit(tree_paths.index(path)))
         else:
-            values = F.xpath(F.col("_r.body"), F.lit(path + "/text()"))
+            values = _xpath_values(F.col("_r.body"), path)
         found += [F.lit(name), urls.joined_values(values)]
     fixed = F.create_map(*[F.lit(x) for pair in literals.items() for x in pair]) if literals else no_args
     if not found:

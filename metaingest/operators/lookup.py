@@ -12,13 +12,20 @@ ERROR_ENVELOPE = (
 )
 
 
+def check_unique_keys(payloads: DataFrame, wanted: DataFrame, key: str = "key") -> None:
+    """Raise ``ValueError`` if a key that ``wanted`` has was landed more than once. Reads keys only."""
+    repeated = payloads.groupBy(key).count().where("count > 1").join(wanted.select(key), key, "left_semi").first()
+    if repeated is not None:
+        raise ValueError(f"payload landed more than once and no landing order is known: {repeated[key]}")
+
+
 def lookup_payloads(
     manifest: DataFrame, payloads: DataFrame, key: str = "key", body: str = "body", landed_order: str | None = None
 ) -> DataFrame:
     """Add ``data``: the payload with the record's key, else the error envelope.
 
-    Payload keys must be unique unless ``landed_order`` names a column by
-    which the latest one wins. The join is a left one with the manifest on the
+    Payload keys must be unique (``check_unique_keys``) unless ``landed_order``
+    names a column by which the latest one wins. The join is a left one with the manifest on the
     preserved side, so Spark splits a hot key at run time without losing rows.
     """
     if landed_order is None:

@@ -94,8 +94,11 @@ class MergeApplier:
 
 @dataclass
 class ApplyResult:
+    """``cut`` counts usable records with a text longer than its column."""
+
     total: int = 0
     failed: int = 0
+    cut: int = 0
     actions: dict[str, dict[str, int]] = field(default_factory=dict)
     problems: list[str] = field(default_factory=list)
 
@@ -107,7 +110,12 @@ def parse_run(archive: DataFrame, spec: ProcessSpec) -> DataFrame:
 
 
 def apply_payloads(
-    archive: DataFrame, workspace: Workspace, spec: ProcessSpec, now: datetime, applier: Applier | None = None
+    archive: DataFrame,
+    workspace: Workspace,
+    spec: ProcessSpec,
+    now: datetime,
+    applier: Applier | None = None,
+    change_id: int | None = None,
 ) -> ApplyResult:
     """Parse archived payloads once, set bad ones aside, upsert the rest.
 
@@ -116,11 +124,12 @@ def apply_payloads(
     """
     stamp = F.lit(now).cast("timestamp_ntz")
     applier = applier or StoreApplier(workspace.tables)
-    with staged(parse_run(archive, spec), "parsed", failed=F.count("reason")) as (parsed, seen):
+    cut = F.count_if(F.col("reason").isNull() & (F.size("truncated") > 0))
+    with staged(parse_run(archive, spec), "parsed", failed=F.count("reason"), cut=cut) as (parsed, seen):
         total, failed = seen["rows"], seen["failed"]
-        result = ApplyResult(total, failed, problems=spec.data_api.problems())
+        result = ApplyResult(total, failed, seen["cut"], problems=spec.data_api.problems())
         if failed:
-            set_aside(parsed, workspace, now)
+            set_aside(parsed, workspace, now, change_id)
         for target in spec.data_api.targets() if total > failed else ():
             counts = applier.apply(incoming_rows(parsed, target), target, stamp, total - failed)
             known = result.actions.setdefault(target.table, dict.fromkeys(ACTIONS, 0))
@@ -129,11 +138,11 @@ def apply_payloads(
     return result
 
 
-def set_aside(parsed: DataFrame, workspace: Workspace, now: datetime) -> None:
+def set_aside(parsed: DataFrame, workspace: Workspace, now: datetime, change_id: int | None = None) -> None:
     """Send unusable records to quarantine; they keep their archive row."""
     bad = parsed.where(F.col("reason").isNotNull())
     rows = bad.select("change_id", "id", F.col("ean").cast("string").alias("key"), "reason", "detail")
-    workspace.quarantine.append(rows, APPLY_STAGE, F.lit(now).cast("timestamp_ntz"))
+    workspace.quarantine.append(rows, APPLY_STAGE, F.lit(now).cast("timestamp_ntz"), change_id)
 
 
 def apply_snapshot(
@@ -141,4 +150,4 @@ def apply_snapshot(
 ) -> ApplyResult:
     """Apply what one run archived."""
     archive = workspace.archive.read(change_id)
-    return apply_payloads(spread(archive, "id"), workspace, spec, now, applier)
+    return apply_payloads(spread(archive, "id"), workspace, spec, now, applier, change_id)

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lookup import lookup_payloads
+from ..operators.lookup import check_unique_keys, lookup_payloads
 from ..session import local_rows, stage
-from ..sources.pages import Transport, chained_pages, manifest_pages
+from ..sources.pages import Transport, chain_positions, manifest_pages, next_links
 from ..sources.payloads import fetch_payloads
 from ..specs import ApiSpec, ProcessSpec
 
@@ -18,34 +18,62 @@ from ..specs import ApiSpec, ProcessSpec
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 
 
+class PageNotLanded(LookupError):
+    """A run needs a page that is not there, so it can't be complete."""
+
+    def __init__(self, process_id: int, url: str):
+        super().__init__(f"page not landed for process {process_id}: {url}")
+
+
 @dataclass
 class LandedInputs:
     """Pages and payloads that were landed as tables.
 
-    ``pages``: process_id, url, body, and optionally ``page_no``. With page
-    numbers the order is known: pages are read from the start url on, or all
-    of them if it was not landed, and no chain has to be followed.
-    ``payloads``: key, body, and optionally a landing order.
+    ``pages``: process_id, url, body, and optionally ``page_no`` and a column
+    named by ``page_order`` (such as a landing batch), by which the latest page
+    of a url counts. With page numbers the order is known, pages are read from
+    the start url on, and no chain has to be followed. A start url that was not
+    landed fails the run; where a chain leads to such a page, what comes before
+    is archived and the run fails at that page, to go on there later.
+    ``payloads``: key, body, and optionally a column named by ``landed_order``.
     """
 
     pages: DataFrame | None = None
     payloads: DataFrame | None = None
     key_table: Callable[[str], DataFrame] | None = None
     landed_order: str | None = None
+    page_order: str | None = None
+
+    def _pages_of(self, process_id: int) -> DataFrame:
+        mine = self.pages.where(F.col("process_id") == process_id)
+        if self.page_order is None:
+            return mine
+        newest = mine.groupBy("url").agg(F.max(self.page_order).alias(self.page_order))
+        return mine.join(newest, ["url", self.page_order]).drop(self.page_order)
 
     def page_batches(self, spark: SparkSession, spec: ProcessSpec, start_url: str):
         """Yields (pages with page_no, anchor to continue from or None)."""
-        mine = self.pages.where(F.col("process_id") == spec.process_id)
+        mine = self._pages_of(spec.process_id)
         if "page_no" in mine.columns:
             first = mine.where(F.col("url") == start_url).agg(F.min("page_no")).first()[0]
-            mine = mine if first is None else mine.where(F.col("page_no") >= first)
-        else:
-            starts = local_rows(spark, "process_id bigint, url string", [(spec.process_id, start_url)])
-            mine = chained_pages(mine, spec.change_api, starts)
-        yield mine, None
+            if first is None:
+                raise PageNotLanded(spec.process_id, start_url)
+            yield mine.where(F.col("page_no") >= first), None
+            return
+        starts = local_rows(spark, "process_id bigint, url string", [(spec.process_id, start_url)])
+        positions = chain_positions(next_links(mine, spec.change_api), starts)
+        gap = positions.join(mine.select("url"), "url", "left_anti").select("url", "page_no").first()
+        if gap is None:
+            yield mine.join(positions, ["process_id", "url"]), None
+            return
+        if gap["page_no"] > 0:
+            yield mine.join(positions, ["process_id", "url"]), gap["url"]
+        raise PageNotLanded(spec.process_id, gap["url"])
 
     def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:
         payloads = self.payloads
+        if self.landed_order is None:
+            check_unique_keys(payloads, manifest)
         if key_bytes <= BROADCAST_KEY_BYTES:
             # Few records against a large payload table: drop other payloads
             # while scanning, so that only wanted bodies are shuffled.

@@ -89,7 +89,7 @@ def archive_records(
         workspace.archive.append(rows)
         if seen["bad"]:
             bad = records.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
-            workspace.quarantine.append(bad, PULL_STAGE, stamp)
+            workspace.quarantine.append(bad, PULL_STAGE, stamp, change_id)
 
 
 def total_records(workspace: Workspace, change_id: int) -> int:
@@ -159,5 +159,10 @@ def _pull_keys(spark, workspace: Workspace, spec: ProcessSpec, inputs, now: date
 
 
 def _page_span(pages: DataFrame) -> tuple[int, int]:
-    low, high = pages.agg(F.min("page_no"), F.max("page_no")).first()
+    """First page number and how many there are; numbers make up the archive ids, so none may repeat."""
+    low, high, rows, numbers = pages.agg(
+        F.min("page_no"), F.max("page_no"), F.count("page_no"), F.count_distinct("page_no")
+    ).first()
+    if rows != numbers:
+        raise ValueError(f"{rows} pages have {numbers} numbers")
     return (0, 0) if low is None else (low, high - low + 1)

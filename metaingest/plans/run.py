@@ -34,7 +34,11 @@ def run(
     now: datetime,
     applier: Applier | None = None,
 ) -> list[ProcessResult]:
-    """Run all active processes in id order; a failing one does not stop the others."""
+    """Run all active processes in id order; a failing one does not stop the others.
+
+    After the pull every completed run of the process that was not applied yet is
+    applied, oldest first, so a run whose apply failed is made up for later.
+    """
     workspace = Workspace(spark, root)
     specs, skipped = load_specs(spark, cfg_process, cfg_api, cfg_bucket)
     results = [ProcessResult(process_id, error=reason) for process_id, reason in skipped.items()]
@@ -42,9 +46,15 @@ def run(
         result = ProcessResult(spec.process_id)
         try:
             result.change_id = pull(spark, workspace, spec, inputs, now)
-            result.applied = apply_snapshot(workspace, spec, result.change_id, now, applier)
         except Exception as error:
-            log.exception("process %s failed", spec.process_id)
+            log.exception("pull of process %s failed", spec.process_id)
             result.error = str(error)
+        try:
+            for change_id in workspace.ledger.unapplied(spec.process_id):
+                result.applied = apply_snapshot(workspace, spec, change_id, now, applier)
+                workspace.ledger.applied(change_id, spec.process_id, now)
+        except Exception as error:
+            log.exception("apply of process %s failed", spec.process_id)
+            result.error = result.error or str(error)
         results.append(result)
     return sorted(results, key=lambda r: r.process_id)

@@ -224,11 +224,10 @@ SELECT p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price
 FROM part WHERE p_size % 3 IN (0, 1) AND p_size <> 7
 UNION ALL
 SELECT p_partkey, p_name, p_size, p_retailprice, {_NOW}, {_NOW}, 'key list'
-FROM part WHERE p_size <> 7 AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50)""",
+FROM part WHERE p_size <> 7 AND p_partkey IN (SELECT l_partkey FROM lineitem)""",
     "full_run_ledger": f"""
 WITH listed AS (
   SELECT DISTINCT l_partkey, p_partkey FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size <> 7
-  WHERE l_quantity = 50
 ), runs AS (
   SELECT CAST(1 AS BIGINT) AS change_id, count(*) AS total_records, count(*) FILTER (WHERE p_size = 7) AS bad
   FROM part WHERE p_size % 3 IN (0, 1)
@@ -237,6 +236,26 @@ WITH listed AS (
 SELECT change_id, change_id AS process_id, {_NOW} AS start_dtime, total_records, 'C' AS status,
        CASE WHEN bad > 0 THEN 'error_payload' END AS reason, CASE WHEN bad > 0 THEN bad END AS bad
 FROM runs""",
+    "incremental_runs": """
+SELECT p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price,
+       CASE p_partkey % 3 WHEN 0 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-05-01' END AS add_dtime, add_dtime AS upd_dtime
+FROM part WHERE p_size % 3 IN (0, 1) AND p_size <> 7""",
+    "apply_counts": """
+SELECT count(*) AS total, count(*) FILTER (WHERE p_partkey % 4 IN (1, 3)) AS failed, CAST(0 AS BIGINT) AS cut,
+       count(*) FILTER (WHERE p_size >= 40 AND p_partkey % 4 IN (0, 2)) AS inserted,
+       count(*) FILTER (WHERE p_size < 40 AND p_partkey % 4 = 0) AS updated,
+       count(*) FILTER (WHERE p_size < 40 AND p_partkey % 4 = 2) AS unchanged
+FROM part WHERE p_size >= 20""",
+    "manifest_key_problems": """
+SELECT p_partkey, CASE WHEN p_partkey % 5 <> 4 THEN 0 END AS record_no,
+       CASE p_partkey % 5 WHEN 1 THEN '' WHEN 2 THEN p_name WHEN 3 THEN CAST(p_partkey AS VARCHAR) END AS key,
+       CASE p_partkey % 5 WHEN 0 THEN 'blank_key' WHEN 1 THEN 'blank_key' WHEN 2 THEN 'key_not_numeric'
+            WHEN 4 THEN 'page_not_a_document' END AS reason
+FROM part""",
+    "sql_functions": f"""
+SELECT p_partkey AS ean, p_name AS title, '<price><amount>' || p_retailprice || '</amount></price>' AS price,
+       CAST(NULL AS VARCHAR) AS nothing, {_RECORD} AS record
+FROM part""",
     "archive_order": f"""
 SELECT p_partkey AS ean, p_partkey // 50 AS page_no,
        CAST(row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) AS INTEGER) AS place,

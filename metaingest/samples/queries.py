@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import minilang as ml
 from ..functions import times, typed, urls
 from ..functions._cols import field
+from ..functions.documents import register_functions
 from ..operators.explode import explode_records
 from ..operators.extract import ATTRS, check_values, fan_out, parse_payloads
 from ..operators.fold import last_writer_wins
@@ -669,7 +670,7 @@ def landed_inputs(spark, sf_dir) -> LandedInputs:
     payloads = parts.where("p_size <> 7").select(
         F.col("p_partkey").cast("string").alias("key"), data.full_part_payload().alias("body")
     )
-    return LandedInputs(pages, payloads, key_table=lambda _name: table(spark, sf_dir, "lineitem").where("l_quantity = 50"))
+    return LandedInputs(pages, payloads, key_table=lambda _name: table(spark, sf_dir, "lineitem"))
 
 
 def run_parts(spark, sf_dir) -> Workspace:
@@ -702,6 +703,87 @@ def full_run_ledger(spark, sf_dir):
     )
 
 
+class FailingApplier:
+    """Stands for a target that can't be written just now."""
+
+    def apply(self, incoming, target, now, expected_rows):
+        raise RuntimeError("the target can't be written")
+
+
+LANDINGS = (datetime(2024, 3, 1), datetime(2024, 4, 1), datetime(2024, 5, 1))
+
+
+@query
+def incremental_runs(spark, sf_dir):
+    """Three landings that reuse their urls, one run each; the second run's
+    apply fails, and the third run makes up for it."""
+    root = scratch_path(spark, "incremental")
+    parts = table(spark, sf_dir, "part")
+    config = part_config(spark, sf_dir)
+    config = (config[0].where("process_id = 1"), *config[1:])
+    payloads = landed_inputs(spark, sf_dir).payloads
+    pages = None
+    for batch, now in enumerate(LANDINGS):
+        landed = data.manifest_pages(parts.where(F.col("p_partkey") % 3 == batch)).select(
+            "process_id", "url", "body", F.lit(batch).alias("batch")
+        )
+        pages = landed if pages is None else pages.unionByName(landed)
+        inputs = LandedInputs(pages, payloads, page_order="batch")
+        (result,) = run(spark, *config, root, inputs, now, FailingApplier() if batch == 1 else None)
+        if bool(result.error) != (batch == 1):
+            raise RuntimeError(f"unexpected result: {result}")
+    return product_rows(Workspace(spark, root).tables.read("product"))
+
+
+@query
+def apply_counts(spark, sf_dir):
+    """Counters of the second of two snapshots, some of its payloads unusable."""
+    parts = table(spark, sf_dir, "part")
+    space = workspace(spark)
+    space.archive.append(data.part_archive(parts.where("p_size < 40"), data.full_part_payload(), 1))
+    kind = F.col("p_partkey") % 4
+    price = F.when(kind == 0, data.amount(F.col("p_retailprice") + 1)).when(kind == 1, data.amount(F.lit("free")))
+    second = F.when(kind == 3, "<broken").otherwise(data.part_payload(price=price))
+    space.archive.append(data.part_archive(parts.where("p_size >= 20"), second, 2))
+    apply_snapshot(space, data.PART_SPEC, 1, NOW)
+    result = apply_snapshot(space, data.PART_SPEC, 2, NOW)
+    counts = result.actions["product"]
+    row = (result.total, result.failed, result.cut, *(counts[a] for a in ("inserted", "updated", "unchanged")))
+    return local_rows(spark, "total bigint, failed bigint, cut bigint, inserted bigint, updated bigint, unchanged bigint", [row])
+
+
+@query
+def manifest_key_problems(spark, sf_dir):
+    """Records with blank, missing and non-numeric keys, and pages that are none."""
+    kind = F.col("p_partkey") % 5
+    key = F.when(kind == 0, "").when(kind == 1, "<ean/>").when(kind == 2, element("ean", F.col("p_name")))
+    key = key.otherwise(element("ean", F.col("p_partkey")))
+    body = F.when(kind == 4, F.concat(F.lit("<root><product>"), key)).otherwise(
+        F.concat(F.lit("<root><product>"), key, F.lit("</product></root>"))
+    )
+    pages = table(spark, sf_dir, "part").select("p_partkey", body.alias("body"))
+    records = explode_records(pages, ApiSpec(record_tag="product", key_tag="ean"))
+    return records.select("p_partkey", "record_no", "key", "reason")
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """The extraction functions called from SQL."""
+    register_functions(spark)
+    parts = table(spark, sf_dir, "part").select("p_partkey", data.full_part_payload().alias("data"))
+    pages = data.manifest_pages(table(spark, sf_dir, "part")).select("body")
+    found = spark.sql(
+        """
+        SELECT CAST(xml_text_at(data, '//main/ean') AS bigint) AS ean, xml_text_at(data, '/product/main/title') AS title,
+               xml_body_at(data, '//price') AS price, xml_text_at(data, '//none') AS nothing
+        FROM {parts}
+        """,
+        parts=parts,
+    )
+    records = spark.sql("SELECT CAST(r.key AS bigint) AS ean, r.body AS record FROM {pages}, LATERAL xml_records(body, 'product', 'ean') r", pages=pages)
+    return found.join(records, "ean")
+
+
 @query
 def archive_order(spark, sf_dir):
     """Archive ids ascend in manifest order: rank by id against the part key."""

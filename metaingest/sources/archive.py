@@ -49,15 +49,18 @@ class Quarantine:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/quarantine"
 
-    def append(self, rows: DataFrame, stage: str, now: Column) -> None:
-        """Add rows of one stage; rows already set aside are not added again."""
+    def append(self, rows: DataFrame, stage: str, now: Column, change_id: int | None = None) -> None:
+        """Add rows of one stage; rows already set aside are not added again.
+
+        With ``change_id`` all rows are of that run, and only its folder is read.
+        """
         have = set(rows.columns)
         fixed = {"stage": F.lit(stage), "add_dtime": now}
         columns = [
             (fixed.get(f.name, F.col(f.name) if f.name in have else F.lit(None))).cast(f.dataType).alias(f.name)
             for f in QUARANTINE_SCHEMA
         ]
-        known = self.read().where(F.col("stage") == stage).select("change_id", "id")
+        known = self.read(change_id).where(F.col("stage") == stage).select("change_id", "id")
         fresh = rows.select(*columns).join(known, ["change_id", "id"], "left_anti").select(*QUARANTINE_SCHEMA.names)
         fresh.write.mode("append").partitionBy("change_id").parquet(self.path)
 

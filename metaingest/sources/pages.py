@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,11 +86,6 @@ def chain_positions(links: DataFrame, starts: DataFrame) -> DataFrame:
         known = seen["pages"]
 
 
-def chained_pages(pages: DataFrame, api: ApiSpec, starts: DataFrame) -> DataFrame:
-    """Landed pages of the chains with their ``page_no``, others left out."""
-    return pages.join(chain_positions(next_links(pages, api), starts), list(PAGE_KEYS))
-
-
 class _ChainPartition(InputPartition):
     def __init__(self, process_id: int, api: ApiSpec, url: str):
         super().__init__((process_id, url))
@@ -115,13 +111,15 @@ def plain_url(base: str, args: dict[str, str]) -> str:
     return f"{base}?{query}" if query else base
 
 
-def fetch_with_retries(transport: Transport, url: str, headers: dict[str, str], attempts: int) -> str:
+def fetch_with_retries(transport: Transport, url: str, headers: dict[str, str], attempts: int, pause: float = 0.0) -> str:
+    """The body, or the last attempt's error, of whatever kind it is; ``pause`` in seconds between attempts."""
     for attempt in range(attempts):
         try:
             return transport(url, headers)
-        except OSError:
+        except Exception:
             if attempt + 1 == attempts:
                 raise
+            time.sleep(pause)
     raise ValueError("attempts must be positive")
 
 
@@ -131,6 +129,7 @@ def manifest_pages(
     chains: list[tuple[int, ApiSpec, str]],
     max_pages: int | None = None,
     attempts: int = 3,
+    pause: float = 0.0,
 ) -> DataFrame:
     """Live pages (process_id, page_no, url, body, next_url).
 
@@ -149,7 +148,7 @@ def manifest_pages(
             url, page_no, seen = partition.url, 0, set()
             while url and url not in seen and (max_pages is None or page_no < max_pages):
                 seen.add(url)
-                body = fetch_with_retries(transport, url, partition.api.header_args, attempts)
+                body = fetch_with_retries(transport, url, partition.api.header_args, attempts, pause)
                 following = next_page_url(partition.api, body)
                 yield partition.process_id, page_no, url, body, following
                 url, page_no = following, page_no + 1

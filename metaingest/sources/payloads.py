@@ -20,7 +20,7 @@ def with_request_url(manifest: DataFrame, api: ApiSpec) -> DataFrame:
     return manifest.withColumn("request_url", urls.format_url(F.lit(api.base_url), "args"))
 
 
-def fetch_payloads(manifest: DataFrame, api: ApiSpec, transport: Transport, attempts: int = 3) -> DataFrame:
+def fetch_payloads(manifest: DataFrame, api: ApiSpec, transport: Transport, attempts: int = 3, pause: float = 0.0) -> DataFrame:
     """Add ``data`` by fetching each record's url; a failure gives the error envelope.
 
     The keys never leave their partitions, so the work grows with the cluster.
@@ -31,8 +31,8 @@ def fetch_payloads(manifest: DataFrame, api: ApiSpec, transport: Transport, atte
 
     def fetch(url: str) -> str:
         try:
-            return fetch_with_retries(transport, url, headers, attempts)
-        except OSError:
+            return fetch_with_retries(transport, url, headers, attempts, pause)
+        except Exception:  # whatever the transport raises, one record must not end the run
             return ERROR_ENVELOPE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from metaingest.operators.explode import explode_records
 from metaingest.plans.inputs import BROADCAST_KEY_BYTES
 from metaingest.sources.pages import chain_positions, manifest_pages, next_links
 from metaingest.sources.payloads import fetch_payloads
-from metaingest.operators.lookup import ERROR_ENVELOPE, lookup_payloads
+from metaingest.operators.lookup import ERROR_ENVELOPE, check_unique_keys, lookup_payloads
 from metaingest.specs import ApiSpec
 
 API = ApiSpec(
@@ -75,6 +75,29 @@ def test_request_arguments(spark):
     assert args == {"region": "US", "ean": "1", "b": "b,a&c", "x": "a&c"}
 
 
+def test_arguments_of_unions_and_nested_texts(spark):
+    data_api = ApiSpec(
+        base_url="u",
+        request_args={"u": "//a | //c", "n": "//a", "p": "//a[string-length(.)>1]", "v": "//a[string-length(.)>0] | //c"},
+    )
+    body = page("<product><ean>1</ean><a>x<b>y</b></a><c>z</c></product>")
+    assert explode_records(pages(spark, body), API, data_api).first()["args"] == {"u": "xy,z", "n": "xy", "p": "xy", "v": "x,z"}
+
+
+def test_a_deep_record_keeps_its_text(spark):
+    deep = "<d a='1'>" * 1500 + "t&amp;u" + "</d>" * 1500
+    row = explode_records(pages(spark, page(f"<product><ean>1</ean>{deep}</product>")), API).first()
+    assert row.reason is None and row.notification.count("<d a=") == 1500 and "t&amp;u</d>" in row.notification
+
+
+def test_a_payload_landed_twice_needs_an_order(spark):
+    manifest = spark.createDataFrame([("1", 1)], "key string, n int")
+    payloads = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), ("2", "d")], "key string, body string")
+    with pytest.raises(ValueError, match="landed more than once"):
+        LandedInputs(payloads=payloads).add_payloads(manifest, API, 1)
+    check_unique_keys(payloads, manifest.where("n > 1"))
+
+
 def chain(spark, rows, start, api=API):
     landed = spark.createDataFrame(rows, "process_id bigint, url string, body string")
     starts = spark.createDataFrame([(1, start)], "process_id bigint, url string")
@@ -134,7 +157,7 @@ def test_live_payloads_retry_and_fall_back(spark):
 
     def transport(url, headers):
         if url.endswith("7"):
-            raise OSError("down")
+            raise RuntimeError("no transport error of the usual kind")
         return f"<ok>{url}</ok>"
 
     rows = fetch_payloads(manifest, ApiSpec(base_url="u"), transport, attempts=2).collect()

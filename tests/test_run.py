@@ -215,7 +215,7 @@ def test_numbered_pages_resume_without_a_chain(spark, tmp_path):
 
 def test_stream_equals_batch(spark, tmp_path):
     spec = spec_of(spark, xpath_resp_filter=None)
-    rows = [(1, n, f"http://h/{n}", page(record(2 * n) + record(2 * n + 1))) for n in range(6)]
+    rows = [(1, n, f"http://h/{n}" if n else FIRST, page(record(2 * n) + record(2 * n + 1))) for n in range(6)]
     pages = spark.createDataFrame(rows, "process_id bigint, page_no bigint, url string, body string")
     bodies = [(str(n), payload(n, title=f"t{n}", price=n)) for n in range(12)]
     inputs = LandedInputs(pages, spark.createDataFrame(bodies, "key string, body string"))
@@ -246,6 +246,60 @@ def test_nothing_landed(spark, tmp_path):
     space = Workspace(spark, str(tmp_path))
     pages = local_rows(spark, "process_id bigint, url string, body string")
     inputs = LandedInputs(pages, local_rows(spark, "key string, body string"))
-    change_id = pull(spark, space, spec, inputs, NOW)
+    with pytest.raises(LookupError, match="not landed"):
+        pull(spark, space, spec, inputs, NOW)
     state = space.ledger.state().first()
-    assert (state.change_id, state.status, state.total_records) == (change_id, "C", 0)
+    assert (state.status, state.last_anchor) == ("F", "") and FIRST in state.status_message
+
+
+def landing(spark, rows):
+    return spark.createDataFrame(rows, "process_id bigint, url string, body string, batch int")
+
+
+def test_a_gap_in_the_chain_fails_the_run_where_it_goes_on_later(spark, tmp_path):
+    spec = spec_of(spark, xpath_resp_filter=None)
+    space = Workspace(spark, str(tmp_path))
+    rows = [(1, FIRST, page(record(1), "true", "http://h/2"), 1)]
+    payloads = spark.createDataFrame([("1", payload(1, title="a")), ("2", payload(2, title="b"))], "key string, body string")
+    with pytest.raises(LookupError, match="http://h/2"):
+        pull(spark, space, spec, LandedInputs(landing(spark, rows), payloads, page_order="batch"), NOW)
+    state = space.ledger.state().first()
+    assert (state.status, state.last_anchor) == ("F", "http://h/2")
+    rows.append((1, "http://h/2", page(record(2)), 2))
+    assert pull(spark, space, spec, LandedInputs(landing(spark, rows), payloads, page_order="batch"), LATER) == 1
+    assert [r.ean for r in space.archive.read(1).orderBy("id").collect()] == [1, 2]
+    assert space.ledger.state().first().status == "C"
+
+
+def test_the_latest_landing_of_a_page_counts(spark, tmp_path):
+    spec = spec_of(spark, xpath_resp_filter=None)
+    space = Workspace(spark, str(tmp_path))
+    rows = [(1, FIRST, page(record(1)), 1), (1, FIRST, page(record(2)), 2)]
+    inputs = LandedInputs(landing(spark, rows), spark.createDataFrame([("1", "x")], "key string, body string"), page_order="batch")
+    assert [r.ean for r in space.archive.read(pull(spark, space, spec, inputs, NOW)).collect()] == [2]
+
+
+def test_pages_that_share_a_number_fail_the_run(spark, tmp_path):
+    rows = [(1, 0, FIRST, page(record(1))), (1, 0, "http://h/2", page(record(2)))]
+    inputs = LandedInputs(
+        spark.createDataFrame(rows, "process_id bigint, page_no bigint, url string, body string"),
+        spark.createDataFrame([("1", "x")], "key string, body string"),
+    )
+    with pytest.raises(ValueError, match="2 pages have 1 numbers"):
+        pull(spark, Workspace(spark, str(tmp_path)), spec_of(spark), inputs, NOW)
+
+
+def test_a_run_whose_apply_failed_is_applied_by_the_next(spark, tmp_path):
+    class Broken:
+        def apply(self, incoming, target, now, expected_rows):
+            raise RuntimeError("no space")
+
+    tables, root = one_process(spark, xpath_resp_filter=None), str(tmp_path)
+    bodies = [("1", payload(1, title="a")), ("2", payload(2, title="b"))]
+    (first,) = run(spark, *tables, root, frames(spark, [(1, FIRST, page(record(1)))], bodies), NOW, Broken())
+    space = Workspace(spark, root)
+    assert "no space" in first.error and space.ledger.unapplied(1) == [1]
+    (second,) = run(spark, *tables, root, frames(spark, [(1, FIRST, page(record(2)))], bodies), LATER)
+    assert second.error is None and second.change_id == 2
+    assert Workspace(spark, root).ledger.unapplied(1) == []
+    assert sorted(r.EAN for r in space.tables.read("product_main_data").collect()) == [1, 2]

@@ -52,7 +52,9 @@ def test_not_a_document(body):
         ("//a[b='1' or b='2']", "xpath"),
         ("//a[contains(b,'1')]", "xpath"),
         ("//a[b='1']", "tree"),
-        ("//a | //b", "xpath"),
+        ("//a | //b", "tree"),
+        ("//a[b='|'] | c", "tree"),
+        ("//a[contains(., '|')]", "xpath"),
         ("../a", "xpath"),
     ],
 )
@@ -118,7 +120,15 @@ def test_grouped_slots_equal_single_lookups():
         assert trees.slot_row(body, False, plans, len(paths), False)[:-1] == [first(body, p) for p in paths]
 
 
-def test_deep_documents_do_not_break_the_batch():
+def test_documents_may_be_deeper_than_python_recurses():
     body = "<a>" * 5000 + "</a>" * 5000
     plans = trees.compile_slots([[("/a", True)]])
-    assert trees.slot_row(body, False, plans, 1, False) == [None, False]
+    assert trees.slot_row(body, False, plans, 1, False) == ["<a>" * 4999 + "<a />" + "</a>" * 4999, True]
+
+
+@pytest.mark.parametrize(
+    "body", ["<a/>", "<a x='1&quot;&#10;'>t&lt;<b>u</b>v<c/>w</a>", "<p:a xmlns:p='u:1' p:x='2'><b xmlns='u:2'>é</b></p:a>"]
+)
+def test_deep_serialization_is_the_usual_one(body):
+    root = trees.parse_document(body, False)[0]
+    assert trees._deep_xml(root) == trees.ET.tostring(root, encoding="unicode")
