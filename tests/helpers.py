@@ -13,17 +13,16 @@ BUCKET_COLUMNS = (
     "process_id bigint, api_type string, bucket_nm string, attr_nm string, target_table_nm string, "
     "attr_ora_type string, attr_ora_type_len int, attr_is_key string, attr_xpath string, attr_is_xml_body string"
 )
-BASE = "http://h/catalog"
-SERVICE = "http://h/data"
-COUNTRY = "//delta[country='US' or country='']"
-
-MAIN_BUCKETS = [
-    ("main", "EAN", "product_main_data", "BigInt", None, "Y", "//main/ean", "N"),
-    ("main", "TITLE", "product_main_data", "Varchar2", 500, "N", "//main/title", "N"),
-    ("main", "LANG_CD", "product_main_data", "Varchar2", 3, "N", "//main/language", "N"),
-    ("pricing", "EAN", "product_main_data", "BigInt", None, "Y", "//main/ean", "N"),
-    ("pricing", "RETAIL_PRICE", "product_main_data", "Decimal", None, "N", "//main/price", "N"),
-    ("pricing", "CURRENCY_CD", "product_main_data", "Varchar2", 3, "N", "//main/currency", "N"),
+BASE = "http://h/register"
+SERVICE = "http://h/station"
+IN_USE = "//state[. = 'open' or . = 'trial']"
+
+STATION_BUCKETS = [
+    ("site", "STATION_NO", "station", "BigInt", None, "Y", "/station/no", "N"),
+    ("site", "PLACE", "station", "Varchar2", 40, "N", "/station/site/place", "N"),
+    ("site", "RIVER_CD", "station", "Varchar2", 4, "N", "/station/site/river", "N"),
+    ("gauge", "STATION_NO", "station", "BigInt", None, "Y", "/station/no", "N"),
+    ("gauge", "LEVEL_M", "station", "Decimal", None, "N", "/station/gauge/level", "N"),
 ]
 
 
@@ -35,17 +34,17 @@ def api_row(process_id, api_type, **values):
 
 def change_row(process_id, **values):
     defaults = dict(
-        base_url=BASE, bucket_list="main,pricing,availability", anchor_ind_tag_nm="hasMore", anchor_val_tag_nm="next",
-        anchor_filter_args="products=BK", request_filter_args="products=BK", xpath_resp_filter=COUNTRY,
-        target_chld_tag="product", target_chld_key_tag="ean",
+        base_url=BASE, bucket_list="site,gauge,photos", anchor_ind_tag_nm="more", anchor_val_tag_nm="cursor",
+        anchor_filter_args="set=all", request_filter_args="set=all", xpath_resp_filter=IN_USE,
+        target_chld_tag="entry", target_chld_key_tag="no",
     )
     return api_row(process_id, "C", **{**defaults, **values})
 
 
 def data_row(process_id, **values):
     defaults = dict(
-        base_url=SERVICE, bucket_list="main,pricing,availability",
-        request_filter_args="region=US,ean=//product/ean,buckets=//product/bucket",
+        base_url=SERVICE, bucket_list="site,gauge,photos",
+        request_filter_args="units=metric,no=//entry/no,parts=//entry/part",
     )
     return api_row(process_id, "D", **{**defaults, **values})
 
@@ -61,13 +60,18 @@ def config(spark, processes, apis, buckets):
 
 
 def page(records="", more="false", following=""):
-    return f"<root><hasMore>{more}</hasMore><next>{following}</next>{records}</root>"
+    return f"<register><more>{more}</more><cursor>{following}</cursor>{records}</register>"
 
 
-def record(ean, country="US", bucket="main"):
-    return f"<product><ean>{ean}</ean><bucket>{bucket}</bucket><delta><country>{country}</country></delta></product>"
+def record(no, state="open", part="site"):
+    return f"<entry><no>{no}</no><part>{part}</part><state>{state}</state></entry>"
 
 
-def payload(ean, **parts):
-    inner = "".join(f"<{k}>{v}</{k}>" for k, v in parts.items())
-    return f"<product><main><ean>{ean}</ean>{inner}</main></product>"
+def payload(no, place=None, river=None, level=None):
+    """A station's document; what is None is left out."""
+
+    def element(tag, value):
+        return "" if value is None else f"<{tag}>{value}</{tag}>"
+
+    site = element("site", element("place", place) + element("river", river))
+    return f"<station>{element('no', no)}{site}{'' if level is None else element('gauge', element('level', level))}</station>"

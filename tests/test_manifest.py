@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import BASE, COUNTRY, page, record
+from helpers import BASE, IN_USE, page, record
 
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from metaingest.operators.lookup import ERROR_ENVELOPE, check_unique_keys, looku
 from metaingest.specs import ApiSpec
 
 API = ApiSpec(
-    base_url=BASE, anchor_indicator="hasMore", anchor_element="next", anchor_args={"p": "BK"}, record_tag="product", key_tag="ean"
+    base_url=BASE, anchor_indicator="more", anchor_element="cursor", anchor_args={"p": "1"}, record_tag="entry", key_tag="no"
 )
 
 
@@ -31,12 +31,12 @@ def exploded(spark, api, *bodies):
 
 
 def test_only_root_children_are_records(spark):
-    body = page(record(1) + f"<deep>{record(9)}</deep>" + record(2) + "<other><ean>3</ean></other>")
+    body = page(record(1) + f"<deep>{record(9)}</deep>" + record(2) + "<other><no>3</no></other>")
     assert exploded(spark, API, body) == [(0, 0, "1", None), (0, 1, "2", None)]
 
 
 def test_unusable_pages_and_keys_have_reasons(spark):
-    keyless = "<product><bucket>b</bucket></product>"
+    keyless = "<entry><part>b</part></entry>"
     got = exploded(spark, API, "<broken", None, page(), page(keyless + record("") + record("x1") + record(" 7 ")))
     assert got == [
         (0, None, None, "page_not_a_document"),
@@ -49,30 +49,30 @@ def test_unusable_pages_and_keys_have_reasons(spark):
 
 
 def test_blank_tags_select_nothing(spark):
-    assert exploded(spark, ApiSpec(record_tag="", key_tag="ean"), page(record(1))) == []
-    assert exploded(spark, ApiSpec(record_tag="product", key_tag=""), page(record(1))) == []
+    assert exploded(spark, ApiSpec(record_tag="", key_tag="no"), page(record(1))) == []
+    assert exploded(spark, ApiSpec(record_tag="entry", key_tag=""), page(record(1))) == []
 
 
 def test_response_filter_looks_at_one_record_at_a_time(spark):
-    api = ApiSpec(record_tag="product", key_tag="ean", response_filter=COUNTRY)
-    body = page(record(1, "US") + record(2, "CA") + record(3, "") + "<product><ean>4</ean></product>")
+    api = ApiSpec(record_tag="entry", key_tag="no", response_filter=IN_USE)
+    body = page(record(1, "open") + record(2, "shut") + record(3, "trial") + "<entry><no>4</no></entry>")
     assert [r[2] for r in exploded(spark, api, body)] == ["1", "3"]
 
 
 def test_json_pages(spark):
-    api = ApiSpec(record_tag="product", key_tag="ean", content_type="JSON")
-    array, single = '[{"ean": 1}, {"ean": 2, "t": "<x>"}]', '{"hasMore": false, "product": {"ean": 5}}'
+    api = ApiSpec(record_tag="entry", key_tag="no", content_type="JSON")
+    array, single = '{"entry": [{"no": 1}, {"no": 2, "t": "<x>"}]}', '{"more": false, "entry": {"no": 5}}'
     assert [r[2] for r in exploded(spark, api, array, single, "[")] == ["1", "2", "5", None]
 
 
 def test_request_arguments(spark):
     data_api = ApiSpec(
         base_url="u",
-        request_args={"region": "US", "ean": "//product/ean", "b": "//bucket", "none": "//nothing", "x": "//bucket[string-length(.)>1]"},
+        request_args={"units": "metric", "no": "//entry/no", "b": "//part", "none": "//nothing", "x": "//part[string-length(.)>1]"},
     )
-    body = page("<product><ean>1</ean><bucket>b</bucket><bucket/><bucket>a&amp;c</bucket><bucket>b</bucket></product>")
+    body = page("<entry><no>1</no><part>b</part><part/><part>a&amp;c</part><part>b</part></entry>")
     args = explode_records(pages(spark, body), API, data_api).first()["args"]
-    assert args == {"region": "US", "ean": "1", "b": "b,a&c", "x": "a&c"}
+    assert args == {"units": "metric", "no": "1", "b": "b,a&c", "x": "a&c"}
 
 
 def test_arguments_of_unions_and_nested_texts(spark):
@@ -80,13 +80,13 @@ def test_arguments_of_unions_and_nested_texts(spark):
         base_url="u",
         request_args={"u": "//a | //c", "n": "//a", "p": "//a[string-length(.)>1]", "v": "//a[string-length(.)>0] | //c"},
     )
-    body = page("<product><ean>1</ean><a>x<b>y</b></a><c>z</c></product>")
+    body = page("<entry><no>1</no><a>x<b>y</b></a><c>z</c></entry>")
     assert explode_records(pages(spark, body), API, data_api).first()["args"] == {"u": "xy,z", "n": "xy", "p": "xy", "v": "x,z"}
 
 
 def test_a_deep_record_keeps_its_text(spark):
     deep = "<d a='1'>" * 1500 + "t&amp;u" + "</d>" * 1500
-    row = explode_records(pages(spark, page(f"<product><ean>1</ean>{deep}</product>")), API).first()
+    row = explode_records(pages(spark, page(f"<entry><no>1</no>{deep}</entry>")), API).first()
     assert row.reason is None and row.notification.count("<d a=") == 1500 and "t&amp;u</d>" in row.notification
 
 
@@ -119,8 +119,8 @@ def test_chain_ends(spark):
     assert chain(spark, loop, "http://a") == ["http://a", "http://b"]
     blank = [(1, "http://a", page(more="true"))]
     assert chain(spark, blank, "http://a") == ["http://a"]
-    relative = [(1, "http://a", page(more="true", following="&amp;x=1")), (1, f"{BASE}?p=BK&x=1", page())]
-    assert chain(spark, relative, "http://a") == ["http://a", f"{BASE}?p=BK&x=1"]
+    relative = [(1, "http://a", page(more="true", following="&amp;x=1")), (1, f"{BASE}?p=1&x=1", page())]
+    assert chain(spark, relative, "http://a") == ["http://a", f"{BASE}?p=1&x=1"]
     missing = [(1, "http://a", page(more="true", following="http://gone"))]
     assert chain(spark, missing, "http://a") == ["http://a"]
     assert chain(spark, relative, "http://a", ApiSpec(anchor_element="next")) == ["http://a"]
@@ -134,8 +134,8 @@ def test_page_landed_twice_is_an_error(spark):
 
 def test_live_pages_follow_anchors(spark):
     bodies = {
-        f"{BASE}?p=BK": page(record(1), "true", "&amp;n=2"),
-        f"{BASE}?p=BK&n=2": page("", "true", "http://h/3"),
+        f"{BASE}?p=1": page(record(1), "true", "&amp;n=2"),
+        f"{BASE}?p=1&n=2": page("", "true", "http://h/3"),
         "http://h/3": page(record(3), "true", "http://h/3"),
     }
     api = ApiSpec(**{**API.__dict__, "header_args": {"k": "v"}})
@@ -144,12 +144,12 @@ def test_live_pages_follow_anchors(spark):
         assert headers == {"k": "v"}
         return bodies[url]
 
-    rows = manifest_pages(spark, transport, [(1, api, f"{BASE}?p=BK"), (2, api, "http://h/3")]).collect()
+    rows = manifest_pages(spark, transport, [(1, api, f"{BASE}?p=1"), (2, api, "http://h/3")]).collect()
     assert sorted((r.process_id, r.page_no, r.url) for r in rows) == [
-        (1, 0, f"{BASE}?p=BK"), (1, 1, f"{BASE}?p=BK&n=2"), (1, 2, "http://h/3"), (2, 0, "http://h/3"),
+        (1, 0, f"{BASE}?p=1"), (1, 1, f"{BASE}?p=1&n=2"), (1, 2, "http://h/3"), (2, 0, "http://h/3"),
     ]
-    part = manifest_pages(spark, transport, [(1, api, f"{BASE}?p=BK")], max_pages=2).orderBy("page_no").collect()
-    assert [r.next_url for r in part] == [f"{BASE}?p=BK&n=2", "http://h/3"]
+    part = manifest_pages(spark, transport, [(1, api, f"{BASE}?p=1")], max_pages=2).orderBy("page_no").collect()
+    assert [r.next_url for r in part] == [f"{BASE}?p=1&n=2", "http://h/3"]
 
 
 def test_live_payloads_retry_and_fall_back(spark):
@@ -176,7 +176,7 @@ def test_lookup_keeps_every_record(spark):
 def test_sql_functions(spark):
     register_functions(spark)
     spark.createDataFrame([(page(record(1) + record(2)),), ("<bad",)], "body string").createOrReplaceTempView("sql_pages")
-    rows = spark.sql("SELECT r.* FROM sql_pages, LATERAL xml_records(body, 'product', 'ean') r").collect()
+    rows = spark.sql("SELECT r.* FROM sql_pages, LATERAL xml_records(body, 'entry', 'no') r").collect()
     assert sorted((r.position, r.key) for r in rows if r.key) == [(0, "1"), (1, "2")] and len(rows) == 3
     row = spark.sql("SELECT xml_text_at('<a><b>x</b></a>', '/a/b') t, xml_body_at('<a><b>x</b></a>', '/a/b') b").first()
     assert tuple(row) == ("x", "<b>x</b>")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from helpers import BASE, MAIN_BUCKETS, change_row, config, data_row, page, payload, record
+from helpers import BASE, STATION_BUCKETS, change_row, config, data_row, page, payload, record
 from pyspark.sql import functions as F
 
 from metaingest import LandedInputs, LiveInputs, Workspace, run
@@ -19,7 +19,7 @@ from metaingest.streaming.apply import stream_apply
 from metaingest.streaming.land import stream_archive
 
 NOW, LATER = datetime(2024, 1, 10), datetime(2024, 1, 11)
-FIRST = f"{BASE}?products=BK"
+FIRST = f"{BASE}?set=all"
 
 
 def frames(spark, pages, payloads):
@@ -30,7 +30,7 @@ def frames(spark, pages, payloads):
 
 
 def one_process(spark, **change):
-    return config(spark, [(1, "", "one", "Y")], [change_row(1, **change), data_row(1)], {1: MAIN_BUCKETS})
+    return config(spark, [(1, "", "one", "Y")], [change_row(1, **change), data_row(1)], {1: STATION_BUCKETS})
 
 
 def spec_of(spark, **change):
@@ -95,21 +95,21 @@ def test_full_run(spark, tmp_path):
             change_row(2, base_url=" ", target_key_list="1, 5,x,1"), data_row(2),
             change_row(5, base_url="", target_key_list=""), data_row(5),
         ],
-        {1: MAIN_BUCKETS, 2: MAIN_BUCKETS, 5: MAIN_BUCKETS},
+        {1: STATION_BUCKETS, 2: STATION_BUCKETS, 5: STATION_BUCKETS},
     )
     inputs = frames(
         spark,
         [
-            (1, FIRST, page(record(1) + record(2, "CA") + record("nokey"), "true", "&amp;n=2")),
+            (1, FIRST, page(record(1) + record(2, "shut") + record("nokey"), "true", "&amp;n=2")),
             (1, f"{FIRST}&n=2", page("", "true", "http://h/3")),
-            (1, "http://h/3", page(record(3, "") + record(1) + record(4))),
+            (1, "http://h/3", page(record(3, "trial") + record(1) + record(4))),
             (1, "http://h/unlinked", page(record(8))),
             (2, FIRST, page(record(8))),
         ],
         [
-            ("1", payload(1, title="one", language="English", price="9.99", currency="USD")),
-            ("3", payload(3, title="", price="1e1")),
-            ("5", payload(5, title="five")),
+            ("1", payload(1, place="one", river="Rhine", level="9.99")),
+            ("3", payload(3, place="", level="1e1")),
+            ("5", payload(5, place="five")),
         ],
     )
     results = {r.process_id: r for r in run(spark, *tables, str(tmp_path), inputs, NOW)}
@@ -122,10 +122,10 @@ def test_full_run(spark, tmp_path):
     assert bad == [
         (1, "apply", "4", "error_payload"), (1, "pull", "nokey", "key_not_numeric"), (2, "pull", "x", "key_not_numeric"),
     ]
-    rows = {r.EAN: r for r in space.tables.read("product_main_data").collect()}
+    rows = {r.STATION_NO: r for r in space.tables.read("station").collect()}
     assert sorted(rows) == [1, 3, 5]
-    assert (rows[1].TITLE, rows[1].LANG_CD, float(rows[1].RETAIL_PRICE), rows[1].CURRENCY_CD) == ("one", "Eng", 9.99, "USD")
-    assert rows[3].TITLE is None and float(rows[3].RETAIL_PRICE) == 10.0
+    assert (rows[1].PLACE, rows[1].RIVER_CD, float(rows[1].LEVEL_M)) == ("one", "Rhin", 9.99)
+    assert rows[3].PLACE is None and float(rows[3].LEVEL_M) == 10.0
     runs = {r.change_id: (r.process_id, r.status, r.total_records) for r in space.ledger.state().collect()}
     assert runs == {1: (1, "C", 5), 2: (2, "C", 3)}
 
@@ -135,21 +135,21 @@ def test_json_payloads_and_pages(spark, tmp_path):
         spark,
         [(1, "", "json", "Y")],
         [change_row(1, content_type="JSON", xpath_resp_filter=None), data_row(1, content_type="Json")],
-        {1: MAIN_BUCKETS},
+        {1: STATION_BUCKETS},
     )
     inputs = frames(
         spark,
-        [(1, FIRST, '[{"ean": 9781234567890}]')],
-        [("9781234567890", '{ "product": { "main": { "ean" : 9781234567890, "title": "My Favorite Book", "language" : "English" , "price": 9.99, "currency": "USD" } } } ')],
+        [(1, FIRST, '{"register": {"entry": [{"no": 9781234567890}]}}')],
+        [("9781234567890", '{"station": {"no": 9781234567890, "site": {"place": "Lower lock", "river": "Rhine"}, "gauge": {"level": 2.75}}}')],
     )
     (result,) = run(spark, *tables, str(tmp_path), inputs, NOW)
     assert result.error is None
-    row = Workspace(spark, str(tmp_path)).tables.read("product_main_data").first()
-    assert (row.EAN, row.TITLE, row.LANG_CD, float(row.RETAIL_PRICE), row.CURRENCY_CD) == (9781234567890, "My Favorite Book"[:500], "Eng", 9.99, "USD")
+    row = Workspace(spark, str(tmp_path)).tables.read("station").first()
+    assert (row.STATION_NO, row.PLACE, row.RIVER_CD, float(row.LEVEL_M)) == (9781234567890, "Lower lock", "Rhin", 2.75)
 
 
 def test_incremental_window_in_the_request(spark, tmp_path):
-    spec = spec_of(spark, since_url_arg_nm="since", request_filter_args="since=1d,products=BK")
+    spec = spec_of(spark, since_url_arg_nm="since", request_filter_args="since=1d,set=all")
     empty = frames(spark, [(1, "http://none", page())], [("0", "")])
     asked = []
     empty.page_batches = lambda spark, spec, url: asked.append(url) or iter(())
@@ -159,8 +159,8 @@ def test_incremental_window_in_the_request(spark, tmp_path):
     pull(spark, space, spec, empty, LATER)
     pull(spark, space, spec_of(spark), empty, LATER)
     assert asked == [
-        f"{BASE}?since=1704758400000&products=BK",
-        f"{BASE}?products=BK&since=1704843900000",
+        f"{BASE}?since=1704758400000&set=all",
+        f"{BASE}?set=all&since=1704843900000",
         FIRST,
     ]
 
@@ -172,14 +172,14 @@ def test_live_run_resumes_at_its_anchor(spark, tmp_path):
         "http://h/2": page(record(2), "true", "http://h/3"),
         "http://h/3": page(record(3)),
     }
+    stations = {str(n): payload(n, place=f"p{n}") for n in (1, 2, 3)}
 
     def transport_without(missing):
         def transport(url, headers):
             if url == missing:
                 raise OSError("down")
-            if url.startswith("http://h/data"):
-                ean = url.split("ean=")[1].split("&")[0]
-                return f"<product><main><ean>{ean}</ean><title>t{ean}</title></main></product>"
+            if url.startswith("http://h/station"):
+                return stations[url.split("no=")[1].split("&")[0]]
             return bodies[url]
 
         return transport
@@ -196,7 +196,7 @@ def test_live_run_resumes_at_its_anchor(spark, tmp_path):
     assert [r.ean for r in space.archive.read(1).orderBy("id").collect()] == [1, 2, 3]
     assert space.ledger.state().first().status == "C"
     result = apply_snapshot(space, spec, 1, LATER)
-    assert result.actions["product_main_data"]["inserted"] == 3
+    assert result.actions["station"]["inserted"] == 3
 
 
 def test_numbered_pages_resume_without_a_chain(spark, tmp_path):
@@ -204,7 +204,7 @@ def test_numbered_pages_resume_without_a_chain(spark, tmp_path):
     rows = [(1, 0, FIRST, page(record(1))), (1, 1, "http://h/2", page(record(2))), (1, 2, "http://h/3", page(record(3)))]
     inputs = LandedInputs(
         spark.createDataFrame(rows, "process_id bigint, page_no bigint, url string, body string"),
-        spark.createDataFrame([("2", payload(2, title="b"))], "key string, body string"),
+        spark.createDataFrame([("2", payload(2, place="b"))], "key string, body string"),
     )
     space = Workspace(spark, str(tmp_path))
     change_id = space.ledger.open_run(1, NOW)
@@ -217,7 +217,7 @@ def test_stream_equals_batch(spark, tmp_path):
     spec = spec_of(spark, xpath_resp_filter=None)
     rows = [(1, n, f"http://h/{n}" if n else FIRST, page(record(2 * n) + record(2 * n + 1))) for n in range(6)]
     pages = spark.createDataFrame(rows, "process_id bigint, page_no bigint, url string, body string")
-    bodies = [(str(n), payload(n, title=f"t{n}", price=n)) for n in range(12)]
+    bodies = [(str(n), payload(n, place=f"t{n}", level=n)) for n in range(12)]
     inputs = LandedInputs(pages, spark.createDataFrame(bodies, "key string, body string"))
 
     batch = Workspace(spark, str(tmp_path / "batch"))
@@ -234,11 +234,11 @@ def test_stream_equals_batch(spark, tmp_path):
 
     land("page_no < 3")
     land("page_no >= 3")
-    left, right = (s.tables.read("product_main_data").orderBy("EAN").collect() for s in (batch, stream))
+    left, right = (s.tables.read("station").orderBy("STATION_NO").collect() for s in (batch, stream))
     assert len(left) == 12 and left == right
     # A stream that starts over from the beginning changes nothing.
     stream_apply(spark, stream, spec, LATER, str(tmp_path / "cp3")).awaitTermination()
-    assert stream.tables.read("product_main_data").orderBy("EAN").collect() == left
+    assert stream.tables.read("station").orderBy("STATION_NO").collect() == left
 
 
 def test_nothing_landed(spark, tmp_path):
@@ -260,7 +260,7 @@ def test_a_gap_in_the_chain_fails_the_run_where_it_goes_on_later(spark, tmp_path
     spec = spec_of(spark, xpath_resp_filter=None)
     space = Workspace(spark, str(tmp_path))
     rows = [(1, FIRST, page(record(1), "true", "http://h/2"), 1)]
-    payloads = spark.createDataFrame([("1", payload(1, title="a")), ("2", payload(2, title="b"))], "key string, body string")
+    payloads = spark.createDataFrame([("1", payload(1, place="a")), ("2", payload(2, place="b"))], "key string, body string")
     with pytest.raises(LookupError, match="http://h/2"):
         pull(spark, space, spec, LandedInputs(landing(spark, rows), payloads, page_order="batch"), NOW)
     state = space.ledger.state().first()
@@ -295,11 +295,11 @@ def test_a_run_whose_apply_failed_is_applied_by_the_next(spark, tmp_path):
             raise RuntimeError("no space")
 
     tables, root = one_process(spark, xpath_resp_filter=None), str(tmp_path)
-    bodies = [("1", payload(1, title="a")), ("2", payload(2, title="b"))]
+    bodies = [("1", payload(1, place="a")), ("2", payload(2, place="b"))]
     (first,) = run(spark, *tables, root, frames(spark, [(1, FIRST, page(record(1)))], bodies), NOW, Broken())
     space = Workspace(spark, root)
     assert "no space" in first.error and space.ledger.unapplied(1) == [1]
     (second,) = run(spark, *tables, root, frames(spark, [(1, FIRST, page(record(2)))], bodies), LATER)
     assert second.error is None and second.change_id == 2
     assert Workspace(spark, root).ledger.unapplied(1) == []
-    assert sorted(r.EAN for r in space.tables.read("product_main_data").collect()) == [1, 2]
+    assert sorted(r.STATION_NO for r in space.tables.read("station").collect()) == [1, 2]
