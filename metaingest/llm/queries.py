@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -188,11 +188,14 @@ def op6_warc_salvage(spark, sf_dir):
     warc.write_archives(warc.plan_records(pages), path)
     records, _ = warc.read_archives(spark, path)
     kind = pages.schema["page_id"].dataType
-    ids = {name: F.expr(f"try_cast(nullif(page, '') as {kind.simpleString()})") for name in ("page_id",)}
-    figures = warc.payload_figures(records).withColumn("page", warc.page_of(F.col("record_id"))).withColumns(ids)
-    referred = F.expr(f"try_cast(nullif(other, '') as {kind.simpleString()})").alias("refers_to")
-    figures = figures.withColumn("other", warc.page_of(F.col("refers_to"))).drop("refers_to")
-    return figures.select("page_id", "payload_bytes", "payload_digest", "record_type", referred)
+
+    def id_of(uri: str) -> Column:
+        return F.nullif(warc.page_of(F.col(uri)), F.lit("")).try_cast(kind)
+
+    figures = warc.payload_figures(records)
+    return figures.select(
+        id_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", id_of("refers_to").alias("refers_to")
+    )
 
 
 ORACLE["op6_warc_salvage"] = r"""
