@@ -102,6 +102,34 @@ def op2_circulant_minhash(spark, sf_dir):
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+ORACLE["op2_circulant_minhash"] = r"""
+WITH RECURSIVE spread AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) = 1 THEN words[1] ELSE words[i] || ' ' || words[i + 1] END AS shingle
+    FROM spread, unnest(range(1, greatest(len(words) - 1, 1) + 1)) AS r(i) WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * shared >= 80 * (x.size + y.size - shared)
+), edges AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reached JOIN edges ON other = a
+), least AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)
+"""
+
+
 @query
 def op1_kd_shards(spark, sf_dir):
     """Shard and slot of every document."""
