@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions._cols import field as sub
+from ..functions._cols import quoted
 from ..operators.extract import check_values, parse_payloads
 from ..operators.fold import incoming_rows
 from ..operators.upsert import ACTION, INSERTED, UNCHANGED, UNTOUCHED, UPDATED, upsert_rows
@@ -56,7 +57,8 @@ class StoreApplier:
 class MergeApplier:
     """For catalogs whose tables support MERGE: only changed rows are sent.
 
-    ``table_name`` maps a target table to its catalog name.
+    ``table_name`` maps a target table to its catalog name, whose parts are
+    split by dots.
     """
 
     def __init__(self, table_name=lambda name: name):
@@ -64,10 +66,15 @@ class MergeApplier:
 
     def apply(self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int) -> dict[str, int]:
         name = self.table_name(target.table)
+        prefix = ".".join(map(quoted, name.split(".")))
         source = incoming.alias("n")
+
+        def stored(column: str) -> Column:
+            return F.col(f"{prefix}.{quoted(column)}")
+
         matched = None
         for key in target.key_names:
-            test = sub(name, key) == sub("n", key)
+            test = stored(key) == sub("n", key)
             matched = test if matched is None else matched & test
 
         def supplied(value: str) -> Column:
@@ -75,9 +82,9 @@ class MergeApplier:
 
         differs = F.lit(False)
         for value in target.value_names:
-            differs = differs | (supplied(value) & ~sub(name, value).eqNullSafe(sub("n", value)))
+            differs = differs | (supplied(value) & ~stored(value).eqNullSafe(sub("n", value)))
         updates = {
-            value: F.when(supplied(value), sub("n", value)).otherwise(sub(name, value))
+            value: F.when(supplied(value), sub("n", value)).otherwise(stored(value))
             for value in target.value_names
         }
         inserts = {c: sub("n", c) for c in target.key_names + target.value_names}

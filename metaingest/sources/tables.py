@@ -121,6 +121,20 @@ class TableStore:
         append_row(self.spark, self.log_path, LOG_SCHEMA, entry)
         return Version(table, number, path, tuple(keys), buckets, entry[5], rows.schema)
 
+    def vacuum(self, table: str, keep: int = 2) -> int:
+        """Remove all but the newest ``keep`` versions of a table; returns how many.
+
+        A reader of a removed version fails, so keep as many as readers may use.
+        """
+        log = read_folder(self.spark, self.log_path, LOG_SCHEMA).where(F.col("table_nm") == table)
+        old = [row["path"] for row in log.orderBy(F.desc("version")).collect()[max(1, keep) :]]
+        removed = 0
+        for path in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(path)}")
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            removed += folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return removed
+
     @staticmethod
     def _catalog_name(path: str) -> str:
         return "metaingest_" + hashlib.md5(path.encode()).hexdigest()

@@ -238,6 +238,15 @@ def test_half_written_version_is_never_read(spark, tmp_path):
     assert [r[1] for r in target_rows(space)] == ["a"]
 
 
+def test_vacuum_keeps_the_newest_versions(spark, tmp_path):
+    space = Workspace(spark, str(tmp_path))
+    for n in (1, 2, 3):
+        space.archive.append(archive(spark, [doc(n, title="t")], start=n, change_id=n))
+        apply_snapshot(space, SPEC, n, NOW)
+    assert space.tables.vacuum("product") == 1 and space.tables.vacuum("product") == 0
+    assert sorted(r.ean for r in space.tables.read("product").collect()) == [1, 2, 3]
+
+
 def test_pluggable_applier(spark, tmp_path):
     space, seen = Workspace(spark, str(tmp_path)), []
 
@@ -257,7 +266,7 @@ def test_merge_needs_a_catalog_that_supports_it(spark, tmp_path):
               "add_dtime timestamp_ntz, upd_dtime timestamp_ntz) USING parquet")
     space.archive.append(archive(spark, [doc(1, title="a")]))
     with pytest.raises(Exception, match="(?i)merge"):
-        apply_snapshot(space, SPEC, 1, NOW, MergeApplier(lambda name: "merge_" + name))
+        apply_snapshot(space, SPEC, 1, NOW, MergeApplier(lambda name: "default.merge_" + name))
 
 
 def test_nothing_to_apply(spark, tmp_path):
