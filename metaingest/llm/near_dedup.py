@@ -11,11 +11,16 @@ Only components are asked for, so a bucket need not try all its pairs:
 1. Texts with equal sets are one node. They are linked as they are.
 2. In each bucket every node is compared with the smallest. The links give
    first components.
-3. Buckets that still hold more than one component compare the nodes outside
-   the smallest node's component with all nodes of another component, in blocks
-   of ``BLOCK`` nodes, each block pair in a group of its own. A comparison of
-   signatures comes first; pairs whose share of equal coordinates is below
-   ``LEAST_EQUAL``, eight standard deviations under the similarity, go no further.
+3. Buckets that still hold more than one component compare the signatures of
+   the nodes outside the smallest node's component with those of all nodes of
+   other components, in blocks of ``BLOCK`` nodes, each block pair in a group of
+   its own. A pair is looked at in the first band that it shares. Nodes with a
+   likely partner then meet there with their texts, and all sets of a block
+   are intersected at once. Only links that join components leave a block, at
+   most one for each node; pairs are never written out.
+
+Pairs whose share of equal coordinates is below ``LEAST_EQUAL`` are not likely:
+a pair at the similarity falls below with probability 1e-6.
 
 With 32 bands of 5, a pair at 0.8 shares a band with probability 1 - 3e-6, and
 more similar ones yet more surely. Sets are compared as 64-bit hashes of their
@@ -37,8 +42,8 @@ from .components import components
 
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
-#: Of the signature's coordinates, so many agree in every pair worth a full comparison.
-LEAST_EQUAL = 90
+#: Of the signature's coordinates, so many agree in a likely pair.
+LEAST_EQUAL = 104
 BLOCK = 256
 _SHIFT = np.uint64(0xD1342543DE82EF95)
 _SHIFTS = np.arange(COORDINATES, dtype=np.uint64) * _SHIFT
@@ -151,11 +156,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     nodes = stage(signed.filter("node is not null").dropDuplicates(["node"]), "dedup-nodes")
     members = _buckets(nodes)
     stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = _confirmed(stars, nodes, keyed, shingle, percent)
-    first = stage(components(links), "dedup-components")
-    crossing = _crossing(members, first, nodes, percent)
-    more = _confirmed(crossing, nodes, keyed, shingle, percent)
-    joined = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    links = _similar(_likely_of(stars, nodes, percent), nodes, keyed, shingle, percent)
+    joined = stage(components(links), "dedup-components")
+    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    joined = components(known.unionByName(_crossing(members, joined, nodes, keyed, shingle, percent)))
 
     of_node = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(joined, "node", "left")
     of_node = of_node.withColumn("component", F.coalesce("component", "node"))
@@ -176,17 +180,17 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full sets are similar enough."""
+def _likely_of(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose signatures and sizes allow the similarity."""
     signed = nodes.select("node", "n_shingles", "coordinates")
     both = pairs.join(signed.toDF("a", "size_a", "coordinates_a"), "a").join(signed.toDF("b", "size_b", "coordinates_b"), "b")
     both = both.filter(_sizes_fit(F.col("size_a"), F.col("size_b"), percent)).select("a", "b", "coordinates_a", "coordinates_b")
-    likely = stage(both.mapInArrow(_likely, "a binary, b binary"), "dedup-likely")
+    return stage(both.mapInArrow(_likely, "a binary, b binary"), "dedup-likely")
 
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
-    wanted = wanted.withColumnRenamed("doc_id", "wanted_id").withColumnRenamed("text_hash", "wanted_hash")
-    texts = keyed.join(wanted, (F.col("text_hash") == F.col("wanted_hash")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    texts = texts.select("node", "text").dropDuplicates(["node"])
+
+def _similar(likely: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose full sets are similar enough."""
+    texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("node")), nodes, keyed)
     held = likely.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,6 +207,13 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: in
     return stage(held.mapInArrow(confirm, "a binary, b binary"), "dedup-links")
 
 
+def _texts_of(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``node`` and ``text``, once for each node of ``wanted``."""
+    where = wanted.distinct().join(nodes.select("node", "doc_id", "text_hash"), "node").toDF("node", "wanted_id", "wanted_hash")
+    texts = keyed.join(where, (F.col("text_hash") == F.col("wanted_hash")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    return texts.select("node", "text").dropDuplicates(["node"])
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDINATES)
 
@@ -213,45 +224,103 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(equal >= LEAST_EQUAL))
 
 
-def _crossing(members: DataFrame, first: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of nodes that share a bucket, but no component so far."""
-    named = first.select("node", "component")
+def _crossing(members: DataFrame, joined: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between nodes that share a bucket but no component so far."""
+    named = joined.select("node", "component")
     known = members.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     main = known.filter("node = pivot").select("bucket", F.col("component").alias("main"))
     split = known.join(main, "bucket").withColumn("outside", F.col("component") != F.col("main"))
     mixed = split.groupBy("bucket").agg(F.sum(F.col("outside").cast("long")).alias("n_outside")).filter("n_outside > 0")
-    rows = split.join(mixed, "bucket").join(nodes.select("node", "coordinates"), "node")
+    rows = split.join(mixed, "bucket").join(nodes.select("node", "coordinates", "bands"), "node")
     # Nodes outside are the rows of a block pair, all nodes its columns.
     row_blocks, column_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_outside", "size"))
     own = F.pmod(F.xxhash64("node"), F.lit(1 << 30)).cast("int")
-    fields = ["bucket", "node", "n_shingles", "component", "coordinates"]
+    fields = ["bucket", "node", "n_shingles", "component", "coordinates", "bands"]
     as_rows = rows.filter("outside").select(
         *fields, (own % row_blocks).alias("i"), F.explode(F.sequence(F.lit(0), column_blocks - 1)).alias("j"), F.lit(True).alias("is_row")
     )
     as_columns = rows.select(
         *fields, F.explode(F.sequence(F.lit(0), row_blocks - 1)).alias("i"), (own % column_blocks).alias("j"), F.lit(False).alias("is_row")
     )
-    pairs = as_rows.unionByName(as_columns.select(as_rows.columns)).groupBy("bucket", "i", "j").applyInArrow(_across(percent), "a binary, b binary")
-    return stage(pairs.distinct(), "dedup-crossing")
+    block = ["bucket", "i", "j"]
+    likely = as_rows.unionByName(as_columns.select(as_rows.columns)).groupBy(*block).applyInArrow(
+        _with_partners(percent), "bucket long, i int, j int, node binary, component binary, is_row boolean"
+    )
+    likely = stage(likely, "dedup-crossing")
+    held = likely.join(_texts_of(likely.select("node"), nodes, keyed), "node").groupBy(*block)
+    return stage(held.applyInArrow(_links(shingle, percent), "a binary, b binary"), "dedup-links")
 
 
-def _across(percent: int):
-    def across(block: pa.Table) -> pa.Table:
+def _with_partners(percent: int):
+    """The nodes of a block pair that have a likely partner of another component,
+    with which no earlier band is shared."""
+
+    def with_partners(block: pa.Table) -> pa.Table:
         is_row = block["is_row"].to_numpy()
         coordinates = _matrix(block["coordinates"])
+        bands = block["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        here = int((bands[0] == block["bucket"][0].as_py()).argmax())
         sizes, component = block["n_shingles"].to_numpy(), np.unique(block["component"].to_pylist(), return_inverse=True)[1]
-        node = block["node"].to_pylist()
         columns = np.flatnonzero(~is_row)
-        a, b = [], []
+        keep = np.zeros(len(is_row), bool)
         for row in np.flatnonzero(is_row):
             least, most = np.minimum(sizes[columns], sizes[row]), np.maximum(sizes[columns], sizes[row])
             near = columns[(component[columns] != component[row]) & (100 * least >= percent * most)]
+            near = near[~(bands[near, :here] == bands[row, :here]).any(1)]
             near = near[(coordinates[near] == coordinates[row]).sum(1) >= LEAST_EQUAL]
-            a += [min(node[row], node[c]) for c in near]
-            b += [max(node[row], node[c]) for c in near]
+            keep[near] = True
+            keep[row] = len(near) > 0
+        return block.select(["bucket", "i", "j", "node", "component", "is_row"]).filter(pa.array(keep))
+
+    return with_partners
+
+
+def _links(shingle: int, percent: int):
+    """Links between rows and columns of a block pair, just enough to join their components."""
+
+    def links(block: pa.Table) -> pa.Table:
+        is_row = block["is_row"].to_numpy()
+        sets: list[np.ndarray] = []
+        for _, _, texts in w.text_slices(block["text"].combine_chunks()):
+            sets += shingle_sets(texts, shingle)
+        rows, columns = np.flatnonzero(is_row), np.flatnonzero(~is_row)
+        sizes = np.array([len(s) for s in sets], np.int64)
+        common = _intersections([sets[i] for i in rows], [sets[i] for i in columns])
+        similar = 100 * common >= percent * (sizes[rows][:, None] + sizes[columns][None, :] - common)
+        component = np.unique(block["component"].to_pylist(), return_inverse=True)[1]
+        node, a, b = block["node"].to_pylist(), [], []
+        for row, column in zip(*np.nonzero(similar)):
+            one, other = component[rows[row]], component[columns[column]]
+            if one != other:
+                component[component == other] = one
+                a.append(node[rows[row]])
+                b.append(node[columns[column]])
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return across
+    return links
+
+
+def _intersections(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all rows with all columns."""
+    common = np.zeros((len(rows), len(columns)), np.float32)
+    if not len(rows) or not len(columns):
+        return common.astype(np.int64)
+    values = np.concatenate([*rows, *columns])
+    of = np.repeat(np.arange(len(rows) + len(columns)), [len(s) for s in (*rows, *columns)])
+    distinct, number, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times > 1  # others are in one set only
+    rank = np.cumsum(shared) - 1
+    keep = shared[number]
+    of, number = of[keep], rank[number[keep]]
+    order = np.argsort(number, kind="stable")
+    of, number = of[order], number[order]
+    step = 1 << 13
+    for low in range(0, int(shared.sum()), step):
+        part = slice(*np.searchsorted(number, [low, low + step]))
+        held = np.zeros((len(rows) + len(columns), step), np.float32)
+        held[of[part], number[part] - low] = 1
+        common += held[: len(rows)] @ held[len(rows) :].T
+    return np.rint(common).astype(np.int64)
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
