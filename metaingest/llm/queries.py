@@ -213,8 +213,8 @@ def op6_warc_salvage(spark, sf_dir):
     """Pages as archives, and what reading these gives."""
     path = scratch_path(spark, "warc")
     pages = table(spark, sf_dir, "pages")
-    warc.write_archives(warc.plan_records(pages), path)
-    records, _ = warc.read_archives(spark, path)
+    warc.write_archives(warc.plan_records(pages), path, warc.average_record(pages))
+    records, _ = warc.read_archives(spark, path, blocks=False)
     kind = pages.schema["page_id"].dataType
 
     def id_of(uri: str) -> Column:

@@ -60,8 +60,17 @@ def plan_records(pages: DataFrame) -> DataFrame:
     ).drop("response")
 
 
-def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """Writes planned records as WARC files of about ``file_bytes`` to ``path``."""
+def average_record(pages: DataFrame) -> int:
+    """Bytes of a page's record on average, if none is a revisit."""
+    return 600 + int(pages.agg(F.avg(F.octet_length("html"))).first()[0] or 0)
+
+
+def write_archives(records: DataFrame, path: str, average_bytes: int, file_bytes: int = FILE_BYTES) -> None:
+    """Writes planned records as WARC files of about ``file_bytes`` to ``path``.
+
+    Each task writes its own rows; a file ends after as many records as make up
+    ``file_bytes`` on average.
+    """
     revisit = F.col("record_type") == "revisit"
     block = F.when(revisit, "").otherwise(F.col("payload"))
     head = F.concat(
@@ -79,9 +88,7 @@ def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES)
     )
     # The writer ends each line with the record's second closing line end.
     lines = records.select(F.concat(head, F.lit(_END), block, F.lit(_END)).alias("value"))
-    lines = stage(lines, "warc-records")
-    size = lines.agg(F.sum(F.octet_length("value").cast("long"))).first()[0] or 0
-    lines.repartition(max(1, -(-size // file_bytes))).write.option("lineSep", _END).text(path)
+    lines.write.option("lineSep", _END).option("maxRecordsPerFile", max(1, file_bytes // average_bytes)).text(path)
 
 
 class Gap(NamedTuple):
@@ -180,10 +187,10 @@ def _next_start(data: bytes, at: int) -> int:
             at = min(places) + 1
 
 
-_READ = "file string, place long, gap_end long, gap_reason string, record_type string, record_id string, refers_to string, uri string, payload_digest string, block binary"
+_READ = "file string, place long, gap_end long, gap_reason string, record_type string, record_id string, refers_to string, uri string, payload_digest string, block_bytes long, block_sha256 string, block binary"
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in _READ.split(", ")]
     kinds = [{"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[field.split()[1]] for field in _READ.split(", ")]
     for batch in batches:
@@ -191,11 +198,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, held = [], 0
             for found in salvage(content.as_py()):
                 if isinstance(found, Gap):
-                    rows.append((file, found.start, found.end, found.reason, *[None] * 6))
+                    rows.append((file, found.start, found.end, found.reason, *[None] * 8))
                 else:
                     place, headers, block = found
                     keys = ("warc-type", "warc-record-id", "warc-refers-to", "warc-target-uri", "warc-payload-digest")
-                    rows.append((file, place, None, None, *map(headers.get, keys), block))
+                    seen = len(block), hashlib.sha256(block).hexdigest(), block if blocks else None
+                    rows.append((file, place, None, None, *map(headers.get, keys), *seen))
                     held += len(block)
                 if held > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -204,15 +212,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_archives(spark: SparkSession, path: str, blocks: bool = True) -> tuple[DataFrame, DataFrame]:
     """Records and gaps of all files below ``path``, each read once and staged.
 
     Records have ``file``, ``place``, ``record_type``, ``record_id``,
-    ``refers_to``, ``uri``, ``payload_digest`` and ``block``; gaps ``file``,
-    ``start``, ``end`` and ``reason``. A file without a valid record is one gap.
+    ``refers_to``, ``uri``, ``payload_digest`` (as stated), ``block_bytes`` and
+    ``block_sha256`` (as read) and ``block``, which is null without ``blocks``;
+    gaps ``file``, ``start``, ``end`` and ``reason``. A file without a valid
+    record is one gap.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    found = stage(files.mapInArrow(_read, _READ), "warc-read")
+    found = stage(files.mapInArrow(lambda batches: _read(batches, blocks), _READ), "warc-read")
     gaps = found.filter("gap_end is not null").select("file", F.col("place").alias("start"), F.col("gap_end").alias("end"), F.col("gap_reason").alias("reason"))
     return found.filter("gap_end is null").drop("gap_end", "gap_reason"), gaps
 
@@ -225,8 +235,9 @@ def page_of(uri: Column) -> Column:
 def payload_figures(records: DataFrame) -> DataFrame:
     """``record_id``, ``record_type``, ``refers_to``, and length and digest of the
     full payload, which a revisit takes from the record that it refers to."""
-    own = records.withColumns({"payload_bytes": F.octet_length("block").cast("long"), "payload_digest": F.sha2("block", 256)})
-    own = own.select("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest")
+    own = records.select(
+        "record_id", "record_type", "refers_to", F.col("block_bytes").alias("payload_bytes"), F.col("block_sha256").alias("payload_digest")
+    )
     responses = own.filter("record_type = 'response'").dropDuplicates(["record_id"])
     held = responses.select(F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("bytes_there"), F.col("payload_digest").alias("digest_there"))
     revisits = own.filter("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(held, "refers_to", "left")

@@ -276,7 +276,7 @@ def test_pages_come_back(spark, tmp_path):
     rows += [(None, "u", long), (8, "u", "y" * 100_000)]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, payload int")
     path = str(tmp_path / "out")
-    warc.write_archives(warc.plan_records(pages), path)
+    warc.write_archives(warc.plan_records(pages), path, warc.average_record(pages))
     records, gaps = warc.read_archives(spark, path)
     assert gaps.collect() == []
     got = collections.Counter(
@@ -290,7 +290,8 @@ def test_pages_come_back(spark, tmp_path):
 
 def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "out")
-    warc.write_archives(warc.plan_records(spark.createDataFrame([], "page_id long, url string, html string")), path)
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_archives(warc.plan_records(pages), path, warc.average_record(pages))
     records, gaps = warc.read_archives(spark, path)
     assert records.collect() == gaps.collect() == []
 
