@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, stage_counted
 
 LEAST_REVISIT = 100
 FILE_BYTES = 16 << 20
+#: Digests that repeat are broadcast up to this number, about 60 MB; more are joined by a shuffle.
+BROADCAST_DIGESTS = 500_000
 _END = "\r\n"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
@@ -52,7 +54,12 @@ def plan_records(pages: DataFrame) -> DataFrame:
         {"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")}
     )
     long_enough = F.col("payload_bytes") >= LEAST_REVISIT
-    first = keyed.filter(long_enough).groupBy("payload_digest").agg(F.min("page_id").alias("response"))
+    first = keyed.filter(long_enough).groupBy("payload_digest").agg(
+        F.min("page_id").alias("response"), F.count(F.lit(1)).alias("times")
+    )
+    first, seen = stage_counted(first.filter("times > 1").drop("times"), "warc-repeated")
+    if seen["rows"] <= BROADCAST_DIGESTS:
+        first = F.broadcast(first)
     joined = keyed.join(first, "payload_digest", "left")
     revisits = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     return joined.withColumns(
