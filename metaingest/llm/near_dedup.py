@@ -65,9 +65,9 @@ def shingle_sets(texts: w.Texts, length: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of coordinates for each set that is not empty."""
-    out = np.empty((len(sets), COORDINATES), np.uint64)
+def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
+    """One row of at most ``COORDINATES`` for each set that is not empty."""
+    out = np.empty((len(sets), coordinates), np.uint64)
     low = 0
     while low < len(sets):
         high, size = low + 1, len(sets[low])
@@ -76,7 +76,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
             high += 1
         first = np.concatenate(([0], np.cumsum([len(s) for s in sets[low : high - 1]]))).astype(np.int64)
         scattered = w.mix(np.concatenate(sets[low:high]))
-        for k in range(COORDINATES):
+        for k in range(coordinates):
             out[low:high, k] = np.minimum.reduceat(_permuted(scattered - _SHIFTS[k]), first)
         low = high
     return out
@@ -105,7 +105,7 @@ def _sign(length: int):
                 sets = shingle_sets(texts, length)
                 full = [s for s in sets if len(s)]
                 signed = signatures(full)
-                rows = iter(zip(_bands(signed).tolist(), (signed & np.uint64(0xFF)).astype(np.uint8)))
+                rows = iter(zip(band_keys(signed).tolist(), (signed & np.uint64(0xFF)).astype(np.uint8)))
                 for found in sets:
                     sizes.append(len(found))
                     nodes.append(_digest(found) if len(found) else None)
@@ -127,11 +127,12 @@ def _sign(length: int):
     return sign
 
 
-def _bands(signed: np.ndarray) -> np.ndarray:
+def band_keys(signed: np.ndarray) -> np.ndarray:
     """A key for each band, different from those of other bands."""
-    keys = np.zeros((len(signed), BANDS), np.uint64)
+    bands = signed.shape[1] // ROWS
+    keys = np.zeros((len(signed), bands), np.uint64)
     for row in range(ROWS):
-        keys = w.mix(keys + signed[:, row::ROWS] + np.arange(BANDS, dtype=np.uint64))
+        keys = w.mix(keys + signed[:, row::ROWS] + np.arange(bands, dtype=np.uint64))
     return keys.view(np.int64)
 
 

@@ -7,6 +7,12 @@ n-grams of the log of their ratio, and a text is kept if that reaches a fixed
 threshold. Nothing is drawn at random, so the same corpus gives the same
 verdicts.
 
+Copies weigh once. Texts that share one of ``BANDS`` bands of a MinHash signature
+of their 3-word shingles are one group, exact and near copies alike; each row has
+one part in the rows of the largest group that it is in, so that a group weighs
+about as much as one text, however many rows it has. In the trusted multinomial
+these are the trusted rows of the group.
+
 The trusted texts are labelled rows. Of those at most ``LABEL_ROWS`` are used,
 the ones with the smallest hashed id; all counts over the corpus and all
 verdicts cover every row.
@@ -21,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage, stage_counted
+from . import near_dedup
 from . import words as w
 
 LABEL_ROWS = 200_000
@@ -31,6 +39,14 @@ THRESHOLD = -0.13
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
+#: Bands of five coordinates: copies at a similarity of 0.9 share one with probability 1 - 1e-6, of 0.8 with 0.998.
+BANDS = 16
+SHINGLE = 3
+#: The weight of a text without copies; whole numbers, so that sums do not depend on their order.
+_UNIT = 1 << 20
+#: Weights of texts with copies are broadcast up to this number; more are joined by a shuffle of the texts.
+BROADCAST_WEIGHTS = 1_000_000
+
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 
 
@@ -46,17 +62,47 @@ def _buckets(texts: w.Texts, words: w.Words) -> tuple[np.ndarray, np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
-        trusted = np.asarray(batch.column("trusted").to_pylist(), bool)
+        weights = [batch.column(name).to_numpy() for name in ("raw", "target")]
         for low, high, texts in w.text_slices(batch.column("text")):
             grams, of = _buckets(texts, w.find_words(texts))
-            counts[0] += np.bincount(grams, minlength=BUCKETS)
-            counts[1] += np.bincount(grams[trusted[low:high][of]], minlength=BUCKETS)
+            for k, weight in enumerate(weights):
+                # Doubles hold these sums exactly: a slice has far less than 2**33 n-grams.
+                counts[k] += np.bincount(grams, weight[low:high][of], BUCKETS).astype(np.int64)
     seen = np.flatnonzero(counts[0])
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen, pa.int32()), pa.array(counts[0][seen]), pa.array(counts[1][seen])], ["bucket", "raw", "target"]
     )
 
 
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bands = []
+        for _, _, texts in w.text_slices(batch.column("text")):
+            sets = near_dedup.shingle_sets(texts, SHINGLE)
+            keys = iter(near_dedup.band_keys(near_dedup.signatures([s for s in sets if len(s)], BANDS * near_dedup.ROWS)).tolist())
+            bands += [next(keys) if len(s) else [] for s in sets]
+        columns = [batch.column("text_hash"), batch.column("trusted"), pa.array(bands, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["text_hash", "trusted", "bands"])
+
+
+def copies(marked: DataFrame) -> DataFrame:
+    """``text_hash``, ``rows`` and ``trusted_rows`` of the largest group of each
+    text that has exact or near copies."""
+    signed = marked.mapInArrow(_sign, "text_hash long, trusted boolean, bands array<long>")
+    trusted = F.count_if("trusted").alias("trusted_rows")
+    texts = signed.groupBy("text_hash").agg(F.count(F.lit(1)).alias("rows"), trusted, F.first("bands").alias("bands"))
+    texts = stage(texts, "quality-texts")
+    members = texts.select("text_hash", "rows", "trusted_rows", F.explode("bands").alias("band"))
+    groups = members.groupBy("band").agg(F.sum("rows").alias("rows"), F.sum("trusted_rows").alias("trusted_rows")).filter("rows > 1")
+    of_text = members.select("text_hash", "band").join(groups, "band").groupBy("text_hash")
+    return of_text.agg(F.max("rows").alias("rows"), F.max("trusted_rows").alias("trusted_rows"))
+
+
+def _part(rows: str) -> Column:
+    """The weight of one of so many rows; one row without a number is alone."""
+    return F.greatest(F.lit(1), F.round(_UNIT / F.coalesce(rows, F.lit(1))).cast("long")).cast("long")
+
+
 def trusted_ids(labels: DataFrame, quality: str = "quality", rows: int = LABEL_ROWS) -> DataFrame:
     """Ids of at most ``rows`` trusted rows, the same at every call."""
     ids = labels.filter(F.col(quality) == 1).filter("doc_id is not null").select("doc_id").distinct()
@@ -70,14 +116,20 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     trusted text, or without any, all are 0.
     """
     ids = F.broadcast(trusted_ids(labels)).withColumn("trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counted = marked.mapInArrow(_count, "bucket int, raw long, target long")
+    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
+    marked = marked.select("text", F.xxhash64("text").alias("text_hash"), F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    groups, seen = stage_counted(copies(marked), "quality-copies")
+    if seen["rows"] <= BROADCAST_WEIGHTS:
+        groups = F.broadcast(groups)
+    target = F.when(F.col("trusted"), _part("trusted_rows")).otherwise(F.lit(0)).cast("long")
+    weighed = marked.join(groups, "text_hash", "left").select("text", _part("rows").alias("raw"), target.alias("target"))
+    counted = weighed.mapInArrow(_count, "bucket int, raw long, target long")
     found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
     counts = np.zeros((2, BUCKETS))
     counts[:, found["bucket"].to_numpy()] = found["raw"].to_numpy(), found["target"].to_numpy()
     if not counts[1].any():
         return np.zeros(BUCKETS)
-    raw, target = counts
+    raw, target = counts / _UNIT
     # Raw counts scaled to the target's total, so that a rare n-gram the sample can't hold says little.
     return np.log(target + SMOOTHING) - np.log(raw * (target.sum() / raw.sum()) + SMOOTHING)
 

@@ -412,6 +412,20 @@ def test_quality_tells_trusted_from_raw(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(60))
 
 
+def test_quality_keeps_clean_texts_with_many_copies(spark):
+    rng = random.Random(11)
+    words = [[f"good{rng.randrange(400)}" for _ in range(200)] for _ in range(61)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(words[:60])] + [(1000 + i, " ".join(words[60])) for i in range(500)]
+    for i in range(500):
+        near = list(words[60])
+        near[rng.randrange(200)] = f"good{rng.randrange(400)}"
+        rows.append((2000 + i, " ".join(near)))
+    rows += [(100 + i, " ".join(f"junk{rng.randrange(400)}" for _ in range(200))) for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 100), 0) for i in [*range(30), *range(100, 110)]], "doc_id long, quality int, toxic int")
+    kept = quality.keep_good(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels)
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if not 100 <= i < 120}
+
+
 def test_quality_of_odd_documents(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1), (2, 1), (None, 1), (8, None)], "doc_id long, quality int")
     kept = quality.keep_good(odd_documents, labels)
