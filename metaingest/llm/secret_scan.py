@@ -37,7 +37,8 @@ _BORDER = 0xFF
 class Rule(NamedTuple):
     """Matches of ``regex`` whose part after the longest ``head`` has at least
     ``least`` bytes. ``detect`` may replace ``regex`` in the pass over all
-    bytes if it ends in every match that is long enough, and in no other."""
+    bytes if it ends in every match that is long enough, and in no other. It
+    may also be a beginning of each match that no other match ends in."""
 
     kind: str
     regex: str
@@ -49,12 +50,22 @@ class Rule(NamedTuple):
 _KEY = "|".join([*map(either_case, ("password", "passwd", "secret", "token")), either_case("api") + "_?" + either_case("key")])
 _ASSIGN = rf"({_KEY})[\"\']?\x20*[:=]\x20*[\"\']?"
 
+_KEY_LINE = "-----{} [A-Z ]*PRIVATE KEY-----"
+#: Line ends and blanks, also as they stand in quoted strings.
+_BREAK = r"(?:[\x20\t\r\n\"\'>#]|\\+[nrt])+"
+_KEY_BEGIN = _KEY_LINE.format("BEGIN")
+#: Any ASCII text without five dashes in a row, up to the END line.
+_KEY_ENDED = r"[\t\n\r\x20-\x2C\x2E-\x7E]*(?:-{1,4}[\t\n\r\x20-\x2C\x2E-\x7E]+)*" + _KEY_LINE.format("END")
+#: Header fields and lines of a body whose END line is missing; its last line may be short.
+_KEY_CUT = rf"(?:{_BREAK}[A-Z][A-Za-z0-9-]*:[\x20-\x5B\x5D-\x7E]*)*(?:{_BREAK}[A-Za-z0-9+/=]{{20,}})+(?:{_BREAK}[A-Za-z0-9+/=]+)?"
+
 #: The first three are the base kinds; the others add spans of their own.
 RULES = (
     Rule("assign", _ASSIGN + "[A-Za-z0-9+/_.=-]+", _ASSIGN, 6),
     Rule("access", "AKIA[A-Z0-9]+", least=20),
     Rule("hex", "[0-9a-f]+", least=24, detect="[0-9a-f]{24,}"),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # The header alone is a match too; the longest end takes the body.
+    Rule("private_key", f"{_KEY_BEGIN}(?:{_KEY_ENDED}|{_KEY_CUT})?", detect=_KEY_BEGIN),
     Rule("code_host", "gh[oprsu]_[A-Za-z0-9]+", least=40),
     Rule("chat_bot", "xox[abprs]-[A-Za-z0-9-]+", least=20),
     Rule("signed_token", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", least=40),

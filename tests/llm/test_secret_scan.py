@@ -70,6 +70,29 @@ def test_other_kinds():
     assert [{s[0] for s in spans} - set(BASE) for spans in scanned(texts)] == [{"private_key"}, {"code_host"}, {"chat_bot"}]
 
 
+def _masked(text: str) -> str:
+    [(_, data, spans)] = secrets._scan(pa.array([text]), secrets.RULES)
+    return secrets._masked(data, spans, "#")
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\\n", '\\n"\n"', "\n> "])
+@pytest.mark.parametrize("fields", [[], ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]])
+def test_private_keys_go_with_their_body(line_end, fields):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = ["MIIEpAIBAAKCAQEA" + "aB3/" * 11 + "x+Zq", *["Zz9+" * 16] * 30, "q0=="]
+    whole, cut = line_end.join([begin, *fields, *body, end]), line_end.join([begin, *fields, *body])
+    assert _masked(f"é {whole} between {whole}{line_end}after") == f"é # between #{line_end}after"
+    assert _masked(f"é {cut}") == "é #"
+    assert _masked(f"{cut}\n{whole}.") == "#\n#."
+
+
+def test_a_private_key_header_alone():
+    begin = "-----BEGIN PRIVATE KEY-----"
+    assert _masked(f"a {begin} is how such files begin. {begin}é{begin}") == "a # is how such files begin. #é#"
+    assert _masked(begin + "\nshort words only\n-----END CERTIFICATE-----") == "#\nshort words only\n-----END CERTIFICATE-----"
+    assert _masked(f"{begin}\nA-b--c---d----\n-----END PRIVATE KEY-----x") == "#x"
+
+
 def test_automaton_is_minimal():
     # four states for (a|b)*abb, and one that other bytes lead to
     assert len(compile_rules(["(a|b)*abb"], anywhere=False).step) == 5
