@@ -214,7 +214,9 @@ def op6_warc_salvage(spark, sf_dir):
     path = scratch_path(spark, "warc")
     pages = table(spark, sf_dir, "pages")
     warc.write_archives(warc.plan_records(pages), path, warc.average_record(pages))
-    records, _ = warc.read_archives(spark, path, blocks=False)
+    records, gaps = warc.read_archives(spark, path, blocks=False)
+    if gap := gaps.first():
+        raise ValueError(f"an archive that was just written is damaged: {gap}")
     kind = pages.schema["page_id"].dataType
 
     def id_of(uri: str) -> Column:

@@ -6,7 +6,9 @@ the first. ``read_archives`` takes any WARC files, plain or as gzip members. A
 record must have a version line, complete headers, a length that the file
 holds, its closing line ends and, if given, the right digest. Where one of these
 checks fails, the reader goes on at the next version line or gzip member that
-starts a valid record, and logs the bytes between as a gap.
+starts a valid record, and logs the bytes between as a gap. The same holds within
+the decompressed bytes of a gzip member, also of those before the place where a
+member breaks or is cut short.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ BROADCAST_DIGESTS = 500_000
 _END = "\r\n"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
+#: Compressed bytes that are unpacked at once.
+_PIECE = 1 << 16
 _EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
 
 
@@ -99,9 +103,12 @@ def write_archives(records: DataFrame, path: str, average_bytes: int, file_bytes
 
 
 class Gap(NamedTuple):
+    """Bytes of the file or, if ``member`` is its place, of the decompressed member."""
+
     start: int
     end: int
     reason: str
+    member: int | None = None
 
 
 class Damaged(Exception):
@@ -146,55 +153,121 @@ def _digest_fits(digest: str, block: bytes) -> bool:
     return value.lower() in (found.hexdigest(), base64.b32encode(found.digest()).decode().lower())
 
 
-def _unit(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the plain record or the gzip member at ``at``, and its end."""
-    if not data.startswith(_GZIP, at):
-        headers, block, end = _record(data, at)
-        return [(headers, block)], end
-    unpacker = zlib.decompressobj(31)
-    try:
-        inner = unpacker.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged("a damaged member") from error
-    if not unpacker.eof:
-        raise Damaged("a member cut short")
-    records, place = [], 0
-    while place < len(inner):
-        headers, block, place = _record(inner, place)
-        records.append((headers, block))
-    return records, len(data) - len(unpacker.unused_data)
+class Member(NamedTuple):
+    """What a gzip member holds up to ``end``, and why no more; it may have
+    read on past its true end if it is damaged."""
 
+    inner: bytes
+    end: int
+    damage: str | None
 
-def salvage(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes] | Gap]:
-    """The valid records of an archive with their places, and gaps."""
+
+def _unpack(data: bytes, at: int, until: int) -> Member:
+    unpacker, parts, place = zlib.decompressobj(31), [], at
+    while place < until and not unpacker.eof:
+        piece = memoryview(data)[place : min(place + _PIECE, until)]
+        try:
+            parts.append(unpacker.decompress(piece))
+        except zlib.error:
+            return _unpack_damaged(data, at, place)
+        place += len(piece)
+    return Member(b"".join(parts), place - len(unpacker.unused_data), None if unpacker.eof else "a member cut short")
+
+
+def _unpack_damaged(data: bytes, at: int, place: int) -> Member:
+    """The member at ``at`` up to the byte that is wrong, which is after ``place``."""
+    unpacker, parts = zlib.decompressobj(31), []
+    if place > at:
+        parts.append(unpacker.decompress(memoryview(data)[at:place]))
+    while True:
+        try:
+            parts.append(unpacker.decompress(data[place : place + 1]))
+        except zlib.error:
+            return Member(b"".join(parts), place, "a damaged member")
+        place += 1
+
+
+def _plain(data: bytes, whole: bool = True) -> Iterator[tuple[int, dict[str, str], bytes] | Gap]:
+    """The valid records of decompressed bytes, and gaps. A last gap is left out
+    if the bytes are not the ``whole`` member."""
     at = 0
     while at < len(data):
         try:
-            records, end = _unit(data, at)
+            headers, block, end = _record(data, at)
         except Damaged as error:
-            start, at = at, _next_start(data, at + 1)
-            yield Gap(start, at, str(error))
+            start, at = at, _next_record(data, at + 1)
+            if whole or at < len(data):
+                yield Gap(start, at, str(error))
             continue
-        for headers, block in records:
-            yield at, headers, block
+        yield at, headers, block
         at = end
 
 
-def _next_start(data: bytes, at: int) -> int:
-    """The next place where a valid record or member starts, or the end."""
+def _next_record(data: bytes, at: int) -> int:
+    while line := _VERSION.search(data, at):
+        try:
+            _record(data, line.start())
+            return line.start()
+        except Damaged:
+            at = line.start() + 1
+    return len(data)
+
+
+def salvage(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes] | Gap]:
+    """The valid records of an archive with their places, and gaps.
+
+    The place of a record in a gzip member is the member's. A member that is
+    damaged or cut short is a gap of the file after the records found in it.
+    """
+    at = 0
+    while at < len(data):
+        if not data.startswith(_GZIP, at):
+            try:
+                headers, block, end = _record(data, at)
+            except Damaged as error:
+                start, at = at, _next_start(data, at + 1)
+                yield Gap(start, at, str(error))
+            else:
+                yield at, headers, block
+                at = end
+            continue
+        start, member = at, _unpack(data, at, len(data))
+        at, damage = member.end, member.damage
+        if damage:
+            at = _next_start(data, start + 1, member)
+            if at < member.end:
+                member = _unpack(data, start, at)
+        for found in _plain(member.inner, damage is None):
+            yield found._replace(member=start) if isinstance(found, Gap) else (start, *found[1:])
+        if damage:
+            yield Gap(start, at, damage)
+
+
+def _next_start(data: bytes, at: int, damaged: Member | None = None) -> int:
+    """The next place where a valid record, or a member with one, starts, or the
+    end. Records that the ``damaged`` member before already gave are passed by."""
     while True:
         line, member = _VERSION.search(data, at), data.find(_GZIP, at)
         places = [p for p in (line.start() if line else -1, member) if p >= 0]
         if not places:
             return len(data)
+        place = min(places)
+        if place == member:
+            if any(not isinstance(found, Gap) for found in _plain(_unpack(data, place, len(data)).inner)):
+                return place
+            at = place + 1
+            continue
         try:
-            _unit(data, min(places))
-            return min(places)
+            end = _record(data, place)[2]
         except Damaged:
-            at = min(places) + 1
+            at = place + 1
+            continue
+        if not (damaged and place < damaged.end and data[place:end] in damaged.inner):
+            return place
+        at = end
 
 
-_READ = "file string, place long, gap_end long, gap_reason string, record_type string, record_id string, refers_to string, uri string, payload_digest string, block_bytes long, block_sha256 string, block binary"
+_READ = "file string, place long, gap_end long, gap_reason string, gap_member long, record_type string, record_id string, refers_to string, uri string, payload_digest string, block_bytes long, block_sha256 string, block binary"
 
 
 def _read(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.RecordBatch]:
@@ -205,12 +278,12 @@ def _read(batches: Iterator[pa.RecordBatch], blocks: bool) -> Iterator[pa.Record
             rows, held = [], 0
             for found in salvage(content.as_py()):
                 if isinstance(found, Gap):
-                    rows.append((file, found.start, found.end, found.reason, *[None] * 8))
+                    rows.append((file, found.start, found.end, found.reason, found.member, *[None] * 8))
                 else:
                     place, headers, block = found
                     keys = ("warc-type", "warc-record-id", "warc-refers-to", "warc-target-uri", "warc-payload-digest")
                     seen = len(block), hashlib.sha256(block).hexdigest(), block if blocks else None
-                    rows.append((file, place, None, None, *map(headers.get, keys), *seen))
+                    rows.append((file, place, None, None, None, *map(headers.get, keys), *seen))
                     held += len(block)
                 if held > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -225,13 +298,14 @@ def read_archives(spark: SparkSession, path: str, blocks: bool = True) -> tuple[
     Records have ``file``, ``place``, ``record_type``, ``record_id``,
     ``refers_to``, ``uri``, ``payload_digest`` (as stated), ``block_bytes`` and
     ``block_sha256`` (as read) and ``block``, which is null without ``blocks``;
-    gaps ``file``, ``start``, ``end`` and ``reason``. A file without a valid
-    record is one gap.
+    gaps ``file``, ``start``, ``end``, ``reason`` and ``member``: if not null, start
+    and end count the decompressed bytes of the gzip member at this place. A plain
+    file without a valid record is one gap.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     found = stage(files.mapInArrow(lambda batches: _read(batches, blocks), _READ), "warc-read")
-    gaps = found.filter("gap_end is not null").select("file", F.col("place").alias("start"), F.col("gap_end").alias("end"), F.col("gap_reason").alias("reason"))
-    return found.filter("gap_end is null").drop("gap_end", "gap_reason"), gaps
+    gaps = found.filter("gap_end is not null").select("file", F.col("place").alias("start"), F.col("gap_end").alias("end"), F.col("gap_reason").alias("reason"), F.col("gap_member").alias("member"))
+    return found.filter("gap_end is null").drop("gap_end", "gap_reason", "gap_member"), gaps
 
 
 def page_of(uri: Column) -> Column:

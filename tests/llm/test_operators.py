@@ -320,6 +320,89 @@ def test_salvage(packed):
     assert read(b"nothing here") == ([], [(0, 12)]) and read(b"") == ([], [])
 
 
+def members(data):
+    found = list(warc.salvage(data))
+    gaps = [(g.member, g.start, g.end) for g in found if isinstance(g, warc.Gap)]
+    return [(x[0], x[2][:8].decode()) for x in found if not isinstance(x, warc.Gap)], gaps
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_inside_members(level):
+    import gzip
+
+    rng = random.Random(6)
+    parts = [archive([f"block {i} ".encode() + rng.randbytes(3000)]) for i in range(60)]
+    names, ends = [f"block {i} "[:8] for i in range(60)], np.cumsum([len(p) for p in parts]).tolist()
+    whole = b"".join(parts)
+    assert members(gzip.compress(whole, level)) == ([(0, n) for n in names], [])
+
+    # a wrong record, in a member that is whole
+    wrong = bytearray(whole)
+    wrong[ends[29] + len(parts[30]) // 2] ^= 0x55
+    packed = gzip.compress(bytes(wrong), level)
+    again = gzip.compress(whole, level)
+    first = [(0, n) for i, n in enumerate(names) if i != 30]
+    assert members(packed) == (first, [(0, ends[29], ends[30])])
+    assert members(packed + again) == (first + [(len(packed), n) for n in names], [(0, ends[29], ends[30])])
+
+    # a member cut short, alone and before a whole one
+    cut = again[: len(again) * 2 // 3]
+    found, gaps = members(cut)
+    assert 38 <= len(found) <= 40 and found == [(0, n) for n in names[: len(found)]] and gaps == [(None, 0, len(cut))]
+    found, gaps = members(cut + again)
+    assert found[-60:] == [(len(cut), n) for n in names] and 38 <= len(found) - 60 <= 40 and gaps == [(None, 0, len(cut))]
+
+    # a wrong check sum loses no record; no record comes twice
+    trailer = bytearray(again)
+    trailer[-6] ^= 1
+    assert members(bytes(trailer)) == ([(0, n) for n in names], [(None, 0, len(again))])
+
+
+def test_salvage_of_members_that_break():
+    import gzip
+
+    text = " ".join(f"w{i % 9973}" for i in range(60_000))
+    blocks = [f"block {i} {text[i * 3000 : i * 3000 + 3000]}".encode() for i in range(60)]
+    good = gzip.compress(archive(blocks))
+    broken = bytearray(good)
+    broken[len(good) // 2 : len(good) // 2 + 40] = bytes(40)
+    found, gaps = members(bytes(broken) + bytes(broken) + good)
+    starts = [0, len(good), 2 * len(good)]
+    by_member = [[n for at, n in found if at == start] for start in starts]
+    names = [b[:8].decode() for b in blocks]
+    assert by_member[2] == names and by_member[0] == by_member[1] and len(found) == sum(map(len, by_member))
+    assert 20 <= len(by_member[0]) < 60 and set(by_member[0]) <= set(names) and by_member[0][:20] == names[:20]
+    assert [g[1:] for g in gaps if g[0] is None] == [(0, len(good)), (len(good), 2 * len(good))]
+
+
+def test_gaps_of_archives(spark, tmp_path):
+    import gzip
+
+    wrong = archive([b"one", b"two", b"three"]).replace(b"two", b"TWO")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(wrong))
+    records, gaps = warc.read_archives(spark, str(tmp_path))
+    assert sorted(bytes(r.block) for r in records.collect()) == [b"one", b"three"]
+    [gap] = gaps.collect()
+    assert (gap.member, gap.reason) == (0, "wrong digest") and wrong[gap.start : gap.end].count(b"TWO") == 1
+
+
+def test_the_query_fails_at_a_gap(spark, monkeypatch):
+    from metaingest.llm import queries
+
+    monkeypatch.setattr(queries.warc, "write_archives", _write_damaged(warc.write_archives))
+    with pytest.raises(ValueError, match="damaged"):
+        queries.QUERIES["op6_warc_salvage"](spark, "/root/testdata/sf0.001")
+
+
+def _write_damaged(write):
+    def damaged(records, path, *rest):
+        write(records, path, *rest)
+        with open(path.removeprefix("file:") + "/damaged.txt", "wb") as file:
+            file.write(b"WARC/1.1\r\n")
+
+    return damaged
+
+
 # --- 7 urls --------------------------------------------------------------
 
 
