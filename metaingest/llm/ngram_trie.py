@@ -14,9 +14,11 @@ context among those of its word.
 No level is collected or broadcast. All occurrences, of training and other
 texts, are dealt once to the part of their word, in packed blocks; there the
 training ones build the trie, all of them query it, and sums for each text come
-back. A word with more than ``HOT_TOKENS`` training occurrences is dealt by word
-and context; its count comes from the vocabulary, whose hot words number at most
-N / HOT_TOKENS. The number of parts grows with the corpus.
+back. A bigram that a text repeats is dealt once with its number. A word with more
+than ``HOT_TOKENS`` occurrences is dealt by word and context, and a bigram with
+more than these is dealt over several parts. Their training counts go to all parts;
+hot words and hot bigrams number at most N / HOT_TOKENS each. The number of parts
+grows with the corpus.
 """
 
 from __future__ import annotations
@@ -105,16 +107,23 @@ def _mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+class Hot(NamedTuple):
+    """Training occurrences of a hot word or bigram, and parts that hold them all."""
+
+    train: int
+    parts: int
+
+
 class Corpus(NamedTuple):
-    """Totals of the training tokens, and the counts of hot words."""
+    """Totals of the training tokens, the number of parts, and the counts of hot
+    words and of hot bigrams: word and ``_short`` context."""
 
     tokens: int
     words: int
     texts: int
-    hot: dict[int, int]
-
-    def parts(self) -> int:
-        return max(1, -(-self.tokens // PART_TOKENS))
+    parts: int
+    hot: dict[int, Hot]
+    hot_pairs: dict[tuple[int, int], Hot]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -129,42 +138,91 @@ def _tokens(texts: w.Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes, words.first[1:], _END), words.first + np.arange(len(words.first))
 
 
-def count_corpus(docs: DataFrame) -> Corpus:
-    """Counts all tokens of the rows that are not ``held_out``."""
+def _short(contexts: np.ndarray) -> np.ndarray:
+    return contexts >> np.uint64(64 - _CONTEXT_BITS)
+
+
+def _contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The token before each; ``first`` are the places where texts begin."""
+    contexts = np.concatenate((tokens[-1:], tokens[:-1]))
+    contexts[first] = _BEGIN
+    return contexts
+
+
+def _counts(docs: DataFrame, hot: np.ndarray | None = None) -> DataFrame:
+    """``times`` (training) and ``occurrences`` (all) of each word or, given
+    ascending ``hot`` words, of each bigram of these: its ``key`` has their
+    numbers, the word's times ``len(hot)`` plus the context's."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, sums = np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
         for batch in batches:
-            train = batch.filter(pc.invert(batch.column("held_out")))
-            for _, _, texts in w.text_slices(train.column("text"), 4 << 20):
-                found, times = np.unique(_tokens(texts)[0], return_counts=True)
-                hashes, back = np.unique(np.concatenate((hashes, found)), return_inverse=True)
-                counts = np.bincount(back, np.concatenate((counts, times)), len(hashes)).astype(np.int64)
-                if len(hashes) > 2_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["word", "times"])
-                    hashes, counts = hashes[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["word", "times"])
-
-    counted = docs.select("text", "held_out").mapInArrow(count, "word long, times long").groupBy("word").agg(F.sum("times").alias("times"))
-    hot = F.collect_list(F.when(F.col("times") > HOT_TOKENS, F.struct("word", "times")))
-    end = F.max(F.when(F.col("word") == int(_END.view(np.int64)), F.col("times")))
-    found = counted.agg(F.sum("times").alias("tokens"), F.count(F.lit(1)).alias("words"), end.alias("texts"), hot.alias("hot")).first()
-    mask = (1 << 64) - 1
-    return Corpus(found.tokens or 0, found.words, found.texts or 0, {row.word & mask: row.times for row in found.hot})
-
-
-def _part_of(hashes: np.ndarray, contexts: np.ndarray, corpus: Corpus) -> np.ndarray:
+            train = ~batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            for low, high, texts in w.text_slices(batch.column("text"), 4 << 20):
+                tokens, first = _tokens(texts)
+                learnt = np.repeat(train[low:high], np.diff(first))
+                if hot is not None:
+                    pairs = np.stack((tokens, _contexts(tokens, first[:-1])))
+                    at = np.minimum(np.searchsorted(hot, pairs), len(hot) - 1)
+                    both = (hot[at] == pairs).all(0)
+                    tokens, learnt = (at[0] * len(hot) + at[1])[both].astype(np.uint64), learnt[both]
+                found, back = np.unique(tokens, return_inverse=True)
+                more = np.bincount(back[learnt], minlength=len(found)), np.bincount(back, minlength=len(found))
+                keys, back = np.unique(np.concatenate((keys, found)), return_inverse=True)
+                sums = np.stack([np.bincount(back, np.concatenate(x), len(keys)).astype(np.int64) for x in zip(sums, more)])
+                if len(keys) > 2_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], names)
+                    keys, sums = keys[:0], sums[:, :0]
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *map(pa.array, sums)], names)
+
+    names = ["key", "times", "occurrences"]
+    counted = docs.select("text", "held_out").mapInArrow(count, "key long, times long, occurrences long")
+    return counted.groupBy("key").agg(F.sum("times").alias("times"), F.sum("occurrences").alias("occurrences"))
+
+
+def count_corpus(docs: DataFrame) -> Corpus:
+    """Counts all tokens; a second pass counts bigrams if there are hot words."""
+    hot = F.collect_list(F.when(F.col("occurrences") > HOT_TOKENS, F.struct("key", "times", "occurrences")))
+    end = F.max(F.when(F.col("key") == int(_END.view(np.int64)), F.col("times")))
+    totals = F.sum("times").alias("tokens"), F.count_if(F.col("times") > 0).alias("words"), F.sum("occurrences").alias("all")
+    found = _counts(docs).agg(*totals, end.alias("texts"), hot.alias("hot")).first()
+
+    def counts_of(row) -> Hot:
+        return Hot(row.times, -(-row.occurrences // HOT_TOKENS))
+
+    words = {row.key & (1 << 64) - 1: counts_of(row) for row in found.hot}
+    pairs = {}
+    if words:
+        # A hot bigram has two hot words, or begins a text.
+        both = np.unique(np.array([*words, int(_BEGIN)], np.uint64))
+        short = _short(both).tolist()
+        for row in _counts(docs, both).filter(F.col("occurrences") > HOT_TOKENS).collect():
+            word, context = divmod(row.key, len(both))
+            pairs[int(both[word]), short[context]] = counts_of(row)
+    parts = max(1, -(-(found["all"] or 0) // PART_TOKENS))
+    return Corpus(found.tokens or 0, found.words, found.texts or 0, parts, words, pairs)
+
+
+def _part_of(hashes: np.ndarray, contexts: np.ndarray, corpus: Corpus, number: int) -> np.ndarray:
+    """The part of each bigram of batch ``number``; batches take turns at the parts of a hot one."""
     key = hashes.copy()
     if corpus.hot:
         hot = np.isin(hashes, np.fromiter(corpus.hot, np.uint64))
         key[hot] = w.mix(hashes[hot] + contexts[hot])
-    return (w.mix(key) % np.uint64(corpus.parts())).astype(np.int64)
+    part = (w.mix(key) % np.uint64(corpus.parts)).astype(np.int64)
+    turn = (number >> 33) + (number & (1 << 33) - 1)
+    for (word, context), found in corpus.hot_pairs.items():
+        mine = (hashes == np.uint64(word)) & (_short(contexts) == np.uint64(context))
+        part[mine] = (part[mine] + turn % found.parts) % corpus.parts
+    return part
 
 
-_DEALT = ["part", "batch", "doc_ids", "train", "sizes", "words", "counts", "contexts", "places"]
+_DEALT = ["part", "batch", "doc_ids", "train", "sizes", "words", "counts", "contexts", "places", "times"]
 
 
 def _deal(corpus: Corpus):
+    limit = BATCH_TOKENS
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         held: list[tuple] = []
@@ -175,7 +233,7 @@ def _deal(corpus: Corpus):
                 tokens, first = _tokens(texts)
                 held.append((batch.column("doc_id").slice(low, high - low), ~out[low:high], tokens, first))
                 size += len(tokens)
-                if size >= BATCH_TOKENS:
+                if size >= limit:
                     yield from _dealt(number, held, corpus)
                     held, size, number = [], 0, number + 1
         if held:
@@ -191,9 +249,13 @@ def _dealt(number: int, held: list[tuple], corpus: Corpus) -> Iterator[pa.Record
     sizes = np.concatenate([np.diff(x[3]) for x in held])
     tokens = np.concatenate([x[2] for x in held])
     first = np.cumsum(sizes) - sizes
-    contexts = np.concatenate((tokens[-1:], tokens[:-1]))
-    contexts[first] = _BEGIN
+    contexts = _contexts(tokens, first)
     places = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+    same = w.mix(w.mix(tokens + w.mix(contexts)) + places)  # one hash for a text's bigram
+    _, once, times = np.unique(same, return_index=True, return_counts=True)
+    order = np.argsort(once)
+    once, times = once[order], times[order].astype(np.uint32)
+    tokens, contexts, places = tokens[once], contexts[once], places[once]
     flags, empty = np.packbits(train).tobytes(), pa.nulls(1, pa.list_(ids.type))
 
     def row(part: int, doc_ids: pa.Array, *blobs: bytes | None) -> pa.RecordBatch:
@@ -201,21 +263,21 @@ def _dealt(number: int, held: list[tuple], corpus: Corpus) -> Iterator[pa.Record
         return pa.RecordBatch.from_arrays([*columns, *(pa.array([b], pa.binary()) for b in blobs)], _DEALT)
 
     texts = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
-    yield row(-1 - number, texts, sizes.astype(np.int64).tobytes(), None, None, None, None)
-    part = _part_of(tokens, contexts, corpus)
+    yield row(-1 - number, texts, sizes.astype(np.int64).tobytes(), None, None, None, None, None)
+    part = _part_of(tokens, contexts, corpus, number)
     order = np.lexsort((tokens, part))  # texts stay in order within a word
-    borders = np.searchsorted(part[order], np.arange(corpus.parts() + 1))
+    borders = np.searchsorted(part[order], np.arange(corpus.parts + 1))
     pack = zstandard.ZstdCompressor(level=1).compress
     for k, (low, high) in enumerate(zip(borders[:-1], borders[1:])):
         if low < high:
             mine = order[low:high]
             of = tokens[mine]
             starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            short = (contexts[mine] >> np.uint64(64 - _CONTEXT_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _CONTEXT_BITS // 8]
+            short = _short(contexts[mine]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _CONTEXT_BITS // 8]
             steps = np.diff(places[mine], prepend=np.uint32(0)).astype(np.uint32)
             split = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T)  # equal bytes lie together
             counts = np.diff(np.append(starts, len(of))).astype(np.uint32)
-            yield row(k, empty, None, of[starts].tobytes(), pack(counts.tobytes()), short.tobytes(), pack(split.tobytes()))
+            yield row(k, empty, None, of[starts].tobytes(), pack(counts.tobytes()), short.tobytes(), pack(split.tobytes()), pack(times[mine].tobytes()))
 
 
 _SUMS = ["batch", "doc_ids", "train", "sizes", "places", "known", "base", "score"]
@@ -242,12 +304,19 @@ def _query(corpus: Corpus, prior: float):
             places.append(np.cumsum(np.ascontiguousarray(steps).view(np.uint32).ravel(), dtype=np.uint32))
             train.append(np.unpackbits(np.frombuffer(flags, np.uint8)).astype(bool)[places[-1]])
         learnt = np.concatenate(train)
-        counts = np.bincount(of[learnt], minlength=len(words))
+        times = np.concatenate([np.frombuffer(unpack(b), np.uint32) for b in rows["times"].to_pylist()])
+        counts = np.bincount(of[learnt], times[learnt], len(words)).astype(np.int64)
+        place_of = {}
         for word, count in corpus.hot.items():
             at = int(np.searchsorted(words, np.uint64(word)))
             if at < len(words) and words[at] == np.uint64(word):
-                counts[at] = count
-        nodes, together = np.unique(keys[learnt], return_counts=True)
+                counts[at], place_of[word] = count.train, at
+        whole = {place_of[word] << _CONTEXT_BITS | context: n.train for (word, context), n in corpus.hot_pairs.items() if n.train and word in place_of}
+        hot_keys = np.array(sorted(whole), np.uint64)
+        nodes, back = np.unique(np.concatenate((keys[learnt], hot_keys)), return_inverse=True)
+        together = np.bincount(back[: len(back) - len(hot_keys)], times[learnt], len(nodes)).astype(np.int64)
+        together[back[len(back) - len(hot_keys) :]] = [whole[key] for key in sorted(whole)]
+        del back
         trie = Trie(words, counts, nodes, together, (counts + 1) / (corpus.tokens + corpus.words + 1), prior)
         distinct, back = np.unique(keys, return_inverse=True)
         score = trie.numerators(distinct)[back]
@@ -257,7 +326,7 @@ def _query(corpus: Corpus, prior: float):
         for place, length in zip(places, lengths):
             texts, back = np.unique(place, return_inverse=True)
             part = slice(low, low + length)
-            sums = (np.bincount(back, x[part], len(texts)) for x in (known, base, score))
+            sums = (np.bincount(back, x[part] * times[part], len(texts)) for x in (known, base, score))
             out.append([texts.tobytes(), *(s.tobytes() for s in sums)])
             low += length
         nothing = [pa.nulls(len(rows), rows.schema.field(c).type) for c in ("doc_ids", "train", "sizes")]
@@ -300,7 +369,7 @@ def score(docs: DataFrame, is_held_out: Column, prior: float = PRIOR) -> DataFra
     corpus = count_corpus(marked)
     dealt = marked.mapInArrow(
         _deal(corpus),
-        f"part long, batch long, doc_ids array<{kind}>, train binary, sizes binary, words binary, counts binary, contexts binary, places binary",
+        f"part long, batch long, doc_ids array<{kind}>, train binary, sizes binary, words binary, counts binary, contexts binary, places binary, times binary",
     )
     summed = dealt.groupBy("part").applyInArrow(
         _query(corpus, prior), f"batch long, doc_ids array<{kind}>, train binary, sizes binary, places binary, known binary, base binary, score binary"

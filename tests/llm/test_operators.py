@@ -250,6 +250,28 @@ def test_trie_scores(spark, monkeypatch, hot):
         assert math.isclose(row.base_score, base, rel_tol=1e-9) and abs(row.score - model) < 0.001 * n
 
 
+@pytest.mark.parametrize("out", [lambda i: i % 4 == 0, lambda i: i % 9 != 0, lambda i: True])
+def test_a_hot_bigram_is_split(spark, monkeypatch, out):
+    monkeypatch.setattr(ngram_trie, "HOT_TOKENS", 100)
+    monkeypatch.setattr(ngram_trie, "PART_TOKENS", 200)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("aabcdefghijklmnop") for _ in range(4)) + " so so so", out(i)) for i in range(900)] + [(999, "only " * 5000, True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, out boolean").repartition(24)
+    got = {r.doc_id: r for r in ngram_trie.score(docs, F.col("out")).collect()}
+    for (key, _, held), (n, known, total, base, model) in zip(rows, plain_scores(rows, ngram_trie.PRIOR)):
+        row = got[key]
+        assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (held, n, known, total)
+        assert math.isclose(row.base_score, base, rel_tol=1e-9) and abs(row.score - model) < 0.001 * n
+
+    marked = docs.select("doc_id", "text", F.col("out").alias("held_out"))
+    corpus = ngram_trie.count_corpus(marked)
+    kinds = "part long, batch long, doc_ids array<long>, train binary, sizes binary, words binary, counts binary, contexts binary, places binary, times binary"
+    dealt = marked.mapInArrow(ngram_trie._deal(corpus), kinds).filter("part >= 0")
+    entries = dealt.groupBy("part").agg(F.sum(F.octet_length("contexts") / 5).alias("n")).collect()
+    assert len(entries) > 30 and max(r.n for r in entries) < 700  # 'so so' alone is in 900 texts
+    assert sum(x.parts for x in corpus.hot_pairs.values()) > 18 and sum(r.n for r in entries) < 7300
+
+
 def test_odd_documents_are_scored(odd_documents, no_documents):
     out = ngram_trie.score(odd_documents, ngram_trie.held_out(F.col("doc_id"))).collect()
     assert len(out) == odd_documents.count() and all(r.score < 0 for r in out)
