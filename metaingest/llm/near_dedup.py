@@ -145,6 +145,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     empty texts, and those without words, are linked with nothing. Rows may
     repeat and ids may be null; other columns are left out.
     """
+    return _placed(docs, shingle, percent).select("doc_id", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"))
+
+
+def _placed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Every row with its ``text_hash`` and the ``least`` row of its component: the
+    smallest ``doc_id``, null as the last, and of its texts the smallest hash.
+    A text without words has no ``least``."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = stage(
@@ -162,12 +169,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     known = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     joined = components(known.unionByName(_crossing(members, joined, nodes, keyed, shingle, percent)))
 
-    of_node = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(joined, "node", "left")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    of_node = signed.filter("node is not null").groupBy("node").agg(F.min(row).alias("least")).join(joined, "node", "left")
     of_node = of_node.withColumn("component", F.coalesce("component", "node"))
-    least = of_node.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = of_node.join(least, "component").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = of_node.groupBy("component").agg(F.min("least").alias("least"))
+    ids = of_node.drop("least").join(least, "component").select("node", "least")
+    return signed.select("doc_id", "text_hash", "n_shingles", "node").join(ids, "node", "left").drop("node")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -325,9 +332,19 @@ def _intersections(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndar
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the smallest of their component.
+    """One row of each component, and all rows without words.
 
-    Of rows that repeat the same ``doc_id`` all stay, and so do rows without.
+    It has the smallest ``doc_id``, or none if no row of the component has one; of
+    several texts under it the one with the smallest hash stays. Only rows that
+    repeat both a ``doc_id`` and its text stay together, as one document.
     """
-    ids = near_duplicates(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(ids, "doc_id", "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    others = _placed(docs, shingle, percent).filter("least is not null").filter(~same)
+    others = stage(others.select(F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_text")).distinct(), "dedup-others")
+    text_hash = F.xxhash64("text")
+    match = F.col("doc_id").eqNullSafe(F.col("other_id")) & (text_hash == F.col("other_text"))
+    kept = docs.join(others, match, "left_anti")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Copies without an id differ in nothing that a join could tell apart.
+    unnamed = kept.filter(F.col("doc_id").isNull() & worded).dropDuplicates(["text"])
+    return kept.filter(F.col("doc_id").isNotNull() | ~worded).unionByName(unnamed)

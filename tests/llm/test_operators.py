@@ -127,6 +127,18 @@ def test_odd_near_duplicates(odd_documents, no_documents):
     assert near_dedup.near_duplicates(no_documents).collect() == [] and near_dedup.keep_one(no_documents).collect() == []
 
 
+def test_one_row_of_a_component_stays(spark):
+    x, y, z, u = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyzu")
+    rows = [(5, x), (5, y), (3, x), (None, x), (None, y), (None, z), (None, z), (None, z + " end"), (7, u), (7, u + " end"), (8, u)]
+    rows += [(None, None), (None, None), (None, " "), (4, ""), (4, "")]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert [n for (_, text), n in found.items() if text and text.startswith("z")] == [1]
+    assert [(i, n) for (i, text), n in found.items() if text and text.startswith("u")] == [(7, 1)]
+    rest = {key: n for key, n in found.items() if not (key[1] or "").startswith(("z", "u"))}
+    assert rest == {(3, x): 1, (5, y): 1, (None, None): 2, (None, " "): 1, (4, ""): 2}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(30)] + [(7, 7), (None, 3), (5, 4)]
     out = components(spark.createDataFrame(chain, "a long, b long")).collect()
