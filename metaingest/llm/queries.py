@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import near_dedup, ngram_trie, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
+from . import conversation_repair, near_dedup, ngram_trie, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,3 +246,89 @@ def op5_trie_scores(spark, sf_dir):
     """Scores of every document by the model of the training fold."""
     docs = table(spark, sf_dir, "documents")
     return ngram_trie.score(docs, ngram_trie.held_out(F.col("doc_id")))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repair of every damaged conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    found = conversation_repair.report(conversation_repair.damaged(turns)).withColumnRenamed("conv_id", "found_id")
+    ids = turns.select("conv_id").distinct()
+    every = ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").drop("found_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+ORACLE["op11_conversation_repair"] = r"""
+WITH RECURSIVE checked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(list_reduce(
+               list_concat([4294967295::UBIGINT],
+                           list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                          lambda c: ord(c)::UBIGINT)),
+               lambda crc, byte: list_reduce(
+                   list_concat([xor(crc, byte)], range(8)::UBIGINT[]),
+                   lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))
+           ), 4294967295::UBIGINT) % 20 AS fault
+    FROM conversations
+), harmed AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM checked WHERE fault <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM harmed
+), faults AS (
+    SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS initial,
+           lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+), inserts(q, count, at_q, lines) AS (
+    VALUES (0, 0, 0, []::VARCHAR[]), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']),
+           (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+           (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+           (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])
+), edits(at_q, letter, only_initial, next_q, price, new_role) AS (
+    VALUES (0, 'D', NULL, 0, 3, NULL), (1, 'D', NULL, 1, 3, NULL), (2, 'D', NULL, 2, 3, NULL), (3, 'D', NULL, 3, 3, NULL),
+           (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (3, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL),
+           (0, 'R', NULL, 2, 2, 'user'), (1, 'R', NULL, 2, 2, 'user'), (3, 'R', NULL, 2, 2, 'user'), (2, 'R', NULL, 3, 2, 'assistant')
+), paths AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM conversations
+    UNION ALL
+    SELECT conv_id, i, q, cost, audit, lines FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS place FROM (
+            SELECT p.conv_id, f.i, e.next_q AS q,
+                   p.cost + 2 * n.count + e.price + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+                   p.audit || repeat('I', n.count) || letter AS audit,
+                   list_concat(p.lines, n.lines,
+                               CASE WHEN letter = 'D' THEN [] ELSE [coalesce(new_role, role) || ':' || text] END) AS lines
+            FROM paths AS p JOIN faults AS f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1
+            JOIN inserts AS n ON n.q = p.q JOIN edits AS e ON e.at_q = n.at_q
+            WHERE (only_initial IS NULL OR only_initial = initial) AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate'))
+        )
+    ) WHERE place = 1
+), figures AS (
+    SELECT conv_id, count(*) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count_if(fault = 'blank')::BIGINT AS blank, count_if(fault = 'duplicate')::BIGINT AS duplicate,
+           count_if(fault = 'truncated')::BIGINT AS truncated, count_if(pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal
+    FROM faults GROUP BY conv_id
+), ends AS (
+    SELECT p.conv_id, p.cost + 2 * missing AS cost, audit || repeat('I', missing) AS audit, list_concat(lines, last_lines) AS lines
+    FROM paths AS p LEFT JOIN figures AS g ON p.conv_id IS NOT DISTINCT FROM g.conv_id
+    JOIN (VALUES (0, 0, []::VARCHAR[]), (1, 2, ['user:', 'assistant:']), (2, 1, ['assistant:']), (3, 0, [])) AS m(q, missing, last_lines) ON m.q = p.q
+    WHERE p.i = coalesce(size, 0)
+), cheapest AS (
+    SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost::BIGINT AS cost, audit,
+       sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM cheapest AS c LEFT JOIN figures AS g ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
