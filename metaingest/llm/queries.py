@@ -8,7 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import conversation_repair, near_dedup, ngram_trie, packing, phrase_index, quality, secret_scan, sharding, snapshots, url_filter, warc
+from . import (
+    conversation_repair,
+    hard_negatives,
+    near_dedup,
+    ngram_trie,
+    packing,
+    phrase_index,
+    quality,
+    secret_scan,
+    sharding,
+    snapshots,
+    url_filter,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,3 +345,33 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        sha256(array_to_string(lines, chr(10))) AS repaired_sha256
 FROM cheapest AS c LEFT JOIN figures AS g ON c.conv_id IS NOT DISTINCT FROM g.conv_id
 """
+
+
+@query
+def op12_residue_negatives(spark, sf_dir):
+    """Hard negatives of every anchor and positive."""
+    rows = table(spark, sf_dir, "embeddings").filter(hard_negatives.is_usable("label", "embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select(F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.whole_numbers(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+ORACLE["op12_residue_negatives"] = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike, list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM vectors AS a JOIN vectors AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), banded AS (
+    SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank
+    FROM positives AS p JOIN scored AS n
+      ON p.anchor_id = n.anchor_id AND NOT n.alike AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM banded WHERE rank <= 5
+"""
