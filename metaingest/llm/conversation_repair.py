@@ -40,6 +40,9 @@ _FOLLOWING = {_NOTHING: _USER, _SYSTEM: _USER, _USER: _ASSISTANT, _ASSISTANT: _U
 _MISSING = {_NOTHING: 0, _SYSTEM: 2, _USER: 1, _ASSISTANT: 0}
 _KEPT = {("s", _NOTHING): _SYSTEM, ("u", _NOTHING): _USER, ("u", _SYSTEM): _USER, ("u", _ASSISTANT): _USER, ("a", _USER): _ASSISTANT}
 _DELETE, _REROLE, _INSERT, _TRUNCATED = 3, 2, 2, 1
+#: What follows a state can follow any other one for at most so much more (a deleted
+#: system turn and an inserted one), so a state that is dearer by more is of no use.
+_WORTH = _DELETE + _INSERT
 
 
 class Kind(NamedTuple):
@@ -130,6 +133,7 @@ def _advance(state: tuple, kind: Kind) -> tuple[int, tuple, tuple]:
                 if after not in best or order < best[after][0]:
                     best[after] = (order, Move(before, order[2], lead, writes))
     least = min(order[0] for order, _ in best.values())
+    best = {q: found for q, found in best.items() if found[0][0] - least <= _WORTH}
     ranked = sorted(best, key=lambda after: best[after][0][1:])
     after = tuple((best[q][0][0] - least, ranked.index(q)) if q in best else None for q in range(4))
     return least, after, tuple(best[q][1] if q in best else None for q in range(4))

@@ -11,6 +11,7 @@ from ..session import scratch_path
 from . import (
     conversation_repair,
     hard_negatives,
+    mixing,
     near_dedup,
     ngram_trie,
     packing,
@@ -375,3 +376,10 @@ WITH vectors AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM banded WHERE rank <= 5
 """
+
+
+@query
+def op13_entropy_mix(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
