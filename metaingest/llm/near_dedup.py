@@ -98,6 +98,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _sign(length: int):
+    @w.releasing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes, bands, coordinates = [], [], [], []
@@ -201,6 +202,7 @@ def _similar(likely: DataFrame, nodes: DataFrame, keyed: DataFrame, shingle: int
     texts = _texts_of(likely.select(F.explode(F.array("a", "b")).alias("node")), nodes, keyed)
     held = likely.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
+    @w.releasing
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -226,6 +228,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDINATES)
 
 
+@w.releasing
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         equal = (_matrix(batch.column("coordinates_a")) == _matrix(batch.column("coordinates_b"))).sum(1)
@@ -303,6 +306,8 @@ def _links(shingle: int, percent: int):
                 component[component == other] = one
                 a.append(node[rows[row]])
                 b.append(node[columns[column]])
+        del sets, common, similar
+        w.release()
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return links

@@ -30,13 +30,12 @@ PIECE_TOKENS = 512
 BLOCK_TOKENS = 128 * SEQUENCE_TOKENS - 128 * 16
 END_ID = 2
 _TEXT_BYTES = 4 << 20
-#: Words whose ids a Python worker keeps at most.
-CACHE_WORDS = 3_000_000
+#: Words whose ids a task keeps at most; beyond, it starts to collect them anew.
+CACHE_WORDS = 300_000
 
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: 1: letters and digits of ASCII, 2: its signs but for the apostrophe, which may belong to letters
 _KINDS = np.array([1 if chr(c).isalnum() else 2 if 32 < c < 127 and c != 39 else 0 for c in range(128)] + [0] * 128, np.uint8)
-_tokenizers: dict[str, WordTokenizer] = {}
 
 
 class WordTokenizer:
@@ -67,13 +66,6 @@ class WordTokenizer:
         self._counts = np.zeros(0, np.int64)
         self._pool = np.zeros(0, np.uint32)
 
-    @classmethod
-    def of(cls, path: str) -> WordTokenizer:
-        """One for each Python worker and file."""
-        if path not in _tokenizers:
-            _tokenizers[path] = cls(path)
-        return _tokenizers[path]
-
     def ids(self, texts: w.Texts) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self._hashes) > CACHE_WORDS:
@@ -194,8 +186,9 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int =
     schema = SCHEMA.format(kind=docs.schema["doc_id"].dataType.simpleString())
     piece_tokens = min(PIECE_TOKENS, capacity)
 
+    @w.releasing
     def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer.of(vocabulary)
+        tokenizer = WordTokenizer(vocabulary)
         next_id = TaskContext.get().partitionId() << 33
         block: list[tuple[object, int, np.ndarray, int]] = []
         held = 0

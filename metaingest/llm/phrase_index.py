@@ -45,6 +45,7 @@ def build_index(docs: DataFrame, table: np.ndarray = w.ALPHANUMERIC) -> DataFram
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @w.releasing
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         ids, text_hashes, hashes, counts, held = [], [], [], [], 0
@@ -156,6 +157,7 @@ def windows_of(items: DataFrame, window: int = WINDOW, table: np.ndarray = w.ALP
     fewer is one window, one without words has none."""
     kind = items.schema["item_id"].dataType.simpleString()
 
+    @w.releasing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, texts in w.text_slices(batch.column("text")):
@@ -185,6 +187,7 @@ def _ordered(index: DataFrame, queries: list[np.ndarray], items: list[list]) ->
     """Terms from the rarest on, without queries that have a term of no posting."""
     distinct = np.unique(np.concatenate(queries))
 
+    @w.releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(distinct), np.int64)
         for segment, _, _ in _segments(batches):
@@ -222,6 +225,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Segment, int,
 
 
 def _search(block: Block, within: int | None, item_type: pa.DataType):
+    @w.releasing
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, number, _ in _segments(batches):
             alive = np.arange(len(block.terms))

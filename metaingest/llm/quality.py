@@ -59,6 +59,7 @@ def _buckets(texts: w.Texts, words: w.Words) -> tuple[np.ndarray, np.ndarray]:
     return (grams % np.uint64(BUCKETS)).astype(np.int64), np.concatenate((of, of[pairs]))
 
 
+@w.releasing
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
@@ -74,6 +75,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+@w.releasing
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bands = []
@@ -197,6 +199,7 @@ def score_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in _FEATURES.split(", ")]
     docs = docs.drop(*names)
 
+    @w.releasing
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [_text_features(texts, ratios) for _, _, texts in w.text_slices(batch.column("text"))]

@@ -220,6 +220,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     replaced; a null or empty text has none."""
     docs = docs.drop("spans")
 
+    @w.releasing
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = [[] for _ in range(batch.num_rows)]
@@ -237,6 +238,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = MASK) -
     overlap by one. ``n_chars``, if there, is counted again for those rows."""
     count = "n_chars" in docs.columns
 
+    @w.releasing
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")

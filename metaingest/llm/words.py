@@ -7,8 +7,9 @@ words throughout the operators.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -156,6 +157,31 @@ def run_starts(words: Words, length: int) -> np.ndarray:
     return np.flatnonzero(of[:count] == of[length - 1 : length - 1 + count])
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back to the system.
+
+    Workers outlive their tasks, and what one stage held would be missing in the next."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def releasing(function: Callable) -> Callable:
+    """A function over batches that ends with ``release``."""
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
 def lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
     """``values`` cut at ``first`` into one list a row."""
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values, kind))
