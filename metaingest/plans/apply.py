@@ -10,12 +10,22 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions._cols import field as sub
-from ..functions._cols import quoted
+from ..functions._cols import named, quoted
 from ..operators.extract import check_values, parse_payloads
 from ..operators.fold import incoming_rows
-from ..operators.upsert import ACTION, INSERTED, UNCHANGED, UNTOUCHED, UPDATED, upsert_rows
+from ..operators.upsert import (
+    ACTION,
+    ADDED_AT,
+    INSERTED,
+    UNCHANGED,
+    UNTOUCHED,
+    UPDATED,
+    UPDATED_AT,
+    action_counts,
+    upsert_rows,
+)
 from ..session import spread, staged
-from ..sources.tables import TableStore
+from ..sources.tables import TableStore, Version
 from ..specs import ProcessSpec, TargetSpec
 from .workspace import Workspace
 
@@ -26,32 +36,56 @@ ACTIONS = (INSERTED, UPDATED, UNCHANGED, UNTOUCHED)
 class Applier(Protocol):
     """How folded rows reach a target table."""
 
-    def apply(self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int) -> dict[str, int]:
-        """Write the rows; returns rows per action."""
+    def apply(
+        self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int, batch: tuple[str, int] | None = None
+    ) -> dict[str, int]:
+        """Write the rows; returns rows per action.
+
+        ``batch`` names a stream and its batch: one that the table already has is
+        not written again."""
 
 
 class StoreApplier:
-    """Default: a new version of a bucketed table."""
+    """Default: a new version of a bucketed table that rewrites the touched buckets."""
 
     def __init__(self, tables: TableStore):
         self.tables = tables
 
-    def apply(self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int) -> dict[str, int]:
-        version = self.tables.current(target.table)
-        keys = target.key_names
-        buckets = self.tables.bucket_count((version.rows if version else 0) + expected_rows, version)
-        with self.tables.planning(buckets):
-            old = None if version is None else self.tables.read_version(version)
-            placed = self.tables.layout(incoming, keys, buckets)
-            rows = upsert_rows(old, placed, keys, target.value_names, now)
-            if version is not None and (version.buckets != buckets or list(version.keys) != keys):
-                rows = self.tables.layout(rows, keys, buckets)
-            seen = Observation()
-            counted = rows.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
-            self.tables.write(
-                target.table, counted.drop(ACTION), keys, buckets, lambda: sum(seen.get[a] for a in ACTIONS), version
-            )
-        return {action: seen.get[action] for action in ACTIONS}
+    def apply(
+        self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int, batch: tuple[str, int] | None = None
+    ) -> dict[str, int]:
+        tables, keys = self.tables, target.key_names
+        version = tables.current(target.table)
+        batches = {} if batch is None else {batch[0]: batch[1]}
+        if version is not None and batch is not None and version.batches.get(batch[0], -1) >= batch[1]:
+            return {}
+        rows_so_far = version.rows if version else 0
+        buckets = tables.bucket_count(rows_so_far + expected_rows, version)
+        with staged(incoming, "incoming", touched=F.collect_set(tables.bucket_of(keys, buckets))) as (changes, seen):
+            if version is not None and not seen["rows"]:
+                if batches:
+                    tables.note_batches(version, batches)
+                return {UNTOUCHED: version.rows}
+            touched = sorted(seen["touched"])
+            shares = version is not None and version.has_layout(keys, buckets) and _types_stay(version, incoming)
+            old = None if version is None else tables.read_version(version, touched if shares else None)
+            rows = upsert_rows(old, tables.layout(changes, keys, buckets), keys, target.value_names, now)
+            if version is not None and not version.has_layout(keys, buckets):
+                rows = tables.layout(rows, keys, buckets)
+            done = Observation()
+            counted = rows.observe(done, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS]).drop(ACTION)
+            tables.write(
+                target.table, counted, keys, buckets, lambda: rows_so_far + done.get[INSERTED], version,
+                touched if shares else None, batches,
+            )
+        counts = {action: done.get[action] for action in ACTIONS}
+        return {**counts, UNTOUCHED: rows_so_far - counts[UPDATED] - counts[UNCHANGED]}
+
+
+def _types_stay(version: Version, incoming: DataFrame) -> bool:
+    """Files of the version can be read beside rows that come in."""
+    known = {f.name: f.dataType for f in version.schema}
+    return all(known.get(f.name, f.dataType) == f.dataType for f in incoming.schema)
 
 
 class MergeApplier:
@@ -64,7 +98,25 @@ class MergeApplier:
     def __init__(self, table_name=lambda name: name):
         self.table_name = table_name
 
-    def apply(self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int) -> dict[str, int]:
+    def apply(
+        self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int, batch: tuple[str, int] | None = None
+    ) -> dict[str, int]:
+        with staged(incoming, "incoming") as (changes, _):
+            counts = self.counts(changes, target)
+            self._merge(changes, target, now)
+        return counts
+
+    def counts(self, incoming: DataFrame, target: TargetSpec) -> dict[str, int]:
+        """Rows per action that merging would give; reads the columns to compare only."""
+        stored = incoming.sparkSession.table(self.table_name(target.table))
+        columns = [*target.key_names, *target.value_names]
+        old = stored.select(*map(named, columns)).withColumns(
+            {c: F.lit(None).cast("timestamp_ntz") for c in (ADDED_AT, UPDATED_AT)}
+        )
+        rows = upsert_rows(old, incoming, target.key_names, target.value_names, F.lit(None).cast("timestamp_ntz"))
+        return action_counts(rows).first().asDict()
+
+    def _merge(self, incoming: DataFrame, target: TargetSpec, now: Column) -> None:
         name = self.table_name(target.table)
         prefix = ".".join(map(quoted, name.split(".")))
         source = incoming.alias("n")
@@ -96,7 +148,6 @@ class MergeApplier:
             .insert({**inserts, "add_dtime": now, "upd_dtime": now})
             .merge()
         )
-        return {}
 
 
 @dataclass
@@ -123,6 +174,7 @@ def apply_payloads(
     now: datetime,
     applier: Applier | None = None,
     change_id: int | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> ApplyResult:
     """Parse archived payloads once, set bad ones aside, upsert the rest.
 
@@ -138,7 +190,8 @@ def apply_payloads(
         if failed:
             set_aside(parsed, workspace, now, change_id)
         for target in spec.data_api.targets() if total > failed else ():
-            counts = applier.apply(incoming_rows(parsed, target), target, stamp, total - failed)
+            once = {} if batch is None else {"batch": batch}
+            counts = applier.apply(incoming_rows(parsed, target), target, stamp, total - failed, **once)
             known = result.actions.setdefault(target.table, dict.fromkeys(ACTIONS, 0))
             for action, count in counts.items():
                 known[action] += count

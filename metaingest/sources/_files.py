@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..session import local_rows
 
 
-LONG, INT, TEXT, TIME = T.LongType(), T.IntegerType(), T.StringType(), T.TimestampNTZType()
+LONG, INT, TEXT, TIME, FLAG = T.LongType(), T.IntegerType(), T.StringType(), T.TimestampNTZType(), T.BooleanType()
 
 
 def schema_of(**columns: T.DataType) -> T.StructType:

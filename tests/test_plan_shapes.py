@@ -68,15 +68,16 @@ def test_fold_combines_before_the_shuffle(space):
 def test_upsert_does_not_shuffle_the_target(spark, space):
     version = space.tables.current("product")
     (target,) = data.PART_API.targets()
-    with space.tables.planning(version.buckets), settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__shuffle__partitions=version.buckets + 3):
         parsed = check_values(parse_payloads(space.archive.read(2), data.PART_API), data.PART_API)
         placed = space.tables.layout(incoming_rows(parsed, target), target.key_names, version.buckets)
         rows = upsert_rows(
             space.tables.read_version(version), placed, target.key_names, target.value_names, F.lit(datetime(2024, 1, 2))
         )
         plan = plan_of(rows)
-    assert "Bucketed: true" in plan and "FullOuter" in plan
-    assert plan.count("Exchange") == 1, plan
+    stored, incoming = plan.split("FullOuter")[1].split("Exchange", 1)
+    assert "Bucketed: true" in stored and "_metadata" in stored, plan
+    assert "REPARTITION_BY_NUM" in incoming and "Bucketed: true" not in incoming, plan
 
 
 def test_hot_lookup_key_is_split(spark):
@@ -102,5 +103,18 @@ def test_hot_lookup_key_is_split(spark):
 def test_each_bucket_is_one_file(spark, space):
     apply_snapshot(space, data.PART_SPEC, 2, datetime(2024, 1, 2))
     version = space.tables.current("product")
-    files = spark.read.parquet(version.path).inputFiles()
-    assert version.number == 2 and len(files) <= version.buckets
+    assert version.number == 2 and all(len(names) == 1 for names in version.files.values())
+
+
+def test_only_the_files_of_the_wanted_buckets_are_opened(spark, space):
+    version = space.tables.current("product")
+    (target,) = data.PART_API.targets()
+    rows = space.tables.read_version(version, [3])
+    rows.write.format("noop").mode("overwrite").save()
+    found = rows.select("_metadata.file_name").distinct().collect()
+    assert [r.file_name for r in found] == list(version.files[3])
+    executed = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    metrics = executed.collectLeaves().apply(0).metrics()
+    assert metrics.apply("numFiles").value() == 1
+    assert rows.where(space.tables.bucket_of(target.key_names, version.buckets) != 3).count() == 0
