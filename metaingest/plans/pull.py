@@ -58,10 +58,12 @@ def request_window(workspace: Workspace, spec: ProcessSpec, now: datetime) -> tu
 
 
 def archive_records(
-    workspace: Workspace, spec: ProcessSpec, change_id: int, manifest: DataFrame, base: int, now: datetime, inputs
+    workspace: Workspace, spec: ProcessSpec, change_id: int, manifest: DataFrame, base: int, now: datetime, inputs, again: bool = False
 ) -> None:
     """Archive one batch of manifest records with their payloads.
 
+    ``again``: an earlier attempt may have archived some of them under the same ids.
+
     The records are staged first: pages are parsed once, the lookup knows how
     large its keys are, and unusable records go to quarantine from there.
     """
@@ -86,7 +88,7 @@ def archive_records(
             stamp.alias("upd_dtime"),
             F.lit(change_id).cast("bigint").alias("change_id"),
         )
-        workspace.archive.append(rows)
+        workspace.archive.append(rows, change_id if again else None)
         if seen["bad"]:
             bad = records.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
             workspace.quarantine.append(bad, PULL_STAGE, stamp, change_id)
@@ -126,7 +128,7 @@ def pull(spark: SparkSession, workspace: Workspace, spec: ProcessSpec, inputs, n
             anchor = found or ""
         start_url = anchor or plain_url(api.base_url, api.request_args)
         for pages, following in inputs.page_batches(spark, spec, start_url):
-            first, count = _page_span(pages)
+            first, count = page_span(pages)
             base = ledger.reserve_pages(change_id, process_id, now, count) - first
             archive_records(
                 workspace, spec, change_id, explode_records(pages, api, spec.data_api), base, now, inputs
@@ -158,7 +160,7 @@ def _pull_keys(spark, workspace: Workspace, spec: ProcessSpec, inputs, now: date
     return change_id
 
 
-def _page_span(pages: DataFrame) -> tuple[int, int]:
+def page_span(pages: DataFrame) -> tuple[int, int]:
     """First page number and how many there are; numbers make up the archive ids, so none may repeat."""
     low, high, rows, numbers = pages.agg(
         F.min("page_no"), F.max("page_no"), F.count("page_no"), F.count_distinct("page_no")

@@ -32,7 +32,7 @@ PRICE_COLUMNS = (
 )
 PART_API = ApiSpec(
     base_url="http://catalog.example/product",
-    request_args={"region": "US", "ean": "//product/ean"},
+    request_args={"detail": "full", "part": "//product/ean"},
     buckets=(
         BucketSpec("main", "product", PART_COLUMNS),
         BucketSpec("price", "product", PRICE_COLUMNS),
@@ -41,11 +41,11 @@ PART_API = ApiSpec(
 )
 MANIFEST_API = ApiSpec(
     base_url=BASE_URL,
-    anchor_indicator="hasMore",
-    anchor_element="next",
-    anchor_args={"products": "BK"},
-    request_args={"products": "BK"},
-    response_filter="//delta[country='US' or country='']",
+    anchor_indicator="remaining",
+    anchor_element="cursor",
+    anchor_args={"list": "spares"},
+    request_args={"list": "spares"},
+    response_filter="//market[. != 'ASIA']",
     record_tag="product",
     key_tag="ean",
 )
@@ -109,8 +109,8 @@ def part_archive(parts: DataFrame, data: Column, change_id: int = 1) -> DataFram
     )
 
 
-def country() -> Column:
-    return F.when(F.col("p_size") % 3 == 0, "US").when(F.col("p_size") % 3 == 1, "").otherwise("CA")
+def market() -> Column:
+    return F.when(F.col("p_size") % 3 == 0, "EU").when(F.col("p_size") % 3 == 1, "").otherwise("ASIA")
 
 
 def manifest_record() -> Column:
@@ -118,20 +118,20 @@ def manifest_record() -> Column:
     return F.concat(
         F.lit("<product>"),
         element("ean", F.col("p_partkey")),
-        element("bucket", F.col("p_type")),
-        F.lit("<bucket/>"),
-        element("bucket", F.col("p_brand")),
-        element("bucket", F.col("p_type")),
-        F.lit("<delta>"),
-        element("country", country()),
-        F.lit("</delta></product>"),
+        element("group", F.col("p_type")),
+        F.lit("<group/>"),
+        element("group", F.col("p_brand")),
+        element("group", F.col("p_type")),
+        F.lit("<sold>"),
+        element("market", market()),
+        F.lit("</sold></product>"),
     )
 
 
 def page_url(page: Column) -> Column:
     """Url of a page: the first one is the request, others are anchors."""
-    return F.when(page == 0, f"{BASE_URL}?products=BK").otherwise(
-        F.concat(F.lit(f"{BASE_URL}?products=BK&page="), page.cast("string"))
+    return F.when(page == 0, f"{BASE_URL}?list=spares").otherwise(
+        F.concat(F.lit(f"{BASE_URL}?list=spares&page="), page.cast("string"))
     )
 
 
@@ -152,8 +152,8 @@ def manifest_pages(parts: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     following = F.concat(F.lit("&page="), (F.col("page_no") + 1).cast("string"))
     body = F.concat(
         F.lit("<root>"),
-        element("hasMore", F.when(more, "true").otherwise("false")),
-        element("next", F.when(more, following).otherwise("")),
+        element("remaining", F.when(more, "true").otherwise("false")),
+        element("cursor", F.when(more, following).otherwise("")),
         F.col("records"),
         F.lit("<deep><product><ean>1</ean></product></deep></root>"),
     )

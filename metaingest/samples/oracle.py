@@ -6,10 +6,10 @@ _MAIN = (
     "'<main><ean>' || p_partkey || '</ean><title>' || p_name || '</title><size>' || p_size || '</size></main>'"
 )
 _PAYLOAD = f"'<product>' || {_MAIN} || '<price><amount>' || p_retailprice || '</amount></price></product>'"
-_COUNTRY = "CASE p_size % 3 WHEN 0 THEN 'US' WHEN 1 THEN '' ELSE 'CA' END"
-_RECORD = f"""'<product><ean>' || p_partkey || '</ean><bucket>' || p_type || '</bucket><bucket /><bucket>' || p_brand
-  || '</bucket><bucket>' || p_type || '</bucket><delta>' || CASE WHEN {_COUNTRY} = '' THEN '<country />'
-  ELSE '<country>' || {_COUNTRY} || '</country>' END || '</delta></product>'"""
+_MARKET = "CASE p_size % 3 WHEN 0 THEN 'EU' WHEN 1 THEN '' ELSE 'ASIA' END"
+_RECORD = f"""'<product><ean>' || p_partkey || '</ean><group>' || p_type || '</group><group /><group>' || p_brand
+  || '</group><group>' || p_type || '</group><sold>' || CASE WHEN {_MARKET} = '' THEN '<market />'
+  ELSE '<market>' || {_MARKET} || '</market>' END || '</sold></product>'"""
 _ENVELOPE = (
     "'<?xml version=\"1.0\" encoding=\"UTF-8\" standalone=\"yes\"?><response><errors><error><description>"
     "General problem with the data URL.</description></error></errors></response>'"
@@ -60,6 +60,11 @@ SELECT p_partkey AS ean,
        CASE WHEN p_size >= 40 OR (p_size >= 20 AND p_partkey % 4 <> 3) THEN {_NOW} ELSE {_BEFORE} END AS upd_dtime
 FROM part"""
 
+_RUN = f"""
+SELECT CAST(1 AS BIGINT) AS change_id, p_partkey AS ean, CASE WHEN p_size = 7 THEN {_ENVELOPE} ELSE {_PAYLOAD} END AS data,
+       'C' AS status, count(*) OVER () AS total_records
+FROM part WHERE p_size % 3 IN (0, 1)"""
+
 ORACLE: dict[str, str] = {
     "extract_xml_scalar": "SELECT p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price FROM part",
     "extract_absent_vs_empty": """
@@ -105,18 +110,18 @@ FROM part""",
     "response_filter": "SELECT p_partkey AS ean FROM part WHERE p_size % 3 IN (0, 1)",
     "filter_args": f"""
 SELECT p_partkey AS ean,
-       'http://catalog.example/product?region=US&ean=' || p_partkey || '&buckets=' || p_type || ',' || p_brand
-       || CASE WHEN {_COUNTRY} = '' THEN '' ELSE '&lands=' || {_COUNTRY} END AS request_url
+       'http://catalog.example/product?detail=full&part=' || p_partkey || '&groups=' || p_type || ',' || p_brand
+       || CASE WHEN {_MARKET} = '' THEN '' ELSE '&markets=' || {_MARKET} END AS request_url
 FROM part""",
     "page_chain": """
-SELECT DISTINCT 'http://catalog.example/products?products=BK'
+SELECT DISTINCT 'http://catalog.example/products?list=spares'
        || CASE WHEN p_partkey // 20 = 0 THEN '' ELSE '&page=' || (p_partkey // 20) END AS url,
        p_partkey // 20 AS page_no
 FROM part""",
     "key_manifests": """
 SELECT DISTINCT l_partkey AS ean, '<product><ean>' || l_partkey || '</ean></product>' AS notification,
        CAST(1 AS BIGINT) AS ids,
-       'http://catalog.example/product?region=US&ean=' || l_partkey AS request_url
+       'http://catalog.example/product?detail=full&part=' || l_partkey AS request_url
 FROM lineitem""",
     "parse_kv_list": """
 SELECT p_partkey, 'brand,size,type,blank' AS arg_names, p_brand AS brand, CAST(p_size + 1 AS VARCHAR) AS size, '' AS blank
@@ -129,7 +134,7 @@ FROM supplier""",
     "anchor_url": """
 SELECT c_custkey,
        CASE c_custkey % 3 WHEN 0 THEN 'HTTP://other/' || c_custkey
-            WHEN 1 THEN 'http://catalog.example/products?products=BK&anchor=' || c_custkey END AS url
+            WHEN 1 THEN 'http://catalog.example/products?list=spares&anchor=' || c_custkey END AS url
 FROM customer""",
     "since_epoch_ms": f"""
 SELECT o_orderkey, epoch_ms(o_orderdate) AS start_ms,
@@ -261,6 +266,24 @@ SELECT p_partkey AS ean, p_partkey // 50 AS page_no,
        CAST(row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) AS INTEGER) AS place,
        {_RECORD} AS notification, CASE WHEN p_size = 7 THEN {_ENVELOPE} ELSE {_PAYLOAD} END AS data
 FROM part WHERE p_size % 3 IN (0, 1)""",
+    "stream_replayed": f"""
+SELECT *, CAST(2 AS INTEGER) AS versions, CAST(0 AS INTEGER) AS runs_to_apply FROM ({_APPLIED})""",
+    "live_payloads": _RUN,
+    "stream_pulled": _RUN,
+    "resumed_run": f"""
+SELECT *, 'http://catalog.example/products?list=spares&page=' || (SELECT (max(p_partkey) // 50 + 1) // 2 FROM part) AS failed_at,
+       'failed,complete' AS outcomes FROM ({_RUN})""",
+    "windowed_run": """
+WITH dated AS (
+  SELECT *, TIMESTAMP '2024-01-01 12:00:00' + to_days(CAST(p_partkey % 140 AS INTEGER)) AS changed
+  FROM part WHERE p_size % 3 IN (0, 1) AND p_size <> 7
+), found AS (
+  SELECT *, CASE WHEN changed >= TIMESTAMP '2024-01-30 23:45:00' AND changed < TIMESTAMP '2024-03-01' THEN TIMESTAMP '2024-03-01'
+                 WHEN changed >= TIMESTAMP '2024-02-29 23:45:00' AND changed < TIMESTAMP '2024-04-01' THEN TIMESTAMP '2024-04-01'
+                 WHEN changed >= TIMESTAMP '2024-04-21' AND changed < TIMESTAMP '2024-05-01' THEN TIMESTAMP '2024-05-01' END AS run
+  FROM dated)
+SELECT p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price, run AS add_dtime, run AS upd_dtime
+FROM found WHERE run IS NOT NULL""",
     "stream_archived": f"""
 SELECT p_partkey AS ean, CASE WHEN p_size = 7 THEN {_ENVELOPE} ELSE {_PAYLOAD} END AS data
 FROM part WHERE p_size % 3 IN (0, 1)""",

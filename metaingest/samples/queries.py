@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,8 +20,8 @@ from ..operators.runs import COMPLETED, incremental_start, last_run, resume_cand
 from ..operators.specs import bucket_rows, inline_keys, process_settings, table_keys
 from ..operators.upsert import action_counts, row_count, rows_by_key, same_record, upsert_rows
 from ..plans.apply import apply_snapshot
-from ..plans.inputs import LandedInputs
-from ..plans.pull import archive_records, manifest_for_keys
+from ..plans.inputs import LandedInputs, LiveInputs, PageNotLanded
+from ..plans.pull import archive_records, manifest_for_keys, pull
 from ..plans.run import run
 from ..plans.workspace import Workspace
 from ..session import local_rows, scratch_path
@@ -30,11 +30,11 @@ from ..sources.ledger import ledger_state
 from ..sources.pages import chain_positions, next_links, string_map
 from ..specs import ApiSpec, BucketSpec, ColumnSpec
 from ..streaming.apply import stream_apply
-from ..streaming.land import stream_archive
-from . import data
+from ..streaming.land import finish_run, stream_archive, stream_pull
+from . import data, transport
 from .data import element, table
 
-NOW = datetime(2024, 6, 1)
+BEFORE, NOW, LATER = datetime(2024, 1, 1), datetime(2024, 6, 1), datetime(2024, 6, 2)
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -235,10 +235,10 @@ def filter_args(spark, sf_dir):
     api = ApiSpec(
         base_url="http://catalog.example/product",
         request_args={
-            "region": "US",
-            "ean": "//product/ean",
-            "buckets": "//product/bucket",
-            "lands": "//delta/country[string-length(.) > 1]",
+            "detail": "full",
+            "part": "//product/ean",
+            "groups": "//product/group",
+            "markets": "//market[string-length(.) > 1]",
         },
     )
     records = explode_records(pages, ApiSpec(record_tag="product", key_tag="ean"), api)
@@ -252,7 +252,7 @@ def filter_args(spark, sf_dir):
 def page_chain(spark, sf_dir):
     """Position of every page in its chain, found from the links alone."""
     pages = data.manifest_pages(table(spark, sf_dir, "part"), 20).select("process_id", "url", "body")
-    starts = local_rows(spark, "process_id bigint, url string", [(1, f"{data.BASE_URL}?products=BK")])
+    starts = local_rows(spark, "process_id bigint, url string", [(1, f"{data.BASE_URL}?list=spares")])
     return chain_positions(next_links(pages, data.MANIFEST_API), starts).select("url", "page_no")
 
 
@@ -312,7 +312,7 @@ def anchor_url(spark, sf_dir):
         .when(kind == 1, F.concat(F.lit("&anchor="), F.col("c_custkey").cast("string")))
         .otherwise("")
     )
-    args = string_map({"products": "BK"})
+    args = string_map({"list": "spares"})
     return table(spark, sf_dir, "customer").select(
         "c_custkey", urls.anchor_url(F.lit(data.BASE_URL), args, anchor).alias("url")
     )
@@ -349,9 +349,9 @@ def customer_config(spark, sf_dir):
         F.concat(F.lit("http://h/"), F.lower("api_type")).alias("base_url"),
         F.lit("main,pricing").alias("bucket_list"),
         F.lit("since").alias("since_url_arg_nm"),
-        F.lit("hasMore").alias("anchor_ind_tag_nm"),
-        F.lit("next").alias("anchor_val_tag_nm"),
-        F.lit("products=BK").alias("anchor_filter_args"),
+        F.lit("remaining").alias("anchor_ind_tag_nm"),
+        F.lit("cursor").alias("anchor_val_tag_nm"),
+        F.lit("list=spares").alias("anchor_filter_args"),
         F.concat(F.lit("segment="), F.col("c_mktsegment"), F.lit(",a=b=c,since=1d")).alias("request_filter_args"),
         F.lit(None).cast("string").alias("xpath_resp_filter"),
         F.lit("product").alias("target_chld_tag"),
@@ -370,7 +370,7 @@ def customer_config(spark, sf_dir):
         F.lit("D").alias("api_type"),
         F.lit("main").alias("bucket_nm"),
         "a.attr_nm",
-        F.lit("product_main_data").alias("target_table_nm"),
+        F.lit("spare_part").alias("target_table_nm"),
         F.when(F.col("a.attr_is_key") == "Y", "BigInt").otherwise("Varchar2").alias("attr_ora_type"),
         F.lit(None).cast("int").alias("attr_ora_type_len"),
         "a.attr_is_key",
@@ -637,15 +637,15 @@ def part_config(spark, sf_dir):
         "xpath_resp_filter string, target_chld_tag string, target_chld_key_tag string, target_key_list string, "
         "content_type string, request_hdr_args string"
     )
-    wanted = "//delta[country='US' or country='']"
+    wanted = "//market[. != 'ASIA']"
     service = "http://catalog.example/product"
-    args = "region=US,ean=//product/ean"
+    args = "detail=full,part=//product/ean"
     api = spark.createDataFrame(
         [
-            (1, "C", data.BASE_URL, "main", None, "hasMore", "next", "products=BK", "products=BK", wanted, "product", "ean", None, "XML", None),
+            (1, "C", data.BASE_URL, "main", None, "remaining", "cursor", "list=spares", "list=spares", wanted, "product", "ean", None, "XML", None),
             (1, "D", service, "main,price,availability", None, None, None, None, args, None, None, None, None, "XML", None),
             (2, "C", "", "", None, None, None, None, None, None, "product", "l_partkey", "key_source", "XML", None),
-            (2, "D", service, "main", None, None, None, None, "ean=//product/l_partkey", None, None, None, None, "XML", None),
+            (2, "D", service, "main", None, None, None, None, "part=//product/l_partkey", None, None, None, None, "XML", None),
         ],
         api_columns,
     )
@@ -811,22 +811,170 @@ def stream_archived(spark, sf_dir):
     stream = stream_archive(
         spark, landed, space, data.PART_SPEC, inputs, change_id, NOW, f"{space.root}/checkpoint-pages", 2
     )
-    stream.awaitTermination()
+    finish_run(stream, space, data.PART_SPEC, change_id, NOW)
     return space.archive.read(change_id).select("ean", "data")
 
 
-@query
-def stream_applied(spark, sf_dir):
-    """The same two snapshots as ``apply_parts``, applied by a stream."""
+def two_snapshots(spark, sf_dir) -> list[tuple[DataFrame, datetime]]:
+    """The archive rows of ``apply_parts`` with the time of their run."""
     parts = table(spark, sf_dir, "part")
-    space = workspace(spark)
     kind = F.col("p_partkey") % 4
     title = F.when(kind == 0, element("title", F.upper("p_name"))).when(kind == 1, "<title/>").otherwise("")
     price = F.when(kind == 2, data.amount(F.col("p_retailprice") + 1))
     first = data.part_archive(parts.where("p_size < 40"), data.full_part_payload(), 1)
     second = data.part_archive(parts.where("p_size >= 20"), data.part_payload(title, price), 2)
-    for archived, now in ((first, datetime(2024, 1, 1)), (second, NOW)):
+    return [(first, datetime(2024, 1, 1)), (second, NOW)]
+
+
+@query
+def stream_applied(spark, sf_dir):
+    """The same two snapshots as ``apply_parts``, applied by a stream."""
+    space = workspace(spark)
+    for archived, now in two_snapshots(spark, sf_dir):
         space.ledger.open_run(1, now)
         space.archive.append(archived)
         stream_apply(spark, space, data.PART_SPEC, now, f"{space.root}/checkpoint-apply").awaitTermination()
     return product_rows(space.tables.read("product"))
+
+
+@query
+def stream_replayed(spark, sf_dir):
+    """``stream_applied`` with its last batch run again, as after a lost driver: the
+    batch is in the version log already, so no version is added."""
+    space = workspace(spark)
+    checkpoint = f"{space.root}/checkpoint-apply"
+    for archived, now in two_snapshots(spark, sf_dir):
+        change_id = space.ledger.open_run(1, now)
+        space.archive.append(archived)
+        space.ledger.complete(change_id, 1, now, archived.count())
+        stream_apply(spark, space, data.PART_SPEC, now, checkpoint).awaitTermination()
+    forget_commit(spark, checkpoint, 1)
+    stream_apply(spark, space, data.PART_SPEC, LATER, checkpoint).awaitTermination()
+    version = space.tables.current("product").number
+    waiting = len(space.ledger.unapplied(1))
+    rows = product_rows(space.tables.read("product"))
+    return rows.select("*", F.lit(version).alias("versions"), F.lit(waiting).alias("runs_to_apply"))
+
+
+def forget_commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
+    """Undo the note that a stream's batch was done, which makes it run again."""
+    for name in (f"{batch_id}", f".{batch_id}.crc"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
+# --- live inputs, resumed and windowed runs -----------------------------
+
+
+def live_service(spark, sf_dir, root: str) -> transport.TableTransport:
+    """Pages and payloads of the parts behind urls; parts of size 7 have no payload."""
+    parts = table(spark, sf_dir, "part")
+    pages = data.manifest_pages(parts).select("url", "body")
+    payload_url = F.concat(F.lit(f"{data.PART_API.base_url}?detail=full&part="), F.col("p_partkey").cast("string"))
+    payloads = parts.where("p_size <> 7").select(payload_url.alias("url"), data.full_part_payload().alias("body"))
+    return transport.publish(pages.unionByName(payloads), f"{root}/service")
+
+
+@query
+def live_payloads(spark, sf_dir):
+    """Pages and payloads pulled from a service; a payload that fails is archived as an error."""
+    space = workspace(spark)
+    inputs = LiveInputs(live_service(spark, sf_dir, space.root), segment_pages=16)
+    change_id = pull(spark, space, data.PART_SPEC, inputs, NOW)
+    return run_rows(space, change_id)
+
+
+def run_rows(space: Workspace, change_id: int) -> DataFrame:
+    """Archived rows of a run beside its ledger row."""
+    run_state = space.ledger.state().select("change_id", "status", "total_records")
+    return space.archive.read(change_id).join(run_state, "change_id").select("change_id", "ean", "data", "status", "total_records")
+
+
+@query
+def stream_pulled(spark, sf_dir):
+    """A live manifest as a stream, stopped after every segment and started again."""
+    space = workspace(spark)
+    service = live_service(spark, sf_dir, space.root)
+    change_id = space.ledger.open_run(1, NOW)
+    parts = table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] or 0
+    segment = parts // data.PAGE_ROWS // 3 + 1
+    while True:
+        stream = stream_pull(
+            spark, service, space, data.PART_SPEC, LiveInputs(service), change_id, NOW, f"{space.root}/checkpoint-pull",
+            segment_pages=segment,
+        )
+        stream.awaitTermination()
+        if not space.ledger.resume_point(1)["last_anchor"]:
+            break
+    finish_run(stream, space, data.PART_SPEC, change_id, NOW)
+    return run_rows(space, change_id)
+
+
+@query
+def resumed_run(spark, sf_dir):
+    """A page in the middle of the chain is landed late: the run fails there, keeps its
+    anchor, and goes on under its id once the page is there."""
+    space = workspace(spark)
+    inputs = landed_inputs(spark, sf_dir)
+    pages = inputs.pages
+    count = pages.count()
+    late = data.page_url(F.lit(count // 2))
+    outcomes = []
+    for landed, now in ((pages.where(F.col("url") != late), BEFORE), (pages, NOW)):
+        try:
+            pull(spark, space, data.PART_SPEC, LandedInputs(landed, inputs.payloads), now)
+            outcomes.append("complete")
+        except PageNotLanded:
+            outcomes.append("failed")
+    events = space.ledger.events()
+    anchored = events.where(F.col("status") == "F").agg(F.max("last_anchor").alias("failed_at"))
+    tried = F.lit(",".join(outcomes)).alias("outcomes")
+    return run_rows(space, 1).crossJoin(F.broadcast(anchored)).select("*", tried)
+
+
+WINDOWS = ((datetime(2024, 3, 1), None), (datetime(2024, 4, 1), None), (datetime(2024, 5, 1), "10d"))
+OVERLAP = timedelta(minutes=15)
+
+
+@query
+def windowed_run(spark, sf_dir):
+    """Three runs, each of which asks for what changed in its window: first 30 days,
+    then since the last start, then the configured 10 days. The pages of other
+    windows are not landed, so a wrong window fails its run."""
+    root = scratch_path(spark, "windowed")
+    parts = table(spark, sf_dir, "part")
+    changed = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz") + F.make_dt_interval((F.col("p_partkey") % 140).cast("int"))
+    last = WINDOWS[0][0] - timedelta(days=30)
+    for now, configured in WINDOWS:
+        since = now - timedelta(days=10) if configured else last - OVERLAP
+        stamp = (since - datetime(1970, 1, 1)) // timedelta(milliseconds=1)
+        mine = parts.where((changed >= F.lit(since).cast("timestamp_ntz")) & (changed < F.lit(now).cast("timestamp_ntz")))
+        body = F.concat(F.lit("<root>"), F.array_join(F.collect_list(data.manifest_record()), ""), F.lit("</root>"))
+        chunks = mine.groupBy((F.col("p_partkey") % 7).alias("chunk")).agg(body.alias("body"))
+        following = F.when(F.col("chunk") < 6, F.concat(F.lit(f"{data.BASE_URL}?chunk={stamp}."), (F.col("chunk") + 1).cast("string")))
+        pages = chunks.select(
+            F.lit(1).cast("bigint").alias("process_id"),
+            F.when(F.col("chunk") == 0, f"{data.BASE_URL}?list=spares&since={stamp}")
+            .otherwise(F.concat(F.lit(f"{data.BASE_URL}?chunk={stamp}."), F.col("chunk").cast("string")))
+            .alias("url"),
+            F.replace(
+                F.col("body"),
+                F.lit("<root>"),
+                F.concat(F.lit("<root>"), element("remaining", following.isNotNull()), element("cursor", F.coalesce(following, F.lit("")))),
+            ).alias("body"),
+        )
+        config = part_config(spark, sf_dir)
+        args = "list=spares" + (f",since={configured}" if configured else "")
+        is_change = (F.col("process_id") == 1) & (F.col("api_type") == "C")
+        apis = config[1].withColumns(
+            {
+                "since_url_arg_nm": F.when(is_change, "since"),
+                "request_filter_args": F.when(is_change, args).otherwise(F.col("request_filter_args")),
+            }
+        )
+        inputs = LandedInputs(pages, landed_inputs(spark, sf_dir).payloads)
+        (result,) = run(spark, config[0].where("process_id = 1"), apis, config[2], root, inputs, now)
+        if result.error:
+            raise RuntimeError(f"run failed: {result}")
+        last = now
+    return product_rows(Workspace(spark, root).tables.read("product"))

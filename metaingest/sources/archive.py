@@ -34,7 +34,10 @@ class Archive:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/archive"
 
-    def append(self, rows: DataFrame) -> None:
+    def append(self, rows: DataFrame, known_of: int | None = None) -> None:
+        """Add rows; with ``known_of`` only those whose ids that run does not have yet."""
+        if known_of is not None:
+            rows = rows.join(self.read(known_of).select("id"), "id", "left_anti")
         rows.select(*ARCHIVE_SCHEMA.names).write.mode("append").partitionBy("change_id").parquet(self.path)
 
     def read(self, change_id: int | None = None) -> DataFrame:

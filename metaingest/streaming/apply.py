@@ -12,6 +12,7 @@ from ..plans.apply import Applier, apply_payloads
 from ..plans.workspace import Workspace
 from ..sources.archive import ARCHIVE_SCHEMA
 from ..specs import ProcessSpec
+from .land import stream_id
 
 
 def stream_apply(
@@ -25,9 +26,12 @@ def stream_apply(
 ) -> StreamingQuery:
     """Upsert archived payloads of a process's runs in batches of new files.
 
-    A batch repeated after a failure changes nothing: rows are folded by
-    archive id and only real differences move ``upd_dtime``.
+    A table's version log notes the last batch it has in the append that publishes
+    it, so a batch that runs again after a failure is brought to those tables only
+    that do not have it. The ledger counts what each batch applied; a completed run
+    of which every record was is noted as applied.
     """
+    mark_applied(workspace, spec, now)
     archived = (
         spark.readStream.schema(ARCHIVE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -37,7 +41,11 @@ def stream_apply(
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         runs = workspace.ledger.state().where(F.col("process_id") == spec.process_id).select("change_id")
         mine = batch.join(runs, "change_id", "left_semi")
-        apply_payloads(mine, workspace, spec, now, applier)
+        this = (stream_id(spark, checkpoint), batch_id)
+        apply_payloads(mine, workspace, spec, now, applier, batch=this)
+        for row in mine.groupBy("change_id").count().collect():
+            workspace.ledger.batch_applied(row["change_id"], spec.process_id, now, this, row["count"])
+        mark_applied(workspace, spec, now)
 
     return (
         archived.writeStream.foreachBatch(apply_batch)
@@ -45,3 +53,10 @@ def stream_apply(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def mark_applied(workspace: Workspace, spec: ProcessSpec, now: datetime) -> None:
+    """Note the completed runs of which streams have applied every archived record."""
+    for change_id, records in workspace.ledger.applied_by_streams(spec.process_id).items():
+        if records >= workspace.archive.read(change_id).count():
+            workspace.ledger.applied(change_id, spec.process_id, now)

@@ -73,10 +73,10 @@ def test_key_lists(spark):
     assert sorted(r.key for r in inline.collect()) == ["1", "2"]
     assert key_frame(spark, ApiSpec(key_list=None)).isEmpty()
     source = spark.createDataFrame([(1,), (None,), (1,), (3,)], "ean bigint")
-    stored = key_frame(spark, ApiSpec(key_list="tmp_ean_list", key_tag="ean"), lambda name: source)
+    stored = key_frame(spark, ApiSpec(key_list="wanted_parts", key_tag="ean"), lambda name: source)
     assert sorted(r.key for r in stored.collect()) == ["1", "3"]
-    source.createOrReplaceTempView("tmp_ean_list")
-    assert key_frame(spark, ApiSpec(key_list="tmp_ean_list", key_tag="ean")).count() == 2
+    source.createOrReplaceTempView("wanted_parts")
+    assert key_frame(spark, ApiSpec(key_list="wanted_parts", key_tag="ean")).count() == 2
 
 
 def test_configuration_sources(spark, tmp_path):

@@ -88,8 +88,8 @@ def test_serialized_element_excludes_following_text():
         ('{"product": {"main": {"ean": 9781234567890, "price": 9.90}}}',
          "<product><main><ean>9781234567890</ean><price>9.90</price></main></product>"),
         ('[{"ean": 1}, {"ean": 2}]', "<root><product><ean>1</ean></product><product><ean>2</ean></product></root>"),
-        ('{"hasMore": true, "next": null, "product": [{"ean": 1}]}',
-         "<root><hasMore>true</hasMore><next /><product><ean>1</ean></product></root>"),
+        ('{"more": true, "next": null, "product": [{"ean": 1}]}',
+         "<root><more>true</more><next /><product><ean>1</ean></product></root>"),
         ('{"a": {"@id": "7", "#text": "x", "b": [1, [2, 3]], "c": {}}}',
          '<a id="7">x<b>1</b><b>2</b><b>3</b><c /></a>'),
         ('{"a": {"b": 1, "b": 2, "odd name": "<&>", "1st": ""}}',
