@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._cols import ColumnLike, as_col
 
 DECIMAL_TYPE = "decimal(38,10)"
+MOST_DIGITS = 38
+_SIZED = re.compile(r"(\w+)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)")
+_NUMBER = r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
 
 # Configured type name -> (database type, Spark type).
 CONFIG_TYPES = {
@@ -34,9 +39,21 @@ _CLASS_CASTS = {"date": "timestamp_ntz", "integer": "bigint", "double": "double"
 
 
 def map_type(config_name: str | None, decimal_type: str = DECIMAL_TYPE) -> tuple[str, str]:
-    """(database type, Spark type) for a configured type name."""
-    db_type, spark_type = CONFIG_TYPES.get(config_name or "", DEFAULT_TYPE)
-    return db_type, decimal_type if spark_type == DECIMAL_TYPE else spark_type
+    """(database type, Spark type) for a configured type name.
+
+    Decimal types may name their digits and decimals, as in ``Decimal(12,2)``;
+    without them they have the ``decimal_type``.
+    """
+    sized = _SIZED.fullmatch((config_name or "").strip())
+    db_type, spark_type = CONFIG_TYPES.get(sized[1] if sized else config_name or "", DEFAULT_TYPE)
+    if spark_type != DECIMAL_TYPE:
+        return db_type, spark_type
+    if sized is None:
+        return db_type, decimal_type
+    digits, decimals = int(sized[2]), int(sized[3] or 0)
+    if not 1 <= digits <= MOST_DIGITS or decimals > digits:
+        raise ValueError(f"no such decimal type: {config_name}")
+    return db_type, f"decimal({digits},{decimals})"
 
 
 def comparison_class(db_type: str) -> str:
@@ -58,6 +75,26 @@ def fits_type(value: ColumnLike, spark_type: str) -> Column:
     return empty_to_null(text).isNull() | text.try_cast(spark_type).isNotNull()
 
 
+def keeps_value(value: ColumnLike, spark_type: str) -> Column:
+    """False only for text that casts to the type as another value: a number with
+    more decimals than a decimal type has, or a time beyond its microseconds.
+
+    Decimals are counted in the text, so no digit is lost on the way to the answer.
+    """
+    text = as_col(value)
+    if spark_type.startswith("decimal"):
+        scale = int(spark_type.rstrip(")").split(",")[1])
+        whole, part = (F.regexp_extract(text, _NUMBER, group) for group in (1, 2))
+        exponent = F.coalesce(F.regexp_extract(text, _NUMBER, 3).try_cast("int"), F.lit(0))
+        digits = F.rtrim(F.concat(whole, part), F.lit("0"))
+        zeros = F.length(whole) + F.length(part) - F.length(digits)
+        exact = (F.ltrim(digits, F.lit("0")) == "") | (F.length(part) - exponent - zeros <= scale)
+        return F.coalesce(exact, F.lit(True))
+    if spark_type.startswith("timestamp"):
+        return F.coalesce(~text.rlike(r"\.\d{6}\d*[1-9]"), F.lit(True))
+    return F.lit(True)
+
+
 def is_truncated(value: ColumnLike, length: int) -> Column:
     """True when the text is longer than a positive column length."""
     return F.coalesce(F.length(as_col(value)) > length, F.lit(False)) if length > 0 else F.lit(False)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions._cols import as_col, field
 from ..functions.documents import DOCUMENT, WELL_FORMED, Slot, extract_slots
 from ..functions.paths import path_kind
-from ..functions.typed import empty_to_null, fits_type, is_truncated
+from ..functions.typed import empty_to_null, fits_type, is_truncated, keeps_value
 from ..specs import ApiSpec, BucketSpec
 
 ERROR_PAYLOAD = "error_payload"
@@ -18,6 +18,7 @@ NOT_A_DOCUMENT = "not_a_document"
 TOO_FEW_ATTRIBUTES = "too_few_attributes"
 BLANK_TARGET_KEY = "blank_target_key"
 BAD_VALUE = "bad_value"
+VALUE_ALTERED = "value_altered"
 
 ATTRS = "attrs"
 
@@ -100,9 +101,11 @@ def check_values(parsed: DataFrame, api: ApiSpec) -> DataFrame:
     """Also give a reason to records whose values do not fit their columns.
 
     Only buckets the record applies to are checked. ``detail`` names the
-    attributes; ``truncated`` names texts longer than their column.
+    attributes; ``truncated`` names texts longer than their column. A value that its
+    column would store as another one, such as a number with more decimals, is a
+    reason too: nothing is rounded in silence.
     """
-    bad, blank, cut = [], [], []
+    bad, blank, cut, altered = [], [], [], []
     for bucket in api.buckets:
         if not (bucket.keys and bucket.values):
             continue
@@ -110,6 +113,7 @@ def check_values(parsed: DataFrame, api: ApiSpec) -> DataFrame:
         for column in bucket.columns:
             text = field(ATTRS, column.name)
             bad.append(F.when(present & ~fits_type(text, column.spark_type), column.name))
+            altered.append(F.when(present & ~keeps_value(text, column.spark_type), column.name))
             if column.is_key:
                 blank.append(F.when(present & empty_to_null(text).isNull(), column.name))
             if column.spark_type == "string" and column.length > 0:
@@ -118,18 +122,18 @@ def check_values(parsed: DataFrame, api: ApiSpec) -> DataFrame:
     def names(items: list[Column]) -> Column:
         return F.array_distinct(F.array_compact(F.array(*items))) if items else F.array().cast("array<string>")
 
-    checked = parsed.withColumn("_bad", names(bad)).withColumn("_blank", names(blank))
+    checked = parsed.withColumns({"_bad": names(bad), "_blank": names(blank), "_altered": names(altered)})
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.size("_blank") > 0, BLANK_TARGET_KEY)
         .when(F.size("_bad") > 0, BAD_VALUE)
+        .when(F.size("_altered") > 0, VALUE_ALTERED)
     )
-    detail = F.when(F.col("reason") == BLANK_TARGET_KEY, F.array_join("_blank", ",")).when(
-        F.col("reason") == BAD_VALUE, F.array_join("_bad", ",")
-    )
+    found = {BLANK_TARGET_KEY: "_blank", BAD_VALUE: "_bad", VALUE_ALTERED: "_altered"}
+    detail = F.coalesce(*[F.when(F.col("reason") == r, F.array_join(c, ",")) for r, c in found.items()])
     return (
         checked.withColumn("truncated", names(cut))
         .withColumn("reason", reason)
         .withColumn("detail", detail)
-        .drop("_bad", "_blank")
+        .drop(*found.values())
     )

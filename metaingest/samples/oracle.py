@@ -90,6 +90,15 @@ WITH payloads AS (
   SELECT CASE WHEN html LIKE '%<errors>%' OR html LIKE '%<error>%' THEN 'error_payload' ELSE 'not_a_document' END, ''
   FROM pages)
 SELECT reason, detail, count(*) AS records FROM payloads GROUP BY reason, detail""",
+    "value_losses": """
+WITH kinds AS (
+  SELECT p_partkey AS ean, CASE p_partkey % 7 WHEN 1 THEN 'cost' WHEN 4 THEN 'ratio' WHEN 5 THEN 'seen'
+         WHEN 3 THEN CASE WHEN p_partkey % 10 <> 0 THEN 'ratio' ELSE '' END ELSE '' END AS detail
+  FROM part)
+SELECT ean, CASE WHEN detail <> '' THEN 'value_altered' ELSE '' END AS reason, detail,
+       CASE WHEN detail = '' THEN ean + CASE WHEN ean % 7 = 2 THEN 0.25::DOUBLE ELSE 0 END END AS cost,
+       CASE WHEN detail = '' THEN CASE WHEN ean % 7 = 3 THEN ean // 10 ELSE ean END END AS ratio
+FROM kinds""",
     "bucket_presence": """
 SELECT p_partkey AS ean, 'main' AS bucket FROM part WHERE p_partkey % 4 < 2
 UNION ALL

@@ -158,6 +158,40 @@ def quarantine_split(spark, sf_dir):
     ).agg(F.count("*").alias("records"))
 
 
+@query
+def value_losses(spark, sf_dir):
+    """Numbers and times that their columns can't hold as they are."""
+    api = ApiSpec(
+        buckets=(
+            BucketSpec(
+                "sizes",
+                "part_sizes",
+                (
+                    ColumnSpec("ean", "//main/ean", "Int64", is_key=True),
+                    ColumnSpec("cost", "//main/cost", "Decimal(12,2)"),
+                    ColumnSpec("ratio", "//main/ratio", "Double"),
+                    ColumnSpec("seen", "//main/seen", "DateTime"),
+                ),
+            ),
+        )
+    )
+    kind, key = F.col("p_partkey") % 7, F.col("p_partkey").cast("string")
+    cost = F.when(kind == 1, F.concat(key, F.lit(".125"))).when(kind == 2, F.concat(key, F.lit(".2500"))).otherwise(key)
+    ratio = F.when(kind == 3, F.concat(key, F.lit("e-11"))).when(kind == 4, F.concat(key, F.lit(".12345678901"))).otherwise(F.concat(key, F.lit("e-10")))
+    seen = F.concat(F.lit("2024-01-02 03:04:05."), F.when(kind == 5, "0000007").otherwise("0000010"))
+    body = F.concat(F.lit("<p><main>"), element("ean", key), element("cost", cost), element("ratio", ratio), element("seen", seen), F.lit("</main></p>"))
+    parts = data.part_archive(table(spark, sf_dir, "part"), body)
+    checked = check_values(parse_payloads(parts, api), api)
+    usable = F.col("reason").isNull()
+    return checked.select(
+        attr("ean", "bigint"),
+        F.coalesce("reason", F.lit("")).alias("reason"),
+        F.coalesce("detail", F.lit("")).alias("detail"),
+        F.when(usable, typed.to_column_type(field(ATTRS, "cost"), "decimal(12,2)").cast("double")).alias("cost"),
+        F.when(usable, F.round(typed.to_column_type(field(ATTRS, "ratio"), typed.DECIMAL_TYPE) * 10_000_000_000, 0).cast("bigint")).alias("ratio"),
+    )
+
+
 @query
 def bucket_presence(spark, sf_dir):
     kind = F.col("p_partkey") % 4

@@ -147,6 +147,11 @@ class ProcessSpec:
             raise SpecError(f"process {self.process_id} needs a change (C) and a data (D) configuration")
         slots = self.data_api.slots()
         self.data_api.targets()
+        for column in (c for bucket in self.data_api.buckets for c in bucket.columns):
+            try:
+                map_type(column.config_type)
+            except ValueError as error:
+                raise SpecError(f"column {column.name}: {error}") from error
         xpaths = [self.change_api.response_filter] if self.change_api.response_filter else []
         paths = [(path, body) for slot in slots for path, body in slot.candidates]
         paths += [(v, False) for v in self.data_api.request_args.values() if v.startswith("//")]

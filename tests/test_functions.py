@@ -164,3 +164,38 @@ def test_storing(spark, text, kind, length, stored, fits):
     value = F.lit(text).cast("string")
     assert one(spark, typed.to_column_type(value, kind, length)) == stored
     assert one(spark, typed.fits_type(value, kind)) is fits
+
+
+@pytest.mark.parametrize(
+    "text, kind, keeps",
+    [
+        ("0.1234567890", "decimal(38,10)", True),
+        ("0.123456789012345", "decimal(38,10)", False),
+        ("1e-11", "decimal(38,10)", False),
+        ("10e-11", "decimal(38,10)", True),
+        ("0e-99", "decimal(38,10)", True),
+        ("1.5000000000000000", "decimal(38,10)", True),
+        ("-12345678901234567890.00000000001", "decimal(38,10)", False),
+        ("100E-2", "decimal(5,0)", True),
+        ("105E-2", "decimal(5,0)", False),
+        ("1.25", "decimal(5,2)", True),
+        (".255", "decimal(5,2)", False),
+        ("word", "decimal(5,2)", True),
+        ("", "decimal(5,2)", True),
+        (None, "decimal(5,2)", True),
+        ("2024-01-01 00:00:00.1234567", "timestamp_ntz", False),
+        ("2024-01-01 00:00:00.1234560", "timestamp_ntz", True),
+        ("12", "bigint", True),
+    ],
+)
+def test_values_that_a_type_would_alter(spark, text, kind, keeps):
+    assert one(spark, typed.keeps_value(F.lit(text).cast("string"), kind)) is keeps
+
+
+def test_sized_decimal_types():
+    assert typed.map_type("Decimal(12,2)") == ("Decimal", "decimal(12,2)")
+    assert typed.map_type("Double( 20 )") == ("Decimal", "decimal(20,0)")
+    assert typed.map_type("Varchar2(20)") == ("VarChar", "string")
+    for bad in ("Decimal(39,2)", "Decimal(4,5)", "Decimal(0)"):
+        with pytest.raises(ValueError):
+            typed.map_type(bad)
