@@ -89,7 +89,8 @@ def keeps_value(value: ColumnLike, spark_type: str) -> Column:
         digits = F.rtrim(F.concat(whole, part), F.lit("0"))
         zeros = F.length(whole) + F.length(part) - F.length(digits)
         exact = (F.ltrim(digits, F.lit("0")) == "") | (F.length(part) - exponent - zeros <= scale)
-        return F.coalesce(exact, F.lit(True))
+        # Most texts have no exponent and few decimals, which one look tells.
+        return F.when(text.rlike(rf"[eE]|\.\d{{{scale}}}\d*[1-9]"), exact).otherwise(F.lit(True))
     if spark_type.startswith("timestamp"):
         return F.coalesce(~text.rlike(r"\.\d{6}\d*[1-9]"), F.lit(True))
     return F.lit(True)

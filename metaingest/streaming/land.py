@@ -26,7 +26,12 @@ LANDED_PAGE_SCHEMA = "process_id bigint, page_no bigint, url string, body string
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream's checkpoint keeps over restarts; a new checkpoint has a new one."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
 def stream_archive(
