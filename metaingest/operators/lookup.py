@@ -14,7 +14,8 @@ ERROR_ENVELOPE = (
 
 def check_unique_keys(payloads: DataFrame, wanted: DataFrame, key: str = "key") -> None:
     """Raise ``ValueError`` if a key that ``wanted`` has was landed more than once. Reads keys only."""
-    repeated = payloads.groupBy(key).count().where("count > 1").join(wanted.select(key), key, "left_semi").first()
+    mine = payloads.select(key).join(wanted.select(key), key, "left_semi")
+    repeated = mine.groupBy(key).count().where("count > 1").first()
     if repeated is not None:
         raise ValueError(f"payload landed more than once and no landing order is known: {repeated[key]}")
 

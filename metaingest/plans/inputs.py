@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.lookup import check_unique_keys, lookup_payloads
 from ..session import local_rows, stage
 from ..sources.pages import Transport, chain_positions, manifest_pages, next_links
+from ..sources.payload_store import PayloadStore
 from ..sources.payloads import fetch_payloads
 from ..specs import ApiSpec, ProcessSpec
 
@@ -35,11 +36,12 @@ class LandedInputs:
     the start url on, and no chain has to be followed. A start url that was not
     landed fails the run; where a chain leads to such a page, what comes before
     is archived and the run fails at that page, to go on there later.
-    ``payloads``: key, body, and optionally a column named by ``landed_order``.
+    ``payloads``: key, body, and optionally a column named by ``landed_order``; or a
+    ``PayloadStore``, of which the newest landing of each key counts.
     """
 
     pages: DataFrame | None = None
-    payloads: DataFrame | None = None
+    payloads: DataFrame | PayloadStore | None = None
     key_table: Callable[[str], DataFrame] | None = None
     landed_order: str | None = None
     page_order: str | None = None
@@ -72,6 +74,8 @@ class LandedInputs:
 
     def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:
         payloads = self.payloads
+        if isinstance(payloads, PayloadStore):
+            return lookup_payloads(manifest, payloads.newest(manifest)).drop("args")
         if self.landed_order is None:
             check_unique_keys(payloads, manifest)
         if key_bytes <= BROADCAST_KEY_BYTES:

@@ -169,6 +169,15 @@ UNION SELECT CAST(l_partkey AS VARCHAR) FROM lineitem""",
 SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS key,
        CASE WHEN p_partkey IS NULL THEN {_ENVELOPE} ELSE {_PAYLOAD} END AS data
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON l_partkey = p_partkey""",
+    "lookup_stored": f"""
+WITH stored AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS key,
+         CASE WHEN p_partkey % 3 = 0 AND p_size > 2
+              THEN '<product>' || {_MAIN} || '<price><amount>' || (p_retailprice + 1) || '</amount></price></product>'
+              ELSE {_PAYLOAD} END AS body
+  FROM part WHERE p_size > 5 OR (p_partkey % 3 = 0 AND p_size > 2))
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS key, coalesce(body, {_ENVELOPE}) AS data
+FROM lineitem LEFT JOIN stored ON CAST(l_partkey AS VARCHAR) = stored.key""",
     "ledger_argmax": f"""{_LEDGER}
 SELECT process_id, change_id, status, start_dtime, last_anchor FROM runs r
 WHERE status = 'C' AND change_id = (SELECT max(change_id) FROM runs m WHERE m.process_id = r.process_id AND m.status = 'C')""",

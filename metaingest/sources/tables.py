@@ -164,23 +164,27 @@ class TableStore:
         previous: Version | None,
         touched: Iterable[int] | None = None,
         batches: dict[str, int] | None = None,
+        adds: bool = False,
     ) -> Version:
         """Write the version after ``previous`` and make it current.
 
         ``rows`` are all rows of the ``touched`` buckets; the other buckets stay as
         they are in ``previous``. Without ``touched`` they are the whole table, which
-        goes to a folder of its own. ``count()`` is asked for the number of rows of
+        goes to a folder of its own. With ``adds`` they are further rows of a table whose
+        files all stay. ``count()`` is asked for the number of rows of
         the table after they are written. ``batches`` are noted in the same append.
         """
         number = previous.number + 1 if previous else 1
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-        shares = touched is not None and previous is not None and previous.has_layout(keys, buckets)
+        shares = (touched is not None or adds) and previous is not None and previous.has_layout(keys, buckets)
         path = previous.path if shares else f"{self.root}/{table}/g{number:08d}-{uuid.uuid4().hex}"
         known = self._file_names(previous.path, previous.schema, keys, buckets) if shares else set()
         self._append(rows, path, schema, keys, buckets)
-        written: dict[int, list[str]] = {bucket: [] for bucket in touched} if shares else {}
+        written: dict[int, list[str]] = {bucket: [] for bucket in touched or ()} if shares else {}
         for name in self._file_names(path, schema, keys, buckets) - known:
-            written.setdefault(_bucket_in(name), []).append(name)
+            bucket = _bucket_in(name)
+            kept = list(previous.files.get(bucket, ())) if shares and adds else []
+            written.setdefault(bucket, kept).append(name)
         lists_all = not shares or number % VERSIONS_PER_LIST == 0
         files = {**(previous.files if shares else {}), **{b: tuple(sorted(names)) for b, names in written.items()}}
         batches = {**(previous.batches if previous else {}), **(batches or {})}
