@@ -53,6 +53,12 @@ class StoreApplier:
 
     def apply(
         self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int, batch: tuple[str, int] | None = None
+    ) -> dict[str, int]:
+        with self.tables.writing(target.table):
+            return self._apply(incoming, target, now, expected_rows, batch)
+
+    def _apply(
+        self, incoming: DataFrame, target: TargetSpec, now: Column, expected_rows: int, batch: tuple[str, int] | None
     ) -> dict[str, int]:
         tables, keys = self.tables, target.key_names
         version = tables.current(target.table)

@@ -88,7 +88,7 @@ def archive_records(
             stamp.alias("upd_dtime"),
             F.lit(change_id).cast("bigint").alias("change_id"),
         )
-        workspace.archive.append(rows, change_id if again else None)
+        workspace.archive.append(rows, change_id, again)
         if seen["bad"]:
             bad = records.where(F.col("reason").isNotNull()).withColumn("change_id", F.lit(change_id))
             workspace.quarantine.append(bad, PULL_STAGE, stamp, change_id)

@@ -263,6 +263,14 @@ FROM runs""",
 SELECT p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price,
        CASE p_partkey % 3 WHEN 0 THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-05-01' END AS add_dtime, add_dtime AS upd_dtime
 FROM part WHERE p_size % 3 IN (0, 1) AND p_size <> 7""",
+    "many_processes": """
+WITH wanted AS (
+  SELECT p_partkey % 8 + 1 AS process_id, * FROM part WHERE p_size % 3 IN (0, 1) AND p_partkey % 8 + 1 NOT IN (3, 6)
+), runs AS (
+  SELECT process_id, 'C' AS status, count(*) AS total_records FROM wanted GROUP BY process_id
+  UNION ALL SELECT 3, 'F', NULL UNION ALL SELECT 6, 'F', NULL)
+SELECT process_id, status, total_records, p_partkey AS ean, p_name AS title, p_size AS size, p_retailprice AS price
+FROM runs LEFT JOIN (SELECT * FROM wanted WHERE p_size <> 7) USING (process_id)""",
     "apply_counts": """
 SELECT count(*) AS total, count(*) FILTER (WHERE p_partkey % 4 IN (1, 3)) AS failed, CAST(0 AS BIGINT) AS cut,
        count(*) FILTER (WHERE p_size >= 40 AND p_partkey % 4 IN (0, 2)) AS inserted,

@@ -752,6 +752,42 @@ def full_run_ledger(spark, sf_dir):
     )
 
 
+PROCESSES = 8
+
+
+@query
+def many_processes(spark, sf_dir):
+    """Eight processes over parts of the table, four at a time, into one table each; two
+    of them lack their first page, which fails their runs alone."""
+    root = scratch_path(spark, "many")
+    parts = table(spark, sf_dir, "part").withColumn("process_id", F.col("p_partkey") % PROCESSES + 1)
+    process, api, bucket = part_config(spark, sf_dir)
+    ids = spark.range(1, PROCESSES + 1).select(F.col("id").alias("process_id"))
+    first = F.col("process_id") == 1
+
+    def for_all(rows: DataFrame) -> DataFrame:
+        return rows.where(first).drop("process_id").crossJoin(F.broadcast(ids)).select(rows.columns)
+
+    bucket = for_all(bucket).withColumn("target_table_nm", F.concat(F.lit("product_"), F.col("process_id").cast("string")))
+    body = F.concat(F.lit("<root>"), F.array_join(F.collect_list(data.manifest_record()), ""), F.lit("</root>"))
+    pages = parts.groupBy("process_id").agg(body.alias("body")).select(
+        "process_id", data.page_url(F.lit(0)).alias("url"), "body"
+    )
+    inputs = LandedInputs(pages.where("process_id not in (3, 6)"), landed_inputs(spark, sf_dir).payloads)
+    results = run(spark, for_all(process), for_all(api), bucket, root, inputs, NOW, parallel=4)
+    space = Workspace(spark, root)
+    found = None
+    for result in results:
+        if bool(result.error) != (result.process_id in (3, 6)):
+            raise RuntimeError(f"unexpected result: {result}")
+        if not result.error:
+            rows = product_rows(space.tables.read(f"product_{result.process_id}"))
+            rows = rows.withColumn("process_id", F.lit(result.process_id).cast("bigint"))
+            found = rows if found is None else found.unionByName(rows)
+    states = space.ledger.state().select("process_id", "status", "total_records")
+    return states.join(found, "process_id", "left").select("process_id", "status", "total_records", "ean", "title", "size", "price")
+
+
 class FailingApplier:
     """Stands for a target that can't be written just now."""
 

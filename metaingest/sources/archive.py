@@ -28,17 +28,29 @@ def archive_id(page_seq: Column, record_no: Column) -> Column:
     return F.shiftleft(page_seq.cast("bigint"), RECORD_BITS) + record_no.cast("bigint")
 
 
+def _append(rows: DataFrame, path: str, change_id: int | None) -> None:
+    if change_id is None:
+        rows.write.mode("append").partitionBy("change_id").parquet(path)
+    else:
+        rows.drop("change_id").write.mode("append").parquet(f"{path}/change_id={change_id}")
+
+
 class Archive:
     """Raw bodies of every run: ``<root>/archive``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.path = spark, f"{root.rstrip('/')}/archive"
 
-    def append(self, rows: DataFrame, known_of: int | None = None) -> None:
-        """Add rows; with ``known_of`` only those whose ids that run does not have yet."""
-        if known_of is not None:
-            rows = rows.join(self.read(known_of).select("id"), "id", "left_anti")
-        rows.select(*ARCHIVE_SCHEMA.names).write.mode("append").partitionBy("change_id").parquet(self.path)
+    def append(self, rows: DataFrame, change_id: int | None = None, again: bool = False) -> None:
+        """Add rows; with ``change_id`` all are of that run, else each is of its own.
+
+        A run so given writes to its own folder only, so that several may write at the
+        same time. ``again``: rows whose ids the run has already are left out.
+        """
+        rows = rows.select(*ARCHIVE_SCHEMA.names)
+        if again:
+            rows = rows.join(self.read(change_id).select("id"), "id", "left_anti").select(*ARCHIVE_SCHEMA.names)
+        _append(rows, self.path, change_id)
 
     def read(self, change_id: int | None = None) -> DataFrame:
         """Rows of one run (only its folder is read) or of all runs."""
@@ -65,7 +77,7 @@ class Quarantine:
         ]
         known = self.read(change_id).where(F.col("stage") == stage).select("change_id", "id")
         fresh = rows.select(*columns).join(known, ["change_id", "id"], "left_anti").select(*QUARANTINE_SCHEMA.names)
-        fresh.write.mode("append").partitionBy("change_id").parquet(self.path)
+        _append(fresh, self.path, change_id)
 
     def read(self, change_id: int | None = None) -> DataFrame:
         rows = read_folder(self.spark, self.path, QUARANTINE_SCHEMA)

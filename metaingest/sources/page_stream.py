@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from ..specs import ApiSpec
-from .pages import PAGE_SCHEMA, Transport, fetch_with_retries, next_page_url
+from .pages import PAGE_SCHEMA, Transport, fetch_with_retries, next_page_url, registering
 
 
 def walk(transport: Transport, api: ApiSpec, url: str | None, page_no: int, attempts: int, pause: float) -> Iterator[tuple]:
@@ -75,5 +75,6 @@ def page_stream(
         def simpleStreamReader(self, schema):
             return Reader()
 
-    spark.dataSource.register(ManifestStream)
-    return spark.readStream.format("manifest_stream").load()
+    with registering:
+        spark.dataSource.register(ManifestStream)
+        return spark.readStream.format("manifest_stream").load()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
@@ -20,6 +21,8 @@ Transport = Callable[[str, dict[str, str]], str]
 
 PAGE_KEYS = ("process_id", "url")
 DOUBLINGS_PER_ROUND = 2
+#: Data sources are registered by name for the whole session: another thread must not come between.
+registering = threading.Lock()
 
 
 def string_map(values: dict[str, str]):
@@ -164,8 +167,9 @@ def manifest_pages(
         def reader(self, schema):
             return Reader()
 
-    spark.dataSource.register(ManifestPages)
-    return spark.read.format("manifest_pages").load()
+    with registering:
+        spark.dataSource.register(ManifestPages)
+        return spark.read.format("manifest_pages").load()
 
 
 PAGE_SCHEMA = "process_id bigint, page_no bigint, url string, body string, next_url string"

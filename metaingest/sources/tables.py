@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
@@ -43,6 +44,8 @@ ROWS_PER_BUCKET = 2_000_000
 #: A log entry lists the rewritten buckets only; every so many versions one lists all.
 VERSIONS_PER_LIST = 16
 
+_writers: dict[str, threading.Lock] = {}
+
 
 @dataclass(frozen=True)
 class Version:
@@ -81,7 +84,7 @@ class TableStore:
         return versions[-1] if versions else None
 
     def _log(self, table: str) -> DataFrame:
-        return read_folder(self.spark, self.log_path, LOG_SCHEMA).where(F.col("table_nm") == table)
+        return read_folder(self.spark, f"{self.log_path}/{table}", LOG_SCHEMA)
 
     def _versions(self, log: DataFrame) -> list[Version]:
         """Versions of log entries, the first of which lists all of its files."""
@@ -154,6 +157,10 @@ class TableStore:
 
     # --- writing ----------------------------------------------------------
 
+    def writing(self, table: str) -> threading.Lock:
+        """Held while a table's next version is made: this driver's threads take turns."""
+        return _writers.setdefault(f"{self.root}/{table}", threading.Lock())
+
     def write(
         self,
         table: str,
@@ -190,7 +197,7 @@ class TableStore:
         batches = {**(previous.batches if previous else {}), **(batches or {})}
         listed = {b: list(names) for b, names in files.items() if lists_all or b in written}
         entry = (table, number, path, list(keys), buckets, count(), schema.json(), listed, lists_all, batches)
-        append_row(self.spark, self.log_path, LOG_SCHEMA, entry)
+        append_row(self.spark, f"{self.log_path}/{table}", LOG_SCHEMA, entry)
         return Version(table, number, path, tuple(keys), buckets, entry[5], schema, files, batches)
 
     def note_batches(self, version: Version, batches: dict[str, int]) -> Version:
@@ -200,7 +207,7 @@ class TableStore:
             version.table, version.number + 1, version.path, list(version.keys), version.buckets, version.rows,
             version.schema.json(), {b: list(names) for b, names in version.files.items()}, True, batches,
         )
-        append_row(self.spark, self.log_path, LOG_SCHEMA, entry)
+        append_row(self.spark, f"{self.log_path}/{version.table}", LOG_SCHEMA, entry)
         return Version(
             version.table, version.number + 1, version.path, version.keys, version.buckets, version.rows, version.schema,
             version.files, batches,

@@ -280,7 +280,7 @@ def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     assert len(rows) == 400 and rows[mine[0]] == ("new", LATER) and rows[mine[3]] == (f"t{mine[3]}", NOW)
     # Earlier versions stay readable, and the log lists rewritten buckets only.
     assert {r.title for r in space.tables.read_version(first, [2]).collect()} == {f"t{k}" for k in mine}
-    entry = spark.read.parquet(space.tables.log_path).where("version = 2").first()
+    entry = spark.read.parquet(f"{space.tables.log_path}/product").where("version = 2").first()
     assert not entry.lists_all and list(entry.files) == [2]
 
 
@@ -292,7 +292,7 @@ def test_many_versions_fold_to_one_list(spark, tmp_path, monkeypatch):
         apply_snapshot(space, SPEC, n, NOW)
     version = space.tables.current("product")
     assert version.number == 5 and version.rows == 5
-    log = {r.version: r.lists_all for r in spark.read.parquet(space.tables.log_path).collect()}
+    log = {r.version: r.lists_all for r in spark.read.parquet(f"{space.tables.log_path}/product").collect()}
     assert log == {1: True, 2: False, 3: True, 4: False, 5: False}
     assert sorted(r.ean for r in Workspace(spark, str(tmp_path)).tables.read("product").collect()) == list(range(1, 6))
 
