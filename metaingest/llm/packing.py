@@ -30,14 +30,44 @@ PIECE_TOKENS = 512
 BLOCK_TOKENS = 128 * SEQUENCE_TOKENS - 128 * 16
 END_ID = 2
 _TEXT_BYTES = 4 << 20
-#: Words whose ids a task keeps at most; beyond, it starts to collect them anew.
-CACHE_WORDS = 300_000
+#: Words whose ids a Python worker keeps at most (about 40 MB); beyond, it starts to collect them anew.
+CACHE_WORDS = 1_000_000
 
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: 1: letters and digits of ASCII, 2: its signs but for the apostrophe, which may belong to letters
 _KINDS = np.array([1 if chr(c).isalnum() else 2 if 32 < c < 127 and c != 39 else 0 for c in range(128)] + [0] * 128, np.uint8)
 
 
+class _Known:
+    """What a Python worker keeps of a vocabulary from task to task: the ids of words
+    it has met, by the hash of their bytes, but not the encoder."""
+
+    def __init__(self, encoder):
+        self.ends = np.zeros(max(encoder.get_vocab().values()) + 1, bool)
+        for piece, number in encoder.get_vocab().items():
+            self.ends[number] = piece.endswith("</w>")
+        self.special = [token.content.encode() for token in encoder.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, ids: list[np.ndarray]) -> None:
+        """Take in words that are not known, in the order of their hashes."""
+        first = len(self.pool) + np.cumsum(counts) - counts
+        self.pool = np.concatenate((self.pool, *ids))
+        places = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, places, hashes)
+        self.first = np.insert(self.first, places, first)
+        self.counts = np.insert(self.counts, places, counts)
+
+
+_known: dict[str, _Known] = {}
+
+
 class WordTokenizer:
     """Ids of texts by a vocabulary of word pieces that drops white space.
 
@@ -51,45 +81,45 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        self._path, self._loaded = path, None
+        if path not in _known:
+            _known[path] = _Known(self._encoder)
+        self._words = _known[path]
 
-        self._encoder = Tokenizer.from_file(path)
-        self._ends = np.zeros(max(self._encoder.get_vocab().values()) + 1, bool)
-        for piece, number in self._encoder.get_vocab().items():
-            self._ends[number] = piece.endswith("</w>")
-        self._special = [token.content.encode() for token in self._encoder.get_added_tokens_decoder().values()]
-        self._forget()
+    @property
+    def _encoder(self):
+        """Loaded once a task has a word that is not known."""
+        if self._loaded is None:
+            from tokenizers import Tokenizer
 
-    def _forget(self) -> None:
-        self._hashes = np.zeros(0, np.uint64)
-        self._first = np.zeros(0, np.int64)
-        self._counts = np.zeros(0, np.int64)
-        self._pool = np.zeros(0, np.uint32)
+            self._loaded = Tokenizer.from_file(self._path)
+        return self._loaded
 
     def ids(self, texts: w.Texts) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self._hashes) > CACHE_WORDS:
-            self._forget()
+        known = self._words
+        if len(known.hashes) > CACHE_WORDS:
+            known.forget()
         words = w.find_words(texts, kinds=_KINDS)
         hashes = w.hash_spans(texts.data, words.starts, words.ends)
         distinct, seen, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         new = np.ones(len(distinct), bool)
-        if len(self._hashes):
-            place = np.minimum(np.searchsorted(self._hashes, distinct), len(self._hashes) - 1)
-            new = self._hashes[place] != distinct
+        if len(known.hashes):
+            place = np.minimum(np.searchsorted(known.hashes, distinct), len(known.hashes) - 1)
+            new = known.hashes[place] != distinct
         if new.any():
             at = seen[new]
             self._learn(distinct[new], [bytes(texts.data[a:b]).decode() for a, b in zip(words.starts[at], words.ends[at])])
-        place = np.searchsorted(self._hashes, distinct)[inverse]
-        counts = self._counts[place]
+        place = np.searchsorted(known.hashes, distinct)[inverse]
+        counts = known.counts[place]
         after = np.concatenate(([0], np.cumsum(counts)))
-        flat = self._pool[np.repeat(self._first[place] - after[:-1], counts) + np.arange(after[-1])]
+        flat = known.pool[np.repeat(known.first[place] - after[:-1], counts) + np.arange(after[-1])]
         borders = after[words.first]
         found = [flat[a:b] for a, b in zip(borders[:-1], borders[1:])]
         whole = texts.data.tobytes()
-        if any(token in whole for token in self._special):
+        if any(token in whole for token in known.special):
             for i, (a, b) in enumerate(zip(texts.offsets[:-1], texts.offsets[1:])):
-                if any(token in whole[a:b] for token in self._special):
+                if any(token in whole[a:b] for token in known.special):
                     found[i] = np.array(self._encoder.encode(whole[a:b].decode(), add_special_tokens=False).ids, np.uint32)
         return found
 
@@ -99,19 +129,13 @@ class WordTokenizer:
             part_counts, part_ids = self._encode(words[low : low + 1000])
             counts.append(part_counts)
             ids.append(part_ids)
-        counts = np.concatenate(counts)
-        first = len(self._pool) + np.cumsum(counts) - counts
-        self._pool = np.concatenate((self._pool, *ids))
-        order = np.argsort(np.concatenate((self._hashes, hashes)), kind="stable")
-        self._hashes = np.concatenate((self._hashes, hashes))[order]
-        self._first = np.concatenate((self._first, first))[order]
-        self._counts = np.concatenate((self._counts, counts))[order]
+        self._words.add(hashes, np.concatenate(counts), ids)
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each word has, and the ids."""
         ids = np.array(self._encoder.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         parts = np.array([len(_PRETOKEN.findall(unicodedata.normalize("NFC", word).lower())) for word in words])
-        ends = np.flatnonzero(self._ends[ids]) + 1
+        ends = np.flatnonzero(self._words.ends[ids]) + 1
         if len(ends) == parts.sum() and parts.all():
             return np.diff(ends[np.cumsum(parts) - 1], prepend=0), ids
         alone = [x.ids for x in self._encoder.encode_batch_fast(words, add_special_tokens=False)]
