@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from xml.sax.saxutils import escape
 
-from .paths import union_parts
+import pyarrow as pa
+
+from .paths import WHOLE_TEXT, union_parts
 
 Finder = Callable[[ET.Element], list[ET.Element]]
 
 _CHILD_STEPS = re.compile(r"(//|/|\./|\.//)?([A-Za-z_][\w.\-]*(?:/[A-Za-z_][\w.\-]*)*)")
 _BAD_NAME_CHAR = re.compile(r"[^\w.\-]")
+_PIECE_BYTES = 1 << 16
 _NOT_XML = re.compile(r"[^\t\n\r\x20-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]")
 
 
@@ -30,6 +34,60 @@ def parse_document(body: str | None, is_json: bool) -> ET.Element | None:
     return document
 
 
+class _Nothing:
+    """A parser's target that keeps nothing."""
+
+
+def page_records(body: pa.StringScalar, record_tag: str | None, is_json: bool) -> Iterator[ET.Element] | None:
+    """The root's children with the record tag one by one, or None for a page
+    that is no document. Without a tag there are none."""
+    buffer = body.as_buffer()
+    if buffer is None:
+        return None
+    if is_json or not (record_tag is None or is_plain_name(record_tag)):
+        document = parse_document(body.as_py(), is_json)
+        if document is None:
+            return None
+        return iter(document[0].findall(record_tag) if record_tag else ())
+    checker = ET.XMLParser(target=_Nothing())
+    try:
+        for piece in _pieces(buffer):
+            checker.feed(piece)
+        checker.close()
+    except (ET.ParseError, ValueError):
+        return None
+    return _children(buffer, record_tag) if record_tag else iter(())
+
+
+def _pieces(buffer: pa.Buffer) -> Iterator[str]:
+    """The text in pieces. As text, not bytes, since a declared encoding no longer holds."""
+    decoder, view = codecs.getincrementaldecoder("utf-8")(), memoryview(buffer)
+    for low in range(0, len(view), _PIECE_BYTES):
+        yield decoder.decode(view[low : low + _PIECE_BYTES])
+
+
+def _children(buffer: pa.Buffer, tag: str) -> Iterator[ET.Element]:
+    """Children of the root with the tag, each dropped from the tree once it is closed."""
+    parser, root = ET.XMLPullParser(["start"]), None
+
+    def closed(keep: int) -> list[ET.Element]:
+        nonlocal root
+        for _, element in parser.read_events():
+            if root is None:
+                root = element
+        if root is None:
+            return []
+        done = root[: len(root) - keep]
+        del root[: len(root) - keep]
+        return [child for child in done if child.tag == tag]
+
+    for piece in _pieces(buffer):
+        parser.feed(piece)
+        yield from closed(1)  # the last child may still be open
+    parser.close()
+    yield from closed(0)
+
+
 def _json_root(body: str) -> ET.Element:
     value = json.loads(body, object_pairs_hook=_Members, parse_int=str, parse_float=str, parse_constant=str)
     if isinstance(value, list):
@@ -95,6 +153,19 @@ def xml_of(element: ET.Element) -> str:
         element.tail = tail
 
 
+def marked_xml(record: ET.Element) -> str:
+    """``xml_of`` with each element's whole text as the attribute ``WHOLE_TEXT``."""
+    own = [(element, element.attrib) for element in record.iter()]
+    texts = [text_of(element) for element, _ in own]
+    for (element, attributes), text in zip(own, texts):
+        element.attrib = {**attributes, WHOLE_TEXT: text}
+    try:
+        return xml_of(record)
+    finally:
+        for element, attributes in own:
+            element.attrib = attributes
+
+
 def _deep_xml(root: ET.Element) -> str:
     """The same text for a document nested deeper than Python can recurse."""
     prefixes: dict[str, str] = {}

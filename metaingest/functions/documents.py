@@ -6,11 +6,11 @@ from copying the parse into a pushed-down filter and running it twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,8 @@ class Slot:
 
 WELL_FORMED = "well_formed"
 DOCUMENT = "document"
+#: Characters of records that one chunk holds, unless one record is longer.
+CHUNK_CHARS = 1 << 20
 
 
 def extract_slots(body: ColumnLike, slots: Sequence[Slot], content_type: str, keep_document: bool = False) -> Column:
@@ -91,54 +93,91 @@ def page_links(body: ColumnLike, indicator_tag: str, anchor_tag: str, content_ty
     return F.arrow_udf(links, schema).asNondeterministic()(as_col(body))
 
 
-def page_records(
-    body: ColumnLike,
+def record_chunks(
+    pages: DataFrame,
+    body: str,
     record_tag: str,
     key_tag: str,
     content_type: str,
     value_paths: Sequence[str] = (),
-) -> Column:
-    """Array of a page's records: root children with the record tag, in order.
-
-    Each record is (key, body, values): the key child's text or null, the
-    record's own XML, and per value path the distinct texts found in it.
-    A page that is no document gives null, a page without records an empty
-    array; a blank record or key tag selects nothing.
+    whole_texts: bool = False,
+) -> DataFrame:
+    """The records of each page, root children with the record tag, in chunks.
+
+    A row has a page's other columns, ``_first``, the number of its first record,
+    and ``_records``, an array of about ``CHUNK_CHARS`` at most or of one longer
+    record. Each record is (key, body, values, marked): the key child's text or
+    null, the record's own XML, per value path the distinct texts found in it, and
+    with ``whole_texts`` its XML with every element's whole text as an attribute.
+    A page that is no document gives one row with a null array, a page without
+    records none; a blank record or key tag selects nothing.
+
+    An XML page is read twice in pieces, first to know that it is a document: a
+    task holds the page's text and one chunk, never its tree.
     """
     is_json = content_type == "JSON"
     paths = list(value_paths)
     selects = bool(record_tag) and bool(key_tag)
-    schema = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("key", T.StringType()),
-                T.StructField("body", T.StringType()),
-                T.StructField("values", T.ArrayType(T.ArrayType(T.StringType()))),
-            ]
-        )
+    text_type = T.StringType()
+    record_type = T.StructType(
+        [
+            T.StructField("key", text_type),
+            T.StructField("body", text_type),
+            T.StructField("values", T.ArrayType(T.ArrayType(text_type))),
+            T.StructField("marked", text_type),
+        ]
     )
-    value_type = pa.list_(pa.list_(pa.string()))
+    others = [f for f in pages.schema.fields if f.name != body]
+    schema = T.StructType([*others, T.StructField("_first", T.IntegerType()), T.StructField("_records", T.ArrayType(record_type))])
+    item_types = [pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string()]
 
-    def records(bodies: pa.Array) -> pa.Array:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = [trees.compile_path(path) for path in paths]
-        offsets, missing = [0], []
-        keys, texts, values = [], [], []
-        for text in bodies.to_pylist():
-            document = trees.parse_document(text, is_json)
-            missing.append(document is None)
-            if document is not None and selects:
-                for record in document[0].findall(record_tag):
-                    keys.append(trees.child_text(record, key_tag))
-                    texts.append(trees.xml_of(record))
-                    values.append(_values(record, finders))
-            offsets.append(len(keys))
-        items = pa.StructArray.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(texts, pa.string()), pa.array(values, value_type)],
-            names=["key", "body", "values"],
-        )
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items, mask=pa.array(missing, pa.bool_()))
-
-    return F.arrow_udf(records, schema).asNondeterministic()(as_col(body))
+        for batch in batches:
+            kept = batch.select([f.name for f in others])
+            rows, firsts, missing, offsets = [], [], [], [0]
+            items: list[list] = [[], [], [], []]
+            held = 0
+
+            def chunk() -> pa.RecordBatch:
+                arrays = [pa.array(values, kind) for values, kind in zip(items, item_types)]
+                structs = pa.StructArray.from_arrays(arrays, names=record_type.names)
+                records = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs, mask=pa.array(missing, pa.bool_()))
+                columns = kept.take(pa.array(rows, pa.int64())).columns
+                return pa.RecordBatch.from_arrays([*columns, pa.array(firsts, pa.int32()), records], names=schema.names)
+
+            def close_row(row: int, first: int, bad: bool = False) -> None:
+                rows.append(row)
+                firsts.append(first)
+                missing.append(bad)
+                offsets.append(len(items[0]))
+
+            bodies = batch.column(body)
+            for row in range(batch.num_rows):
+                records = trees.page_records(bodies[row], record_tag if selects else None, is_json)
+                if records is None:
+                    close_row(row, 0, True)
+                    continue
+                first = number = 0
+                for record in records:
+                    text = trees.xml_of(record)
+                    marked = trees.marked_xml(record) if whole_texts else None
+                    values = (trees.child_text(record, key_tag), text, _values(record, finders), marked)
+                    for column, value in zip(items, values):
+                        column.append(value)
+                    number += 1
+                    held += len(text) + len(marked or "")
+                    if held >= CHUNK_CHARS:
+                        close_row(row, first)
+                        yield chunk()
+                        first, held = number, 0
+                        rows, firsts, missing, offsets, items = [], [], [], [0], [[], [], [], []]
+                if number > first:
+                    close_row(row, first)
+            if rows:
+                yield chunk()
+
+    return pages.mapInArrow(cut, schema)
 
 
 def _values(record, finders) -> list[list[str]]:

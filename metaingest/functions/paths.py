@@ -18,6 +18,10 @@ _STEP = rf"(?:{_NAME}|\*)(?:(?:\[(?:{_TEST})\])*|\[(?:[1-9]\d*|last\(\))\])"
 _TREE_PATH = re.compile(rf"(?://?|\./(?:/)?)?{_STEP}(?://?{_STEP})*")
 _NOT_ELEMENTS = re.compile(r"(?:^|/)\s*(?:@[\w:.*\-]+|text\(\)|comment\(\)|node\(\))\s*$")
 
+#: Attribute that holds an element's whole text in a marked document.
+WHOLE_TEXT = "metaingest-whole-text"
+_QUOTED_OR_ANY_ATTRIBUTE = re.compile(r"'[^']*'|\"[^\"]*\"|((?:@|attribute\s*::)\s*(?:\*|node\(\s*\)))")
+
 
 class PathError(ValueError):
     """A configured path that cannot be evaluated."""
@@ -38,6 +42,15 @@ def union_parts(path: str) -> list[str]:
     return re.split(r"\|(?=(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\"|\[(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\")*\])*$)", path)
 
 
+def whole_text_path(path: str) -> str:
+    """XPath of the marks of all elements that ``path`` selects in a marked document.
+
+    Steps to any attribute don't see the mark.
+    """
+    unseen = _QUOTED_OR_ANY_ATTRIBUTE.sub(lambda m: f"{m[0]}[name() != '{WHOLE_TEXT}']" if m[1] else m[0], path)
+    return f"({unseen})/@{WHOLE_TEXT}"
+
+
 def check_xpath(spark: SparkSession, path: str) -> None:
     """Raise ``PathError`` unless Spark accepts the XPath."""
     literal = path.replace("\\", "\\\\").replace("'", "\\'")

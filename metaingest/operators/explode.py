@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions._cols import as_col
-from ..functions.documents import page_records
+from ..functions.documents import record_chunks
 from ..functions.minilang import is_blank
-from ..functions.paths import path_kind
+from ..functions.paths import path_kind, whole_text_path
 from ..functions.typed import numeric_key
 from ..specs import ApiSpec
 
@@ -39,21 +39,21 @@ def explode_records(
     templates = data_api.request_args if data_api else {}
     path_templates = {k: v for k, v in templates.items() if v.startswith(urls.PATH_PREFIX)}
     tree_paths = [v for v in path_templates.values() if path_kind(v) == "tree"]
-    parsed = pages.withColumn(
-        "_records",
-        page_records(body, change_api.record_tag, change_api.key_tag, change_api.content_type, tree_paths),
-    ).drop(body)
-    keep = [c for c in parsed.columns if c != "_records"]
+    other_paths = len(tree_paths) < len(path_templates)
+    parsed = record_chunks(
+        pages, body, change_api.record_tag, change_api.key_tag, change_api.content_type, tree_paths, whole_texts=other_paths
+    )
+    keep = [c for c in parsed.columns if c not in ("_first", "_records")]
     # The page flag is taken before the explode: the explode then drops the
     # array instead of copying it into each of its rows.
     parsed = parsed.withColumn("_bad_page", F.col("_records").isNull())
     rows = parsed.select(
-        *keep, "_bad_page", F.posexplode_outer("_records").alias("record_no", "_r")
+        *keep, "_bad_page", "_first", F.posexplode_outer("_records").alias("_in_chunk", "_r")
     ).where(F.col("_bad_page") | F.col("_r").isNotNull())
     rows = rows.where(F.col("_bad_page") | response_filter("_r.body", change_api.response_filter))
     return rows.select(
         *keep,
-        "record_no",
+        (F.col("_first") + F.col("_in_chunk")).alias("record_no"),
         F.col("_r.key").alias("key"),
         F.col("_r.body").alias("notification"),
         _request_args(templates, tree_paths).alias("args"),
@@ -66,14 +66,6 @@ def key_problem(key) -> Column:
     return F.when(is_blank(key), BLANK_KEY).when(numeric_key(key).isNull(), KEY_NOT_NUMERIC)
 
 
-def _xpath_values(body: Column, path: str) -> Column:
-    """Texts of the matches of a path that only XPath can evaluate. One match
-    gives its whole text; of several each direct text is a value."""
-    alone = F.xpath_int(body, F.lit(f"count({path})")) == 1
-    several = F.xpath(body, F.lit(f"({path})/text()"))
-    return F.when(alone, F.array(F.xpath_string(body, F.lit(path)))).otherwise(several)
-
-
 def _request_args(templates: dict[str, str], tree_paths: list[str]) -> Column:
     """Literals first, then the values found by paths; paths without a value are dropped."""
     no_args = F.create_map().cast("map<string,string>")
@@ -85,7 +77,7 @@ def _request_args(templates: dict[str, str], tree_paths: list[str]) -> Column:
         if path in tree_paths:
             values = F.get(F.col("_r.values"), F.lit(tree_paths.index(path)))
         else:
-            values = _xpath_values(F.col("_r.body"), path)
+            values = F.xpath("_r.marked", F.lit(whole_text_path(path)))
         found += [F.lit(name), urls.joined_values(values)]
     fixed = F.create_map(*[F.lit(x) for pair in literals.items() for x in pair]) if literals else no_args
     if not found:

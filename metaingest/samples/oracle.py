@@ -121,6 +121,12 @@ FROM part""",
 SELECT p_partkey AS ean,
        'http://catalog.example/product?detail=full&part=' || p_partkey || '&groups=' || p_type || ',' || p_brand
        || CASE WHEN {_MARKET} = '' THEN '' ELSE '&markets=' || {_MARKET} END AS request_url
+FROM part""",
+    "xpath_args": """
+SELECT p_partkey AS ean,
+       'http://catalog.example/product?names=' || p_name || p_brand || ',' || p_type
+       || CASE WHEN p_brand LIKE '%Brand#3%' THEN '&kind=' || p_type ELSE '' END
+       || '&bare=' || p_name || p_brand AS request_url
 FROM part""",
     "page_chain": """
 SELECT DISTINCT 'http://catalog.example/products?list=spares'

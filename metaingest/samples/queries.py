@@ -283,6 +283,29 @@ def filter_args(spark, sf_dir):
     )
 
 
+@query
+def xpath_args(spark, sf_dir):
+    """Request arguments from paths that only XPath evaluates: whole texts of several matches."""
+    tag = lambda name, *content: F.concat(F.lit(f"<{name}>"), *content, F.lit(f"</{name}>"))
+    names = [tag("name", tag("maker", "p_name"), F.col("p_brand")), tag("name", F.col("p_type"))]
+    record = tag("product", tag("ean", F.col("p_partkey").cast("string")), *names)
+    pages = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / 50).alias("page_no"))
+    pages = pages.agg(tag("list", F.array_join(F.array_sort(F.collect_list(record)), "")).alias("body"))
+    api = ApiSpec(
+        base_url="http://catalog.example/product",
+        request_args={
+            "names": "//name[string-length(.) > 3]",
+            "kind": "//name[contains(., 'Brand#3')]/following-sibling::name",
+            "bare": "//name[count(@*) = 0 and maker]",
+        },
+    )
+    records = explode_records(pages, ApiSpec(record_tag="product", key_tag="ean"), api)
+    return records.select(
+        F.col("key").cast("bigint").alias("ean"),
+        urls.format_url(F.lit(api.base_url), "args").alias("request_url"),
+    )
+
+
 @query
 def page_chain(spark, sf_dir):
     """Position of every page in its chain, found from the links alone."""

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
+from conftest import ROOT
 from helpers import BASE, IN_USE, page, record
 
 from pyspark.sql import functions as F
 
 from metaingest import LandedInputs
+from metaingest.functions import documents
 from metaingest.functions.documents import register_functions
 from metaingest.operators.explode import explode_records
 from metaingest.plans.inputs import BROADCAST_KEY_BYTES
@@ -81,7 +86,55 @@ def test_arguments_of_unions_and_nested_texts(spark):
         request_args={"u": "//a | //c", "n": "//a", "p": "//a[string-length(.)>1]", "v": "//a[string-length(.)>0] | //c"},
     )
     body = page("<entry><no>1</no><a>x<b>y</b></a><c>z</c></entry>")
-    assert explode_records(pages(spark, body), API, data_api).first()["args"] == {"u": "xy,z", "n": "xy", "p": "xy", "v": "x,z"}
+    assert explode_records(pages(spark, body), API, data_api).first()["args"] == {"u": "xy,z", "n": "xy", "p": "xy", "v": "xy,z"}
+
+
+def test_marks_of_whole_texts_are_not_seen_by_paths(spark):
+    data_api = ApiSpec(
+        base_url="u",
+        request_args={"bare": "//a[not(@*)]/b/..", "any": "//a[@*[. = 'k']]/ancestor-or-self::a", "quoted": "//a[b = '@*']/b[1]/."},
+    )
+    body = page("<entry><no>1</no><a>x<b>y</b></a><a t='k'>p&amp;<b>@*</b></a></entry>")
+    row = explode_records(pages(spark, body), API, data_api).first()
+    assert row["args"] == {"bare": "xy", "any": "p&@*", "quoted": "@*"}
+    assert "whole-text" not in row["notification"]
+
+
+def test_records_of_a_page_in_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(documents, "CHUNK_CHARS", 1000)
+    bodies = [page("".join(record(no, part="\u00e9\U0001f600" * 9) for no in range(n))) for n in (0, 1, 40, 3000)]
+    rows = explode_records(pages(spark, *bodies, bodies[2][:-1], None), API).collect()
+    for page_no, n in enumerate((0, 1, 40, 3000)):
+        assert [(r.record_no, r.key) for r in rows if r.page_no == page_no] == [(no, str(no)) for no in range(n)]
+    assert [(r.page_no, r.reason) for r in rows if r.reason] == [(4, "page_not_a_document"), (5, "page_not_a_document")]
+    assert all("\u00e9\U0001f600" * 9 in r.notification for r in rows if r.notification)
+
+
+def test_pages_that_declare_an_encoding_or_entities(spark):
+    declared = '<?xml version="1.0" encoding="UTF-16"?>' + page("<entry><no>1</no><part>\u00e9</part></entry>")
+    entity = '<!DOCTYPE r [<!ENTITY e "7">]><r><!-- c --><entry><no>&e;</no></entry>t<?p q?></r>'
+    unknown = '<!DOCTYPE r SYSTEM "x"><r><entry><no>&nbsp;</no></entry></r>'
+    rows = explode_records(pages(spark, declared, entity, unknown, "\ufeff" + page(record(2))), API).orderBy("page_no").collect()
+    assert [(r.key, r.reason) for r in rows] == [("1", None), ("7", None), (None, "page_not_a_document"), ("2", None)]
+
+
+def test_a_large_page_is_never_held_as_a_tree():
+    one = "<entry><no>1</no>" + "<part>some text of a part</part>" * 30 + "</entry>"
+    code = f"""
+import resource, sys
+import pyarrow as pa
+sys.path.insert(0, {ROOT!r})
+from metaingest.functions import _trees as trees
+one = {one!r}
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+body = pa.array(["<r>" + one * (60_000_000 // len(one)) + "</r>"])[0]
+held = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+count = sum(len(trees.xml_of(r)) == len(one) for r in trees.page_records(body, "entry", False))
+assert count == 60_000_000 // len(one)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - held) // 1024)
+"""
+    grown = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300)
+    assert int(grown.stdout) < 20
 
 
 def test_a_deep_record_keeps_its_text(spark):
