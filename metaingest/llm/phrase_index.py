@@ -5,7 +5,9 @@ The index has one row for each segment, some whole documents of one task with
 of its words in the segment. No shuffle is needed to build it, a common term is
 spread over all segments, and a search runs on all segments at once.
 
-A search goes through stated queries in blocks of ``BLOCK_QUERIES``. One pass
+A search goes through stated queries in blocks of ``BLOCK_QUERIES``, which the
+driver reads one after the other; a block's matches are written before the next
+one is read, and name queries by number. Item ids meet them by a join. One pass
 counts the postings of the block's terms over all segments; queries with a term
 that occurs nowhere are done. The other pass takes each query's terms from the
 rarest on: where a segment lacks one it is done there; else the places of each
@@ -144,12 +146,12 @@ class Segment:
 
 class Block(NamedTuple):
     """Distinct queries: ``terms`` and ``offsets`` have a row for each, its terms
-    from the rarest on, and ``length`` how many of them count."""
+    from the rarest on, ``length`` how many of them count, and ``queries`` its hash."""
 
     terms: np.ndarray
     offsets: np.ndarray
     length: np.ndarray
-    items: list[list]
+    queries: np.ndarray
 
 
 def windows_of(items: DataFrame, window: int = WINDOW, table: np.ndarray = w.ALPHANUMERIC) -> DataFrame:
@@ -175,15 +177,14 @@ def windows_of(items: DataFrame, window: int = WINDOW, table: np.ndarray = w.ALP
     return items.select("item_id", "text").mapInArrow(cut, f"item_id {kind}, terms binary")
 
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[list[np.ndarray], list[list]]]:
-    """The queries in blocks of bounded size, whose items share equal ones."""
-    grouped = stage(queries.groupBy("terms").agg(F.collect_set("item_id").alias("items")), "phrase-queries")
-    rows = grouped.toLocalIterator(prefetchPartitions=False)
+def _blocks(owners: DataFrame, size: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The distinct queries in blocks of bounded size, each with its hashes."""
+    rows = stage(owners.select("query", "terms").distinct(), "phrase-queries").toLocalIterator(prefetchPartitions=False)
     while block := list(islice(rows, size)):
-        yield [np.frombuffer(row.terms, np.uint64) for row in block], [row["items"] for row in block]
+        yield [np.frombuffer(row.terms, np.uint64) for row in block], np.array([row["query"] for row in block], np.int64)
 
 
-def _ordered(index: DataFrame, queries: list[np.ndarray], items: list[list]) -> Block:
+def _ordered(index: DataFrame, queries: list[np.ndarray], hashes: np.ndarray) -> Block:
     """Terms from the rarest on, without queries that have a term of no posting."""
     distinct = np.unique(np.concatenate(queries))
 
@@ -202,7 +203,7 @@ def _ordered(index: DataFrame, queries: list[np.ndarray], items: list[list]) ->
 
     width = max(map(len, queries))
     terms, offsets, lengths, kept = [], [], [], []
-    for query, of in zip(queries, items):
+    for query, of in zip(queries, hashes.tolist()):
         rarity = postings[np.searchsorted(distinct, query)]
         if rarity.all():
             order = np.argsort(rarity, kind="stable")
@@ -213,7 +214,7 @@ def _ordered(index: DataFrame, queries: list[np.ndarray], items: list[list]) ->
             lengths.append(len(query))
             kept.append(of)
     shape = (len(kept), width)
-    return Block(np.array(terms, np.uint64).reshape(shape), np.array(offsets, np.int64).reshape(shape), np.array(lengths, np.int64), kept)
+    return Block(np.array(terms, np.uint64).reshape(shape), np.array(offsets, np.int64).reshape(shape), np.array(lengths, np.int64), np.array(kept, np.int64))
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Segment, int, int]]:
@@ -224,7 +225,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Segment, int,
             yield segment, batch.column("segment")[row].as_py(), row
 
 
-def _search(block: Block, within: int | None, item_type: pa.DataType):
+def _search(block: Block, within: int | None):
     @w.releasing
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, number, _ in _segments(batches):
@@ -245,16 +246,16 @@ def _search(block: Block, within: int | None, item_type: pa.DataType):
                     held = matches.setdefault(place, ([], [], {}))
                     held[0].append(start - int(segment.first[place]))
                     held[1].append(end - int(segment.first[place]))
-                    held[2].update(dict.fromkeys(block.items[query]))
+                    held[2][int(block.queries[query])] = True
             rows = sorted(matches)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number] * len(rows), pa.int64()),
                     pa.array(rows, pa.int32()),
                     pa.array([_merged(*matches[r][:2]) for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array([list(matches[r][2]) for r in rows], pa.list_(item_type)),
+                    pa.array([list(matches[r][2]) for r in rows], pa.list_(pa.int64())),
                 ],
-                ["segment", "place", "spans", "items"],
+                ["segment", "place", "spans", "queries"],
             )
 
     return search
@@ -281,24 +282,27 @@ def search(index: DataFrame, queries: DataFrame, within: int | None = None, bloc
     ``items`` (distinct ids of matching queries; a null id matches but is not
     listed). Documents without a match have empty lists.
     """
-    item_kind = queries.schema["item_id"].dataType
-    item_type = pa.schema(queries.select("item_id").limit(0).toArrow().schema).field(0).type
+    item_kind = queries.schema["item_id"].dataType.simpleString()
+    owners = stage(queries.select(F.xxhash64("terms").alias("query"), "terms", "item_id").distinct(), "phrase-owners")
     hits = None
-    for terms, items in _blocks(queries, block):
-        ready = _ordered(index, terms, items)
+    for terms, hashes in _blocks(owners, block):
         rows = index.select("segment", "first", "terms", "starts", "places").mapInArrow(
-            _search(ready, within, item_type),
-            f"segment long, place int, spans array<struct<start: bigint, end: bigint>>, items array<{item_kind.simpleString()}>",
+            _search(_ordered(index, terms, hashes), within),
+            "segment long, place int, spans array<struct<start: bigint, end: bigint>>, queries array<bigint>",
         )
+        rows = stage(rows, "phrase-hits")
         hits = rows if hits is None else hits.unionByName(rows)
     documents = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "text_hashes", _words_of("first"))).alias("place", "doc"))
     documents = documents.select("segment", "place", "doc.doc_ids", "doc.text_hashes", "doc.n_words")
     documents = documents.toDF("segment", "place", "doc_id", "text_hash", "n_words")
     if hits is None:
-        empty = [F.array().cast(f"array<{kind}>").alias(name) for name, kind in (("items", item_kind.simpleString()), ("spans", "struct<start: bigint, end: bigint>"))]
+        empty = [F.array().cast(f"array<{kind}>").alias(name) for name, kind in (("items", item_kind), ("spans", "struct<start: bigint, end: bigint>"))]
         return documents.select("doc_id", "text_hash", "n_words", *empty)
-    hits = hits.groupBy("segment", "place").agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
+    named = hits.select("segment", "place", F.explode("queries").alias("query")).join(owners.select("query", "item_id"), "query")
+    spans = hits.select("segment", "place", "spans", F.lit(None).cast(item_kind).alias("item_id"))
+    items = named.select("segment", "place", F.lit(None).cast(hits.schema["spans"].dataType).alias("spans"), "item_id")
+    hits = spans.unionByName(items).groupBy("segment", "place").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.collect_set("item_id").alias("items")
     )
     found = documents.join(hits, ["segment", "place"], "left")
     return found.select(
