@@ -27,7 +27,8 @@ from ..session import stage
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
-_ORDER = ["conv_id", "turn", "h1", "h2"]
+#: Characters of role and text by which turns are dealt: the driver samples these keys.
+_PREFIX = 32
 
 
 def _hashes() -> list[Column]:
@@ -36,6 +37,18 @@ def _hashes() -> list[Column]:
     return [F.xxhash64(F.lit(seed), *what).alias(f"h{seed}") for seed in (1, 2)]
 
 
+def _order() -> list[Column]:
+    """Turns go by number, a null first, then by role and text, nulls last."""
+    return [F.col("conv_id"), F.col("turn"), F.asc_nulls_last("role"), F.asc_nulls_last("text")]
+
+
+def _ranges() -> list[Column]:
+    """Short keys whose order is never against ``_order``."""
+    keys = [F.col("conv_id"), F.col("turn"), F.col("role").isNull(), F.substring("role", 1, _PREFIX)]
+    whole = F.coalesce(F.length("role") < _PREFIX, F.lit(True))
+    return keys + [F.when(whole, F.col("text").isNull()), F.when(whole, F.substring("text", 1, _PREFIX))]
+
+
 def _roll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Position and rolling hashes of each turn, from its conversation's first turn in this task."""
     task = TaskContext.get().partitionId()
@@ -62,7 +75,8 @@ def prefixes(conversations: DataFrame) -> DataFrame:
     """``conv_id``, ``position`` and the hashes ``p1``, ``p2`` of the first
     ``position`` turns, for each distinct turn."""
     kind = conversations.schema["conv_id"].dataType.simpleString()
-    ordered = conversations.filter("conv_id is not null").select("conv_id", "turn", *_hashes()).distinct().repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
+    turns = conversations.filter("conv_id is not null").select("conv_id", "turn", "role", "text").distinct()
+    ordered = turns.repartitionByRange(*_ranges()).sortWithinPartitions(*_order()).select("conv_id", *_hashes())
     rolled = stage(ordered.mapInArrow(_roll, f"task int, conv_id {kind}, position long, p1 long, p2 long"), "chat-rolled")
     runs = rolled.groupBy("conv_id", "task").agg(F.max("position").alias("size"), F.max_by(F.struct("p1", "p2"), "position").alias("last"))
     several = runs.groupBy("conv_id").agg(F.count(F.lit(1)).alias("tasks")).filter("tasks > 1").select("conv_id")
@@ -113,12 +127,12 @@ def rendered_turn(role: Column, text: Column) -> Column:
 def render(conversations: DataFrame) -> DataFrame:
     """``conv_id``, ``n_turns`` and the chat ``text`` of each maximal conversation.
 
-    Turns go by ``turn``, a null first; those with one number by a hash of role
-    and text. Turns that repeat count once, rows without ``conv_id`` not at all;
+    Turns go by ``turn``, a null first; those with one number by role and text,
+    nulls last. Turns that repeat count once, rows without ``conv_id`` not at all;
     a null role or text is rendered as empty. Other columns are left out.
     """
-    turns = conversations.select("conv_id", "turn", *_hashes(), rendered_turn(F.col("role"), F.col("text")).alias("part"))
-    turns = turns.join(maximal(conversations), "conv_id")
-    parts = F.array_sort(F.collect_set(F.struct("turn", "h1", "h2", "part")))
-    texts = turns.groupBy("conv_id", "n_turns").agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("text"))
+    said = F.struct("turn", F.col("role").isNull().alias("no_role"), "role", F.col("text").isNull().alias("no_text"), "text")
+    turns = conversations.select("conv_id", said.alias("said")).join(maximal(conversations), "conv_id")
+    parts = F.transform(F.array_sort(F.collect_set("said")), lambda t: rendered_turn(t["role"], t["text"]))
+    texts = turns.groupBy("conv_id", "n_turns").agg(F.array_join(parts, "").alias("text"))
     return texts.select("conv_id", "n_turns", "text")

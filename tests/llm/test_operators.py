@@ -209,6 +209,19 @@ def test_snapshots(spark):
     assert snapshots.render(chats.limit(0)).collect() == []
 
 
+def test_turns_of_one_number_go_by_role_and_text(spark):
+    long = "r" * 40
+    said = [(None, "b"), ("user", None), ("user", "b"), ("user", "a"), ("user", "x" * 50 + "b"), ("user", "x" * 50 + "a"), ("a", "z")]
+    said += [(long + "b", "a"), (long + "a", "b"), ("r" * 32, "zz")]
+    order = sorted(said, key=lambda s: tuple((x is None, x or "") for x in s))
+    rows = [(1, 5, *s) for s in said * 2] + [(1, 6, "user", "end")] + [(2, 5, *s) for s in order[:7]] + [(3, 5, *s) for s in order[1:]]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    out = {r.conv_id: (r.n_turns, r.text) for r in snapshots.render(chats).collect()}
+    turn = "<|im_start|>{}\n{}<|im_end|>\n".format
+    whole, tail = [*order, ("user", "end")], order[1:]
+    assert out == {k: (len(x), "".join(turn(r or "", t or "") for r, t in x)) for k, x in ((1, whole), (3, tail))}
+
+
 def test_a_conversation_over_many_tasks(spark):
     rows = [(1, t, "user", str(t % 7)) for t in range(500)] + [(2, t, "user", str(t % 7)) for t in range(300)] + [(3, 0, "user", "1")]
     chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
