@@ -7,7 +7,7 @@ spread over all segments, and a search runs on all segments at once.
 
 A search goes through stated queries in blocks of ``BLOCK_QUERIES``, which the
 driver reads one after the other; a block's matches are written before the next
-one is read, and name queries by number. Item ids meet them by a join. One pass
+one is read, and name queries by hash. Item ids meet them by a join. One pass
 counts the postings of the block's terms over all segments; queries with a term
 that occurs nowhere are done. The other pass takes each query's terms from the
 rarest on: where a segment lacks one it is done there; else the places of each
