@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookup import check_unique_keys, lookup_payloads
-from ..session import local_rows, stage
+from ..session import local_rows, spread, stage_counted
 from ..sources.pages import Transport, chain_positions, manifest_pages, next_links
 from ..sources.payload_store import PayloadStore
 from ..sources.payloads import fetch_payloads
@@ -90,7 +90,9 @@ class LiveInputs:
     """Pages and payloads pulled through a transport ``(url, headers) -> body``.
 
     A chain is pulled in segments; the anchor is saved after each one is
-    archived, so a failed run continues from the last archived segment.
+    archived, so a failed run continues from the last archived segment. The first
+    has ``segment_pages``, each further one as many as all before it, so a chain of
+    n pages takes about log2(n) segments. A page that fails ends a segment before it.
     """
 
     transport: Transport
@@ -100,13 +102,16 @@ class LiveInputs:
     def page_batches(self, spark: SparkSession, spec: ProcessSpec, start_url: str):
         url: str | None = start_url
         seen: set[str] = set()
+        pulled = 0
         while url and url not in seen:
             seen.add(url)
             chain = [(spec.process_id, spec.change_api, url)]
-            pages = stage(manifest_pages(spark, self.transport, chain, self.segment_pages), "live-pages")
+            live = manifest_pages(spark, self.transport, chain, max(pulled, self.segment_pages), keep_pulled=True)
+            pages, counts = stage_counted(live, "live-pages")
+            pulled += counts["rows"]
             last = pages.agg(F.max_by(F.struct("next_url"), "page_no").alias("last")).first()["last"]
             url = last["next_url"] if last else None
-            yield pages.drop("next_url"), url
+            yield spread(pages.drop("next_url"), "page_no"), url
 
     def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:
-        return fetch_payloads(manifest, api, self.transport)
+        return fetch_payloads(spread(manifest), api, self.transport)

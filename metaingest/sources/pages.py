@@ -133,12 +133,14 @@ def manifest_pages(
     max_pages: int | None = None,
     attempts: int = 3,
     pause: float = 0.0,
+    keep_pulled: bool = False,
 ) -> DataFrame:
     """Live pages (process_id, page_no, url, body, next_url).
 
     Each chain is one input partition and is walked on an executor, page by
     page, since every page names the next. ``transport(url, headers)`` must
-    pickle. ``max_pages`` ends a chain early; its last ``next_url`` continues.
+    pickle. ``max_pages`` ends a chain early; its last ``next_url`` continues. So
+    does a page that fails with ``keep_pulled``, unless it is a chain's first.
     """
     if not chains:
         return local_rows(spark, PAGE_SCHEMA)
@@ -151,7 +153,12 @@ def manifest_pages(
             url, page_no, seen = partition.url, 0, set()
             while url and url not in seen and (max_pages is None or page_no < max_pages):
                 seen.add(url)
-                body = fetch_with_retries(transport, url, partition.api.header_args, attempts, pause)
+                try:
+                    body = fetch_with_retries(transport, url, partition.api.header_args, attempts, pause)
+                except Exception:
+                    if keep_pulled and page_no:
+                        return
+                    raise
                 following = next_page_url(partition.api, body)
                 yield partition.process_id, page_no, url, body, following
                 url, page_no = following, page_no + 1
