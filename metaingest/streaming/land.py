@@ -89,9 +89,12 @@ def _archive(spark, pages: DataFrame, workspace: Workspace, spec: ProcessSpec, i
                 return
             this = (stream_id(spark, checkpoint), batch_id)
             end, again = workspace.ledger.reserve_batch(change_id, spec.process_id, now, count, this)
-            records = explode_records(batch, spec.change_api, spec.data_api)
+            live = "next_url" in batch.columns
+            # A segment of a chain is walked in one piece; its records are found on all cores.
+            pieces = batch.repartition(spark.sparkContext.defaultParallelism, "page_no") if live else batch
+            records = explode_records(pieces, spec.change_api, spec.data_api)
             archive_records(workspace, spec, change_id, records, end - first, now, inputs, again)
-            if "next_url" in batch.columns:
+            if live:
                 following = batch.agg(F.max_by("next_url", "page_no")).first()[0]
                 workspace.ledger.save_anchor(change_id, spec.process_id, now, following or "")
         finally:
