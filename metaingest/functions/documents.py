@@ -49,8 +49,7 @@ def extract_slots(body: ColumnLike, slots: Sequence[Slot], content_type: str, ke
     def extract(bodies: pa.Array) -> pa.Array:
         plans = trees.compile_slots(candidates)
         columns: list[list] = [[] for _ in fields]
-        for text in bodies.to_pylist():
-            row = trees.slot_row(text, is_json, plans, len(names), keep_document)
+        for row in trees.slot_rows(bodies.to_pylist(), is_json, plans, len(names), keep_document):
             for values, value in zip(columns, row):
                 values.append(value)
         types = [pa.string()] * len(names) + [pa.bool_()] + [pa.string()] * keep_document

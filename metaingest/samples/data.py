@@ -99,7 +99,7 @@ def full_part_payload() -> Column:
 
 def part_archive(parts: DataFrame, data: Column, change_id: int = 1) -> DataFrame:
     """Archive rows with the part key as id."""
-    return parts.select(
+    return spread(parts).select(
         F.col("p_partkey").alias("id"),
         F.col("p_partkey").alias("ean"),
         F.lit("").alias("notification"),

@@ -132,3 +132,21 @@ def test_documents_may_be_deeper_than_python_recurses():
 def test_deep_serialization_is_the_usual_one(body):
     root = trees.parse_document(body, False)[0]
     assert trees._deep_xml(root) == trees.ET.tostring(root, encoding="unicode")
+
+
+@pytest.mark.parametrize("body", [None, "", "<a>", "</a>", "<a/><b/>", "<a/>x", " <a/>", "<a/>\n", "<a><!--", "<a/>&#32;",
+    "<a/><![CDATA[]]>", "<?xml version='1.0'?><a/>", "<a xmlns='u'><b>2</b></a>", "<p:a/>", "<a>&nbsp;</a>", "<a>\ud800</a>"])
+def test_bodies_parsed_together_are_what_each_is_alone(body):
+    def seen(document):
+        return None if document is None else (document.tag, document.text, document[0].tail, trees.xml_of(document[0]))
+
+    bodies = ["<a><b>1</b></a>", body, "--><b/>", "<a/>", body]
+    assert list(map(seen, trees.parse_documents(bodies, False))) == [seen(trees.parse_document(b, False)) for b in bodies]
+
+
+def test_short_bodies_share_a_parser(monkeypatch):
+    calls = []
+    monkeypatch.setattr(trees.ET, "fromstring", lambda text, parse=trees.ET.fromstring: calls.append(1) or parse(text))
+    plans = trees.compile_slots([[("/a/b", False)]])
+    rows = list(trees.slot_rows([f"<a><b>{n}</b></a>" for n in range(640)], False, plans, 1, False))
+    assert rows == [[str(n), True] for n in range(640)] and len(calls) == 640 // trees.PARSED_TOGETHER
