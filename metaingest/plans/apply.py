@@ -67,19 +67,24 @@ class StoreApplier:
             return {}
         rows_so_far = version.rows if version else 0
         buckets = tables.bucket_count(rows_so_far + expected_rows, version)
+        if version is None:
+            # Nothing to meet: the rows need not be known before they are written.
+            rows = upsert_rows(None, tables.layout(incoming, keys, buckets), keys, target.value_names, now)
+            done, counted = _counted(rows)
+            tables.write(target.table, counted, keys, buckets, lambda: done.get[INSERTED], None, None, batches)
+            return {action: done.get[action] for action in ACTIONS}
         with staged(incoming, "incoming", touched=F.collect_set(tables.bucket_of(keys, buckets))) as (changes, seen):
-            if version is not None and not seen["rows"]:
+            if not seen["rows"]:
                 if batches:
                     tables.note_batches(version, batches)
                 return {UNTOUCHED: version.rows}
             touched = sorted(seen["touched"])
-            shares = version is not None and version.has_layout(keys, buckets) and _types_stay(version, incoming)
-            old = None if version is None else tables.read_version(version, touched if shares else None)
+            shares = version.has_layout(keys, buckets) and _types_stay(version, incoming)
+            old = tables.read_version(version, touched if shares else None)
             rows = upsert_rows(old, tables.layout(changes, keys, buckets), keys, target.value_names, now)
-            if version is not None and not version.has_layout(keys, buckets):
+            if not version.has_layout(keys, buckets):
                 rows = tables.layout(rows, keys, buckets)
-            done = Observation()
-            counted = rows.observe(done, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS]).drop(ACTION)
+            done, counted = _counted(rows)
             tables.write(
                 target.table, counted, keys, buckets, lambda: rows_so_far + done.get[INSERTED], version,
                 touched if shares else None, batches,
@@ -88,6 +93,12 @@ class StoreApplier:
         return {**counts, UNTOUCHED: rows_so_far - counts[UPDATED] - counts[UNCHANGED]}
 
 
+def _counted(rows: DataFrame) -> tuple[Observation, DataFrame]:
+    """Upserted rows without their action, and the rows per action once they are written."""
+    done = Observation()
+    return done, rows.observe(done, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS]).drop(ACTION)
+
+
 def _types_stay(version: Version, incoming: DataFrame) -> bool:
     """Files of the version can be read beside rows that come in."""
     known = {f.name: f.dataType for f in version.schema}

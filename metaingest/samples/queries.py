@@ -688,7 +688,7 @@ def apply_lines(spark, sf_dir):
     archived = data.line_archive(lines).select(
         "id", "ean", F.lit("").alias("notification"), "data", stamp.alias("add_dtime"), stamp.alias("upd_dtime"), "change_id"
     )
-    space.archive.append(archived)
+    space.archive.append(archived, 1)
     apply_snapshot(space, data.LINE_SPEC, 1, NOW)
     target = space.tables.read("order_line")
     return target.select(
