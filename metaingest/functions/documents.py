@@ -151,9 +151,8 @@ def record_chunks(
                 missing.append(bad)
                 offsets.append(len(items[0]))
 
-            bodies = batch.column(body)
-            for row in range(batch.num_rows):
-                records = trees.page_records(bodies[row], record_tag if selects else None, is_json)
+            pages_records = trees.records_of_pages(batch.column(body), record_tag if selects else None, is_json)
+            for row, records in enumerate(pages_records):
                 if records is None:
                     close_row(row, 0, True)
                     continue

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import minilang as ml
 from ..functions._cols import named
@@ -123,9 +124,16 @@ def inline_keys(df: DataFrame, column: str, key_name: str = "key") -> DataFrame:
 
 
 def table_keys(df: DataFrame, column: str, key_name: str = "key") -> DataFrame:
-    """Distinct non-null keys of a table column, as text."""
+    """Distinct non-null keys of a table column, as text.
+
+    Whole numbers are made distinct as such; only those that remain become text.
+    """
     key = named(column)
-    return df.where(key.isNotNull()).select(key.cast("string").alias(key_name)).distinct()
+    keys = df.where(key.isNotNull()).select(key.alias(key_name))
+    text = F.col(key_name).cast("string").alias(key_name)
+    if isinstance(keys.schema[0].dataType, T.IntegralType):
+        return keys.distinct().select(text)
+    return keys.select(text).distinct()
 
 
 def key_frame(spark: SparkSession, api: ApiSpec, resolve=None) -> DataFrame:
@@ -140,6 +148,15 @@ def key_frame(spark: SparkSession, api: ApiSpec, resolve=None) -> DataFrame:
     return local_rows(spark, "key string", [(k,) for k in keys])
 
 
+def has_keys(spark: SparkSession, api: ApiSpec, resolve=None) -> bool:
+    """Whether ``key_frame`` has rows; of a table, no more is read than tells it."""
+    text = api.key_list or ""
+    if "_" not in text:
+        return any(part.strip() for part in text.split(","))
+    rows = (resolve or spark.table)(text.strip())
+    return rows.where(named(api.key_tag).isNotNull()).select(named(api.key_tag)).first() is not None
+
+
 def load_specs(
     spark: SparkSession, cfg_process: DataFrame, cfg_api: DataFrame, cfg_bucket: DataFrame
 ) -> tuple[list[ProcessSpec], dict[int, str]]:

@@ -11,8 +11,8 @@ from ..functions import minilang as ml
 from ..functions import times, urls
 from ..functions.typed import numeric_key
 from ..operators.explode import PAGE_NOT_DOCUMENT, explode_records
-from ..operators.specs import key_frame
-from ..session import local_rows, staged
+from ..operators.specs import has_keys, key_frame
+from ..session import local_rows, staged, work_partitions
 from ..sources.archive import archive_id
 from ..sources.pages import plain_url
 from ..specs import ApiSpec, ProcessSpec, SpecError
@@ -32,7 +32,8 @@ def manifest_for_keys(keys: DataFrame, change_api: ApiSpec, data_api: ApiSpec) -
     record_tag, key_tag = change_api.record_tag or "record", change_api.key_tag or "key"
     key_api = ApiSpec(record_tag=record_tag, key_tag=key_tag)
     page_no = F.pmod(F.xxhash64("key"), F.lit(KEY_PAGES))
-    numbered = keys.where(~ml.is_blank("key")).select("key", page_no.alias("page_no")).withColumn(
+    paged = keys.where(~ml.is_blank("key")).select("key", page_no.alias("page_no"))
+    numbered = paged.repartition(work_partitions(keys.sparkSession), "page_no").withColumn(
         "_place", F.row_number().over(Window.partitionBy("page_no").orderBy("key")) - 1
     )
     body = F.concat(F.lit("<root>"), urls.key_manifest(F.col("key"), record_tag, key_tag), F.lit("</root>"))
@@ -144,9 +145,9 @@ def pull(spark: SparkSession, workspace: Workspace, spec: ProcessSpec, inputs, n
 
 
 def _pull_keys(spark, workspace: Workspace, spec: ProcessSpec, inputs, now: datetime) -> int:
-    keys = key_frame(spark, spec.change_api, inputs.key_table)
-    if keys.isEmpty():
+    if not has_keys(spark, spec.change_api, inputs.key_table):
         raise SpecError(f"process {spec.process_id} has neither a change URL nor keys")
+    keys = key_frame(spark, spec.change_api, inputs.key_table)
     ledger, process_id = workspace.ledger, spec.process_id
     change_id = ledger.open_run(process_id, now)
     try:

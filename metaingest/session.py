@@ -85,6 +85,12 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
+def work_partitions(spark: SparkSession) -> int:
+    """Partitions for costly per-row work on rows that are small: named in an exchange,
+    they are not merged to few tasks by size, as those of a join or aggregate are."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: object):
     """Set configuration for the duration of a block (dots written as ``__``)."""

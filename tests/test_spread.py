@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from metaingest import Workspace
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from metaingest import ApiSpec, Workspace
+from metaingest.functions import _trees as trees
+from metaingest.operators.specs import has_keys
 from metaingest.plans import apply
+from metaingest.plans.pull import manifest_for_keys
 from metaingest.samples import data
+from metaingest.session import settings
 
 
 def test_first_version_is_written_without_staging(spark, tmp_path, monkeypatch):
@@ -25,3 +32,41 @@ def test_first_version_is_written_without_staging(spark, tmp_path, monkeypatch):
         )
     assert space.tables.read("product").count() == space.tables.current("product").rows == 40
     assert labels == ["parsed", "parsed", "incoming"]
+
+
+def test_short_pages_are_parsed_together():
+    """As each on its own, but for the parsers."""
+    good = [f"<root><r><k>{n}</k> &amp; <b/></r>tail<s/><r a='{n}'><k/></r></root>" for n in range(150)]
+    odd = ["<root>", None, "", "<root/>", "</x><x>", "<root xmlns:p='u'><p:r/><r/></root>", "<!-- c --><root><r/></root>", "<root/><root/>"]
+    for some in (good, good[:70] + odd + good[70:], odd):
+        bodies = pa.array(some, pa.string())
+        for tag in ("r", None, "*", "."):
+            found = list(trees.records_of_pages(bodies, tag, False))
+            alone = [trees.page_records(body, tag, False) for body in bodies]
+            assert [r and [trees.xml_of(e) for e in r] for r in found] == [r and [trees.xml_of(e) for e in r] for r in alone]
+
+
+def test_short_pages_share_parsers(monkeypatch):
+    parses = []
+    monkeypatch.setattr(trees, "page_records", lambda *page: parses.append(page))
+    bodies = pa.array([f"<root><r><k>{n}</k></r></root>" for n in range(150)], pa.string())
+    assert [len(list(records)) for records in trees.records_of_pages(bodies, "r", False)] == [1] * 150
+    assert not parses
+
+
+def test_listed_keys_use_all_cores(spark):
+    keys = spark.range(500).select(F.col("id").cast("string").alias("key")).distinct()
+    with settings(spark, spark__sql__shuffle__partitions=12):
+        records = manifest_for_keys(keys, ApiSpec(record_tag="product", key_tag="ean"), ApiSpec())
+        filled = records.select(F.spark_partition_id().alias("part")).distinct().count()
+    assert filled == 12
+
+
+def test_looking_for_keys_reads_no_more_than_one(spark):
+    """A row beyond the first keys can't be read: looking must not come to it."""
+    unreadable = F.when(F.col("id") > 50, F.raise_error(F.lit("read on"))).otherwise(F.col("id"))
+    source = spark.range(0, 100, 1, 4).select(unreadable.cast("bigint").alias("ean"))
+    api = ApiSpec(key_list="wanted_parts", key_tag="ean")
+    assert has_keys(spark, api, lambda _name: source)
+    assert not has_keys(spark, api, lambda _name: spark.range(3).select(F.lit(None).cast("bigint").alias("ean")))
+    assert has_keys(spark, ApiSpec(key_list=" , 7")) and not has_keys(spark, ApiSpec(key_list=" ,")) and not has_keys(spark, ApiSpec())
