@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from . import _trees as trees
 from ._cols import ColumnLike, as_col
+from .paths import is_tree_filter
 
 
 @dataclass(frozen=True)
@@ -100,14 +101,17 @@ def record_chunks(
     content_type: str,
     value_paths: Sequence[str] = (),
     whole_texts: bool = False,
+    filter_path: str | None = None,
 ) -> DataFrame:
     """The records of each page, root children with the record tag, in chunks.
 
     A row has a page's other columns, ``_first``, the number of its first record,
     and ``_records``, an array of about ``CHUNK_CHARS`` at most or of one longer
-    record. Each record is (key, body, values, marked): the key child's text or
-    null, the record's own XML, per value path the distinct texts found in it, and
-    with ``whole_texts`` its XML with every element's whole text as an attribute.
+    record. Each record is (key, body, values, marked, passes): the key child's text or
+    null, the record's own XML, per value path the distinct texts found in it,
+    with ``whole_texts`` its XML with every element's whole text as an attribute, and
+    whether ``filter_path`` selects anything in it. That is null where the tree doesn't
+    tell: for other paths than ``is_tree_filter`` names, and records with namespaces.
     A page that is no document gives one row with a null array, a page without
     records none; a blank record or key tag selects nothing.
 
@@ -124,18 +128,21 @@ def record_chunks(
             T.StructField("body", text_type),
             T.StructField("values", T.ArrayType(T.ArrayType(text_type))),
             T.StructField("marked", text_type),
+            T.StructField("passes", T.BooleanType()),
         ]
     )
     others = [f for f in pages.schema.fields if f.name != body]
     schema = T.StructType([*others, T.StructField("_first", T.IntegerType()), T.StructField("_records", T.ArrayType(record_type))])
-    item_types = [pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string()]
+    item_types = [pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string(), pa.bool_()]
+    told = filter_path if filter_path and is_tree_filter(filter_path) else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finders = [trees.compile_path(path) for path in paths]
+        selected = trees.compile_path(told) if told else None
         for batch in batches:
             kept = batch.select([f.name for f in others])
             rows, firsts, missing, offsets = [], [], [], [0]
-            items: list[list] = [[], [], [], []]
+            items: list[list] = [[] for _ in item_types]
             held = 0
 
             def chunk() -> pa.RecordBatch:
@@ -160,8 +167,10 @@ def record_chunks(
                 for record in records:
                     text = trees.xml_of(record)
                     marked = trees.marked_xml(record) if whole_texts else None
-                    values = (trees.child_text(record, key_tag), text, _values(record, finders), marked)
-                    for column, value in zip(items, values):
+                    key, holder = trees.child_text(record, key_tag), _holder(record)
+                    found = [trees.distinct_texts(holder, finder) for finder in finders]
+                    passes = bool(selected(holder)) if selected and "xmlns" not in text else None
+                    for column, value in zip(items, (key, text, found, marked, passes)):
                         column.append(value)
                     number += 1
                     held += len(text) + len(marked or "")
@@ -169,7 +178,7 @@ def record_chunks(
                         close_row(row, first)
                         yield chunk()
                         first, held = number, 0
-                        rows, firsts, missing, offsets, items = [], [], [], [0], [[], [], [], []]
+                        rows, firsts, missing, offsets, items = [], [], [], [0], [[] for _ in item_types]
                 if number > first:
                     close_row(row, first)
             if rows:
@@ -178,12 +187,11 @@ def record_chunks(
     return pages.mapInArrow(cut, schema)
 
 
-def _values(record, finders) -> list[list[str]]:
-    if not finders:
-        return []
+def _holder(record: trees.ET.Element) -> trees.ET.Element:
+    """The record as a document of its own."""
     holder = trees.ET.Element("")
     holder.append(record)
-    return [trees.distinct_texts(holder, finder) for finder in finders]
+    return holder
 
 
 def register_functions(spark: SparkSession) -> None:

@@ -18,6 +18,10 @@ _STEP = rf"(?:{_NAME}|\*)(?:(?:\[(?:{_TEST})\])*|\[(?:[1-9]\d*|last\(\))\])"
 _TREE_PATH = re.compile(rf"(?://?|\./(?:/)?)?{_STEP}(?://?{_STEP})*")
 _NOT_ELEMENTS = re.compile(r"(?:^|/)\s*(?:@[\w:.*\-]+|text\(\)|comment\(\)|node\(\))\s*$")
 
+_FILTER_TEXT = r"(?:'[^'\[\]\r\n\t]*'|\"[^\"\[\]\r\n\t]*\")"
+_FILTER_STEP = rf"(?:{_NAME}|\*)(?:\[\s*(?:{_NAME}|\.)\s*!?=\s*{_FILTER_TEXT}\s*\])*"
+_TREE_FILTER = re.compile(rf"//?{_FILTER_STEP}(?://?{_FILTER_STEP})*")
+
 #: Attribute that holds an element's whole text in a marked document.
 WHOLE_TEXT = "metaingest-whole-text"
 _QUOTED_OR_ANY_ATTRIBUTE = re.compile(r"'[^']*'|\"[^\"]*\"|((?:@|attribute\s*::)\s*(?:\*|node\(\s*\)))")
@@ -37,6 +41,12 @@ def path_kind(path: str) -> str:
     return "tree" if all(_TREE_PATH.fullmatch(part.strip()) for part in union_parts(text)) else "xpath"
 
 
+def is_tree_filter(path: str) -> bool:
+    """Whether the element tree tells as XPath does if the path selects anything, in
+    a document without namespaces: element names with tests for texts, ``!=`` included."""
+    return _TREE_FILTER.fullmatch(path.strip()) is not None
+
+
 def union_parts(path: str) -> list[str]:
     """The alternatives of a path; a bar inside quotes or brackets stays."""
     return re.split(r"\|(?=(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\"|\[(?:[^'\"\[\]]|'[^']*'|\"[^\"]*\")*\])*$)", path)

@@ -41,8 +41,9 @@ def explode_records(
     tree_paths = [v for v in path_templates.values() if path_kind(v) == "tree"]
     other_paths = len(tree_paths) < len(path_templates)
     parsed = record_chunks(
-        pages, body, change_api.record_tag, change_api.key_tag, change_api.content_type, tree_paths, whole_texts=other_paths
-    )
+        pages, body, change_api.record_tag, change_api.key_tag, change_api.content_type, tree_paths,
+        whole_texts=other_paths, filter_path=change_api.response_filter,
+    )
     keep = [c for c in parsed.columns if c not in ("_first", "_records")]
     # The page flag is taken before the explode: the explode then drops the
     # array instead of copying it into each of its rows.
@@ -50,7 +51,10 @@ def explode_records(
     rows = parsed.select(
         *keep, "_bad_page", "_first", F.posexplode_outer("_records").alias("_in_chunk", "_r")
     ).where(F.col("_bad_page") | F.col("_r").isNotNull())
-    rows = rows.where(F.col("_bad_page") | response_filter("_r.body", change_api.response_filter))
+    if change_api.response_filter:
+        # XPath reads the record anew, so it is asked only where the page's parse has not told.
+        passes = F.coalesce("_r.passes", response_filter("_r.body", change_api.response_filter))
+        rows = rows.where(F.col("_bad_page") | passes)
     return rows.select(
         *keep,
         (F.col("_first") + F.col("_in_chunk")).alias("record_no"),

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from metaingest import ApiSpec, Workspace
 from metaingest.functions import _trees as trees
+from metaingest.functions.documents import record_chunks
+from metaingest.functions.paths import is_tree_filter
+from metaingest.operators.explode import explode_records
 from metaingest.operators.specs import has_keys
 from metaingest.plans import apply
 from metaingest.plans.pull import manifest_for_keys
@@ -70,3 +73,38 @@ def test_looking_for_keys_reads_no_more_than_one(spark):
     assert has_keys(spark, api, lambda _name: source)
     assert not has_keys(spark, api, lambda _name: spark.range(3).select(F.lit(None).cast("bigint").alias("ean")))
     assert has_keys(spark, ApiSpec(key_list=" , 7")) and not has_keys(spark, ApiSpec(key_list=" ,")) and not has_keys(spark, ApiSpec())
+
+
+def test_plain_records_are_written_as_by_tostring(monkeypatch):
+    bodies = [
+        "<r a='&lt;&amp;&quot;&#10;' b=\"'&gt;\"> x &amp; &lt; &gt; &#13;\n<k/>t&amp;<m>\U0001f600</m></r>", "<r/>", "<r> </r>", "<r><k></k>tail</r>",
+        "<r xmlns='u'/>", "<r xmlns:p='u'><p:k/></r>", "<r><k xml:lang='de'>x</k></r>", "<r xmlns:p='u' p:a='1'/>",
+    ]
+    expected = [trees.ET.tostring(trees.ET.fromstring(body), encoding="unicode") for body in bodies]
+    assert [trees.xml_of(trees.ET.fromstring(body)) for body in bodies] == expected
+    monkeypatch.setattr(trees.ET, "tostring", None)
+    assert [trees.xml_of(trees.ET.fromstring(body)) for body in bodies[:4]] == expected[:4]
+
+
+FILTERS = [
+    "//k[. != 'x']", "//k[.='x']", "/r/k", "//*[ k != 'x' ]/m", "/r[k='x'][m != \"y\"]", "//r//m", "k", "//k[2]", "//k[. = 'x' or . = 'y']",
+    "//k/@a", "//m[. != '']",
+]
+
+
+def test_the_parse_tells_what_the_filter_selects(spark):
+    """As XPath over each record does, which is left to ask where the parse has not told."""
+    inner = ["", "<k>x</k>", "<k>y</k>", "<k/>", "<k>x</k><k a='1'>y<m/>x</k>", "<m><k>x</k><m>y</m></m>", "<k>x</k><m>y</m>", "<k>&#13;x</k>", "<p:k>y</p:k>"]
+    body = "<root xmlns:p='u'>" + "".join(f"<r><id>{n}</id>{text}</r>" for n, text in enumerate(inner)) + "</root>"
+    pages = spark.createDataFrame([(body,)], "body string")
+    for path in FILTERS:
+        api = ApiSpec(record_tag="r", key_tag="id", response_filter=path)
+        every = explode_records(pages, ApiSpec(record_tag="r", key_tag="id"))
+        expected = every.where(F.xpath_boolean("notification", F.lit(path)))
+        assert [r.key for r in explode_records(pages, api).orderBy("record_no").collect()] == [
+            r.key for r in expected.orderBy("record_no").collect()
+        ], path
+        chunks = record_chunks(pages, "body", "r", "id", "XML", filter_path=path)
+        (told,) = chunks.select("_records.passes").collect()
+        known = is_tree_filter(path)
+        assert [p is not None for p in told.passes] == [known] * (len(inner) - 1) + [False]
