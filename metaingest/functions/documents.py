@@ -74,16 +74,9 @@ def page_links(body: ColumnLike, indicator_tag: str, anchor_tag: str, content_ty
 
     def links(bodies: pa.Array) -> pa.Array:
         rows = []
-        for text in bodies.to_pylist():
-            document = trees.parse_document(text, is_json)
-            root = None if document is None else document[0]
-            rows.append(
-                (
-                    root is not None,
-                    None if root is None else trees.child_text(root, indicator_tag),
-                    None if root is None else trees.child_text(root, anchor_tag),
-                )
-            )
+        for body in bodies:
+            texts = trees.root_texts(body, [indicator_tag, anchor_tag], is_json)
+            rows.append((texts is not None, *(texts or (None, None))))
         good, indicator, anchor = zip(*rows) if rows else ((), (), ())
         return pa.StructArray.from_arrays(
             [pa.array(good, pa.bool_()), pa.array(indicator, pa.string()), pa.array(anchor, pa.string())],

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookup import check_unique_keys, lookup_payloads
-from ..session import local_rows, spread, stage_counted
+from ..session import dealt, local_rows, spread, stage_counted
 from ..sources.pages import Transport, chain_positions, manifest_pages, next_links
 from ..sources.payload_store import PayloadStore
 from ..sources.payloads import fetch_payloads
@@ -66,10 +66,10 @@ class LandedInputs:
         positions = chain_positions(next_links(mine, spec.change_api), starts)
         gap = positions.join(mine.select("url"), "url", "left_anti").select("url", "page_no").first()
         if gap is None:
-            yield mine.join(positions, ["process_id", "url"]), None
+            yield dealt(mine.join(positions, ["process_id", "url"]), "page_no"), None
             return
         if gap["page_no"] > 0:
-            yield mine.join(positions, ["process_id", "url"]), gap["url"]
+            yield dealt(mine.join(positions, ["process_id", "url"]), "page_no"), gap["url"]
         raise PageNotLanded(spec.process_id, gap["url"])
 
     def add_payloads(self, manifest: DataFrame, api: ApiSpec, key_bytes: int) -> DataFrame:

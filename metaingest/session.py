@@ -85,10 +85,21 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys)
 
 
+TASKS_PER_CORE = 4
+
+
 def work_partitions(spark: SparkSession) -> int:
     """Partitions for costly per-row work on rows that are small: named in an exchange,
-    they are not merged to few tasks by size, as those of a join or aggregate are."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    they are not merged to few tasks by size, as those of a join or aggregate are. Each
+    starts Python, so there are some for each core and not one for every shuffle partition."""
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def dealt(rows: DataFrame, number: str) -> DataFrame:
+    """Rows dealt out one after the other by a number that they have, before costly
+    per-row work: few large rows, such as pages, never meet in a task. Takes an exchange."""
+    parts = work_partitions(rows.sparkSession)
+    return rows.repartitionById(parts, F.pmod(F.col(number), F.lit(parts)).cast("int"))
 
 
 @contextmanager

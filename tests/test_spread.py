@@ -14,9 +14,10 @@ from metaingest.functions.paths import is_tree_filter
 from metaingest.operators.explode import explode_records
 from metaingest.operators.specs import has_keys
 from metaingest.plans import apply
+from metaingest.plans.inputs import LandedInputs
 from metaingest.plans.pull import manifest_for_keys
 from metaingest.samples import data
-from metaingest.session import settings
+from metaingest.session import work_partitions
 
 
 def test_first_version_is_written_without_staging(spark, tmp_path, monkeypatch):
@@ -59,10 +60,9 @@ def test_short_pages_share_parsers(monkeypatch):
 
 def test_listed_keys_use_all_cores(spark):
     keys = spark.range(500).select(F.col("id").cast("string").alias("key")).distinct()
-    with settings(spark, spark__sql__shuffle__partitions=12):
-        records = manifest_for_keys(keys, ApiSpec(record_tag="product", key_tag="ean"), ApiSpec())
-        filled = records.select(F.spark_partition_id().alias("part")).distinct().count()
-    assert filled == 12
+    records = manifest_for_keys(keys, ApiSpec(record_tag="product", key_tag="ean"), ApiSpec())
+    filled = records.select(F.spark_partition_id().alias("part")).distinct().count()
+    assert filled == work_partitions(spark) > spark.sparkContext.defaultParallelism
 
 
 def test_looking_for_keys_reads_no_more_than_one(spark):
@@ -108,3 +108,33 @@ def test_the_parse_tells_what_the_filter_selects(spark):
         (told,) = chunks.select("_records.passes").collect()
         known = is_tree_filter(path)
         assert [p is not None for p in told.passes] == [known] * (len(inner) - 1) + [False]
+
+
+def test_each_of_few_pages_has_a_task_of_its_own(spark):
+    """They were merged by size, to one task for all pages of a chain."""
+    parts = spark.range(350).select(
+        F.col("id").alias("p_partkey"), F.lit(1).alias("p_size"), F.lit("t").alias("p_type"), F.lit("b").alias("p_brand")
+    )
+    pages = data.manifest_pages(parts).select("process_id", "url", "body")
+    ((dealt, following),) = LandedInputs(pages).page_batches(spark, data.PART_SPEC, f"{data.BASE_URL}?list=spares")
+    records = explode_records(dealt, data.MANIFEST_API)
+    tasks = [row.task for row in records.select("page_no", F.spark_partition_id().alias("task")).distinct().collect()]
+    assert len(tasks) == len(set(tasks)) == 7 and following is None
+
+
+def test_links_of_a_long_page_take_no_tree(monkeypatch):
+    """The texts of a page's own elements, with the long way of reading and the short one."""
+    pages = [
+        "<root><more>true</more><r><cursor>0</cursor></r><cursor>a<b>c</b>&amp;</cursor><cursor>2</cursor></root>", "<root><r/></root>",
+        "<root><cursor/><r/>x<more>false</more></root>", "<root><more>true</more><cursor>1</cursor>", "no page", "",
+        "<?xml version='1.0' encoding='latin-1'?><root><r>\u20ac</r><more> \u20ac</more></root>", "<root xmlns='u'><more>true</more></root>", None,
+    ]
+    bodies = pa.array(pages, pa.string())
+    for tags in (["more", "cursor"], ["more", ""], ["", ""], ["r", "r"], ["*", "cursor"]):
+        short = [trees.root_texts(body, tags, False) for body in bodies]
+        with monkeypatch.context() as patch:
+            patch.setattr(trees, "_PAGE_BYTES", -1)
+            if "*" not in tags:
+                patch.setattr(trees, "parse_document", None)
+            assert [trees.root_texts(body, tags, False) for body in bodies] == short
+    assert [trees.root_texts(bodies[i], ["more", "cursor"], False) for i in (0, 1, 3)] == [["true", "ac&"], [None, None], None]
